@@ -229,9 +229,211 @@ SELECT DISTINCT k.customerid AS customer_id, k.name AS customer_name, f.start_da
 FROM kept k
 LEFT JOIN firsts f ON k.customerid = f.customerid AND k.name = f.name
 LEFT JOIN addr a ON k.customerid = a.customerid
+""",
+    # ---------------------------------------------------------- operators
+    "scan_sources": "SELECT * FROM order_details",
+    "scan_projected": "SELECT orderid, order_status_update_timestamp, order_status FROM order_details",
+    "literal_table": """
+, steps(order_status, step) AS (VALUES ('Received', 1), ('InProgress', 2), ('Delivered', 3)),
+counts AS (SELECT order_status, count(*) AS n FROM order_details GROUP BY order_status)
+SELECT s.order_status, s.step, CAST(coalesce(c.n, 0) AS BIGINT) AS n_rows
+FROM steps s LEFT JOIN counts c ON s.order_status = c.order_status
+""",
+    "conform_schema": "SELECT * FROM product_master",
+    "conform_timestamps": "SELECT * FROM order_details",
+    "rename_columns": """
+SELECT orderid AS order_id, customerid AS customer_id, order_status_update_timestamp, order_status
+FROM order_details
+""",
+    "drop_columns": "SELECT productid, rate FROM product_master",
+    "validity_columns": """
+SELECT customerid, CAST(update_timestamp AS DATE) AS start_date, CAST(NULL AS DATE) AS end_date,
+       DATE '2024-01-01' AS loaded_on
+FROM customer_master
+""",
+    "line_amount": """
+SELECT oi.orderid, oi.productid, oi.quantity, pm.rate,
+       CAST(oi.quantity AS BIGINT) * CAST(pm.rate AS BIGINT) AS line_amount
+FROM order_items oi JOIN product_master pm ON oi.productid = pm.productid
+""",
+    "dense_surrogate_key": """
+SELECT customerid, address, city, state, pincode,
+       CAST(99 + row_number() OVER (ORDER BY customerid, address, city, state, pincode) AS BIGINT) AS address_id
+FROM customer_master
+""",
+    "filter_delivered": "SELECT * FROM order_details WHERE order_status = 'Delivered'",
+    "filter_not_in_progress": "SELECT * FROM order_details WHERE order_status IS DISTINCT FROM 'In_progress'",
+    "incremental_status": """
+SELECT * FROM order_details WHERE order_status_update_timestamp >= TIMESTAMP '2000-01-01 00:00:00'
+""",
+    "order_lifecycle": f"""
+SELECT orderid, customerid,
+       min(CASE WHEN {_NORM} = 'received' THEN order_status_update_timestamp END) AS order_received_timestamp,
+       max(CASE WHEN {_NORM} = 'delivered' THEN order_status_update_timestamp END) AS order_delivery_timestamp
+FROM order_details GROUP BY orderid, customerid
+""",
+    "customer_status_history": """
+SELECT cm.customerid, cm.name, od.order_status_update_timestamp, od.order_status
+FROM customer_master cm LEFT JOIN order_details od ON cm.customerid = od.customerid
+""",
+    "item_status_history": """
+SELECT oi.orderid, oi.productid, oi.quantity, od.order_status_update_timestamp, od.order_status
+FROM order_items oi LEFT JOIN order_details od ON oi.orderid = od.orderid
+""",
+    "orders_with_items": f"""
+, life AS (
+  SELECT orderid, customerid,
+         min(CASE WHEN {_NORM} = 'received' THEN order_status_update_timestamp END) AS order_received_timestamp,
+         max(CASE WHEN {_NORM} = 'delivered' THEN order_status_update_timestamp END) AS order_delivery_timestamp
+  FROM order_details GROUP BY orderid, customerid
+)
+SELECT l.orderid, l.customerid, l.order_received_timestamp, l.order_delivery_timestamp,
+       oi.productid, oi.quantity, pm.rate
+FROM life l
+LEFT JOIN order_items oi ON l.orderid = oi.orderid
+LEFT JOIN product_master pm ON oi.productid = pm.productid
+""",
+    "customer_first_events": """
+, kept AS (
+  SELECT cm.customerid, cm.name, od.order_status_update_timestamp AS ts, od.order_status
+  FROM customer_master cm LEFT JOIN order_details od ON cm.customerid = od.customerid
+  WHERE od.order_status IS DISTINCT FROM 'In_progress'
+),
+firsts AS (
+  SELECT customerid, name,
+         min(CASE WHEN order_status = 'Received' THEN ts END) AS first_received_timestamp,
+         min(CASE WHEN order_status = 'Delivered' THEN ts END) AS first_delivered_timestamp
+  FROM kept WHERE name IS NOT NULL GROUP BY customerid, name
+)
+SELECT DISTINCT k.customerid, k.name, f.first_received_timestamp, f.first_delivered_timestamp
+FROM kept k LEFT JOIN firsts f ON k.customerid = f.customerid AND k.name = f.name
+""",
+    "order_item_totals": """
+SELECT oi.orderid,
+       CAST(sum(CAST(oi.quantity AS BIGINT) * CAST(pm.rate AS BIGINT)) AS BIGINT) AS order_amount,
+       CAST(sum(CAST(oi.quantity AS BIGINT)) AS BIGINT) AS item_count
+FROM order_items oi JOIN product_master pm ON oi.productid = pm.productid
+GROUP BY oi.orderid
+""",
+    "max_keys": """
+SELECT 'order_details' AS table_name, 'orderid' AS key_column, CAST(max(orderid) AS BIGINT) AS max_key FROM order_details
+UNION ALL
+SELECT 'customer_master', 'customerid', CAST(max(customerid) AS BIGINT) FROM customer_master
+UNION ALL
+SELECT 'product_master', 'productid', CAST(max(productid) AS BIGINT) FROM product_master
+""",
+    "profile_table": "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct, "
+        f"CAST(count(*) - count({c}) AS BIGINT) AS n_null FROM customer_master"
+        for c in ("customerid", "name", "address", "city", "state", "pincode", "update_timestamp")),
+    "unique_order_counts": """
+SELECT 'order_details' AS table_name, 'orderid' AS column_name,
+       CAST(count(DISTINCT orderid) + max(CASE WHEN orderid IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_unique
+FROM order_details
+UNION ALL
+SELECT 'order_items', 'orderid',
+       CAST(count(DISTINCT orderid) + max(CASE WHEN orderid IS NULL THEN 1 ELSE 0 END) AS BIGINT)
+FROM order_items
+""",
+    "distinct_rows": "SELECT DISTINCT * FROM order_items",
+    "sorted_orders": "SELECT * FROM order_details ORDER BY orderid, order_status_update_timestamp, order_status",
+    "preview_first_n": """
+SELECT * FROM order_details
+ORDER BY orderid NULLS LAST, order_status_update_timestamp NULLS LAST, order_status NULLS LAST
+LIMIT 10
+""",
+    "status_history_union": "SELECT * FROM order_details",
+    "delivery_seconds": f"""
+, life AS (
+  SELECT orderid,
+         min(CASE WHEN {_NORM} = 'received' THEN order_status_update_timestamp END) AS r,
+         max(CASE WHEN {_NORM} = 'delivered' THEN order_status_update_timestamp END) AS d
+  FROM order_details GROUP BY orderid, customerid
+)
+SELECT orderid, {_SECONDS.format(a='r', b='d')} AS delivery_seconds,
+       CAST(round({_SECONDS.format(a='r', b='d')}) AS BIGINT) AS delivery_seconds_int
+FROM life WHERE r IS NOT NULL AND d IS NOT NULL
+""",
+    "product_labels": "SELECT productid, productname, productcode, sku FROM product_master",
+    "date_spine": f"""
+, per_day AS (
+  SELECT CAST(order_status_update_timestamp AS DATE) AS day, count(*) AS n
+  FROM order_details WHERE {_NORM} = 'received' GROUP BY 1
+),
+spine AS (
+  SELECT CAST(unnest(generate_series(CAST(min(day) AS TIMESTAMP), CAST(max(day) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
+  FROM per_day
+)
+SELECT s.day, CAST(coalesce(p.n, 0) AS BIGINT) AS n_orders
+FROM spine s LEFT JOIN per_day p ON s.day = p.day
+""",
+    "check_not_null": "\n" + "\nUNION ALL\n".join(
+        [f"SELECT 'customer_master' AS table_name, '{c}' AS column_name, "
+         f"CAST(count(*) - count({c}) AS BIGINT) AS n_null FROM customer_master"
+         for c in ("customerid", "name", "address", "city", "state", "pincode")]
+        + ["SELECT 'order_items', 'orderid', CAST(count(*) - count(orderid) AS BIGINT) FROM order_items"]
+        + [f"SELECT 'order_details', '{c}', CAST(count(*) - count({c}) AS BIGINT) FROM order_details"
+           for c in ("orderid", "order_status_update_timestamp", "order_status")]),
+    "check_primary_key": """
+SELECT 'customer_master' AS table_name, coalesce(CAST(customerid AS VARCHAR), 'NULL') AS key_value,
+       CAST(count(*) AS BIGINT) AS n_rows
+FROM customer_master GROUP BY customerid HAVING count(*) > 1 OR customerid IS NULL
+UNION ALL
+SELECT 'product_master', coalesce(CAST(productid AS VARCHAR), 'NULL'), CAST(count(*) AS BIGINT)
+FROM product_master GROUP BY productid HAVING count(*) > 1 OR productid IS NULL
+""",
+    "check_foreign_key": """
+SELECT 'order_details' AS table_name, 'customerid' AS column_name, customerid AS key_value,
+       CAST(count(*) AS BIGINT) AS n_rows
+FROM order_details od
+WHERE customerid IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer_master cm WHERE cm.customerid = od.customerid)
+GROUP BY customerid
+UNION ALL
+SELECT 'order_items', 'productid', productid, CAST(count(*) AS BIGINT)
+FROM order_items oi
+WHERE productid IS NOT NULL AND NOT EXISTS (SELECT 1 FROM product_master pm WHERE pm.productid = oi.productid)
+GROUP BY productid
+""",
+    "check_varchar_length": "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, {n} AS max_length, "
+        f"CAST(count(CASE WHEN length({c}) > {n} THEN 1 END) AS BIGINT) AS n_too_long, "
+        f"CAST(coalesce(max(length({c})), 0) AS INTEGER) AS longest FROM {t}"
+        for t, c, n in (("customer_master", "name", 50), ("customer_master", "address", 100),
+                        ("customer_master", "city", 30), ("customer_master", "state", 30),
+                        ("product_master", "productcode", 100), ("product_master", "productname", 100),
+                        ("product_master", "sku", 100), ("order_details", "order_status", 20))),
+    "check_status_domain": f"""
+SELECT order_status, CAST(count(*) AS BIGINT) AS n_rows,
+       coalesce(order_status IN ('Received', 'InProgress', 'Delivered'), false) AS in_domain,
+       {_NORM} AS normalized_status
+FROM order_details GROUP BY order_status
+""",
+    "incremental_items": """
+SELECT * FROM order_items oi
+WHERE oi.orderid IN (SELECT orderid FROM order_details
+                     WHERE order_status_update_timestamp >= TIMESTAMP '2000-01-01 00:00:00')
+""",
+    "continue_keys": """
+, batch AS (
+  SELECT orderid, customerid, order_status_update_timestamp FROM order_details
+  WHERE order_status_update_timestamp >= TIMESTAMP '2000-01-01 00:00:00' AND order_status = 'Received'
+)
+SELECT orderid, customerid, order_status_update_timestamp,
+       CAST(coalesce((SELECT max(orderid) FROM order_details
+                      WHERE order_status_update_timestamp < TIMESTAMP '2000-01-01 00:00:00'), 0)
+            + row_number() OVER (ORDER BY orderid NULLS FIRST, customerid NULLS FIRST,
+                                 order_status_update_timestamp NULLS FIRST) AS BIGINT) AS new_orderid
+FROM batch
 """,
 }
 
 
+# Queries whose oracle is another query's SQL (same result by definition).
+_SAME_AS = {"refresh_fact": "fact_daily_orders"}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: BINDING + body for name, body in _BODIES.items()}
+    out = {name: BINDING + body for name, body in _BODIES.items()}
+    for name, same in _SAME_AS.items():
+        out[name] = out[same]
+    return out

@@ -25,7 +25,9 @@ REGISTRY: dict[str, Query] = {}
 def query(name: str):
     def wrap(fn: Callable[[dict[str, DataFrame]], DataFrame]) -> Callable:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(bind_sources(spark, sf_dir))
+            src = bind_sources(spark, sf_dir)
+            src["_spark"], src["_sf_dir"] = spark, sf_dir
+            return fn(src)
         run.__name__ = name
         run.__doc__ = fn.__doc__
         REGISTRY[name] = run
@@ -97,3 +99,267 @@ def _dim_customer(src): return dims.dim_customer(src)
 
 @query("dim_customer_pipeline")
 def _dim_customer_pipe(src): return dims.dim_customer_pipeline(src)
+
+
+# --- operator-level queries ------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from .. import schemas  # noqa: E402
+from ..functions import (  # noqa: E402
+    as_of_date, date_sequence, is_not_status_keep_null, is_status, is_status_exact,
+    seconds_between, whole_seconds_between)
+from ..operators import keys, lifecycle, profile, quality, relational, totals  # noqa: E402
+from ..sinks.conform import as_text, conform  # noqa: E402
+from . import incremental  # noqa: E402
+
+TS = lifecycle.TS
+
+
+@query("scan_sources")
+def _scan_sources(src):
+    """SELECT * FROM order_details (full scan)."""
+    return src["order_details"]
+
+
+@query("scan_projected")
+def _scan_projected(src):
+    return src["order_details"].select("orderid", TS, "order_status")
+
+
+@query("literal_table")
+def _literal_table(src):
+    """A literal lookup (status -> lifecycle step) joined to row counts."""
+    spark = src["order_details"].sparkSession
+    steps = spark.createDataFrame(
+        [(s, i + 1) for i, s in enumerate(schemas.STATUS_DOMAIN)], "order_status string, step int")
+    counts = src["order_details"].groupBy("order_status").agg(F.count(F.lit(1)).alias("n_rows"))
+    return steps.join(counts, "order_status", "left").select(
+        "order_status", "step", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+@query("conform_schema")
+def _conform_schema(src):
+    """Products staged as text (booleans as 'True'/'False') conformed back."""
+    pm = src["product_master"].withColumn(
+        "isactive", F.when(F.col("isactive"), F.lit("True")).when(~F.col("isactive"), F.lit("False")))
+    return conform(as_text(pm), schemas.PRODUCT_MASTER)
+
+
+@query("conform_timestamps")
+def _conform_timestamps(src):
+    """Status history staged as text conformed back (timestamps parsed)."""
+    return conform(as_text(src["order_details"]), schemas.ORDER_DETAILS)
+
+
+@query("rename_columns")
+def _rename(src):
+    return relational.rename_columns(src["order_details"], {
+        "orderid": "order_id", "customerid": "customer_id",
+        "order_status_update_timestamp": "order_status_update_timestamp"})
+
+
+@query("drop_columns")
+def _drop(src):
+    return relational.drop_columns(src["product_master"], "sku", "productname", "productcode", "isactive")
+
+
+@query("validity_columns")
+def _validity(src):
+    return src["customer_master"].select(
+        "customerid",
+        F.col("update_timestamp").cast("date").alias("start_date"),
+        F.lit(None).cast("date").alias("end_date"),
+        as_of_date(AS_OF).alias("loaded_on"))
+
+
+@query("line_amount")
+def _line_amount(src):
+    return totals.line_amount(src["order_items"], src["product_master"])
+
+
+@query("dense_surrogate_key")
+def _dense_key(src):
+    return keys.dense_surrogate_key(
+        src["customer_master"].select("customerid", "address", "city", "state", "pincode"),
+        ["customerid"], "address_id", start=schemas.ADDRESS_KEY_START)
+
+
+@query("filter_delivered")
+def _filter_delivered(src):
+    return src["order_details"].filter(is_status_exact(schemas.STATUS_DELIVERED))
+
+
+@query("filter_not_in_progress")
+def _filter_nip(src):
+    return src["order_details"].filter(is_not_status_keep_null(schemas.PIPELINE_IN_PROGRESS_LITERAL))
+
+
+@query("incremental_status")
+def _inc_status(src):
+    return incremental.incremental_status(src["order_details"], CUTOFF)
+
+
+@query("order_lifecycle")
+def _order_lifecycle(src):
+    return lifecycle.order_lifecycle(src["order_details"])
+
+
+@query("customer_status_history")
+def _cust_hist(src):
+    return lifecycle.customer_status_history(src["customer_master"], src["order_details"])
+
+
+@query("item_status_history")
+def _item_hist(src):
+    return src["order_items"].join(
+        src["order_details"].select("orderid", TS, "order_status"), "orderid", "left")
+
+
+@query("orders_with_items")
+def _orders_with_items(src):
+    life = lifecycle.order_lifecycle(src["order_details"])
+    return (life.join(src["order_items"], "orderid", "left")
+            .join(src["product_master"].select("productid", "rate"), "productid", "left")
+            .select("orderid", "customerid", "order_received_timestamp", "order_delivery_timestamp",
+                    "productid", "quantity", "rate"))
+
+
+@query("customer_first_events")
+def _cust_first(src):
+    return lifecycle.customer_first_events(src["customer_master"], src["order_details"])
+
+
+@query("order_item_totals")
+def _order_item_totals(src):
+    return totals.order_item_totals(src["order_items"], src["product_master"])
+
+
+@query("max_keys")
+def _max_keys(src):
+    return incremental.max_keys(src)
+
+
+@query("profile_table")
+def _profile(src):
+    return profile.profile_table(src["customer_master"])
+
+
+@query("unique_order_counts")
+def _unique_counts(src):
+    return (profile.unique_count(src["order_details"], "order_details", "orderid")
+            .unionByName(profile.unique_count(src["order_items"], "order_items", "orderid")))
+
+
+@query("distinct_rows")
+def _distinct(src):
+    return relational.distinct_rows(src["order_items"])
+
+
+@query("sorted_orders")
+def _sorted(src):
+    return relational.sorted_by(src["order_details"], "orderid", TS, "order_status")
+
+
+@query("preview_first_n")
+def _preview(src):
+    return relational.preview(src["order_details"], 10, "orderid", TS, "order_status")
+
+
+@query("status_history_union")
+def _union(src):
+    from ..sources.binding import status_frames
+    spark, sf_dir = src["_spark"], src["_sf_dir"]
+    return relational.union_all(*status_frames(spark, sf_dir))
+
+
+@query("delivery_seconds")
+def _delivery_seconds(src):
+    life = lifecycle.delivered_only(lifecycle.order_lifecycle(src["order_details"]))
+    return life.select(
+        "orderid",
+        seconds_between("order_received_timestamp", "order_delivery_timestamp").alias("delivery_seconds"),
+        whole_seconds_between("order_received_timestamp", "order_delivery_timestamp")
+        .alias("delivery_seconds_int"))
+
+
+@query("product_labels")
+def _product_labels(src):
+    return src["product_master"].select("productid", "productname", "productcode", "sku")
+
+
+@query("date_spine")
+def _date_spine(src):
+    """Every day between the first and last Received date, with the number of
+    orders received that day (0 on days without orders)."""
+    received = (src["order_details"].filter(is_status(schemas.STATUS_RECEIVED))
+                .select(F.to_date(TS).alias("day")))
+    per_day = received.groupBy("day").agg(F.count(F.lit(1)).alias("n_orders"))
+    spine = (per_day.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+             .select(F.explode(date_sequence("lo", "hi")).alias("day")))
+    return (spine.join(per_day, "day", "left")
+            .select("day", F.coalesce("n_orders", F.lit(0)).alias("n_orders")))
+
+
+@query("check_not_null")
+def _check_not_null(src):
+    return (quality.check_not_null(src["customer_master"], "customer_master",
+                                   ["customerid", "name", "address", "city", "state", "pincode"])
+            .unionByName(quality.check_not_null(src["order_items"], "order_items", ["orderid"]))
+            .unionByName(quality.check_not_null(src["order_details"], "order_details",
+                                                ["orderid", TS, "order_status"])))
+
+
+@query("check_primary_key")
+def _check_pk(src):
+    return (quality.check_primary_key(src["customer_master"], "customer_master", ["customerid"])
+            .unionByName(quality.check_primary_key(src["product_master"], "product_master", ["productid"])))
+
+
+@query("check_foreign_key")
+def _check_fk(src):
+    return (quality.check_foreign_key(src["order_details"], "order_details", "customerid",
+                                      src["customer_master"], "customerid")
+            .unionByName(quality.check_foreign_key(src["order_items"], "order_items", "productid",
+                                                   src["product_master"], "productid")))
+
+
+@query("check_varchar_length")
+def _check_len(src):
+    parts = [quality.check_varchar_length(src[t], t, quality.source_varchar_limits(t))
+             for t in ("customer_master", "product_master", "order_details")]
+    return relational.union_all(*parts)
+
+
+@query("check_status_domain")
+def _check_domain(src):
+    return quality.check_status_domain(src["order_details"])
+
+
+@query("incremental_items")
+def _inc_items(src):
+    inc = incremental.incremental_status(src["order_details"], CUTOFF)
+    return incremental.incremental_items(src["order_items"], inc)
+
+
+@query("continue_keys")
+def _continue_keys(src):
+    """Orders first received at/after the cutoff, renumbered above the
+    largest order id seen before it."""
+    od = src["order_details"]
+    before = od.filter(F.col(TS) < F.lit(CUTOFF))
+    batch = (incremental.incremental_status(od, CUTOFF)
+             .filter(is_status_exact(schemas.STATUS_RECEIVED))
+             .select("orderid", "customerid", TS))
+    return keys.continue_keys(batch, before, "orderid", ["orderid"], "new_orderid")
+
+
+@query("refresh_fact")
+def _refresh_fact(src):
+    """Fact built from the history before the cutoff, then refreshed with the
+    increment; equals the full rebuild."""
+    from .facts import fact_daily_orders
+    od = src["order_details"]
+    old = dict(src, order_details=od.filter(F.col(TS) < F.lit(CUTOFF)))
+    previous = fact_daily_orders(old)
+    inc = incremental.incremental_status(od, CUTOFF)
+    return incremental.refresh_fact(previous, src, inc)
