@@ -33,17 +33,18 @@ def affected_orders(increment: DataFrame) -> DataFrame:
 
 def incremental_items(order_items: DataFrame, increment: DataFrame) -> DataFrame:
     """Item lines of the orders touched by the increment (semi join)."""
-    return order_items.join(affected_orders(increment), "orderid", "left_semi")
+    return (order_items.join(affected_orders(increment), "orderid", "left_semi")
+            .select(*order_items.columns))
 
 
 def refresh_fact(previous_fact: DataFrame, src: Sources, increment: DataFrame) -> DataFrame:
     """previous fact minus affected orders, plus those orders rebuilt."""
     affected = affected_orders(increment)
     scoped = dict(src)
-    scoped["order_details"] = src["order_details"].join(affected, "orderid", "left_semi")
-    scoped["order_items"] = src["order_items"].join(affected, "orderid", "left_semi")
+    for name in ("order_details", "order_items"):
+        scoped[name] = src[name].join(affected, "orderid", "left_semi").select(*src[name].columns)
     rebuilt = fact_daily_orders(scoped)
-    kept = previous_fact.join(affected, "orderid", "left_anti")
+    kept = previous_fact.join(affected, "orderid", "left_anti").select(*previous_fact.columns)
     return kept.unionByName(rebuilt)
 
 
