@@ -93,12 +93,12 @@ _BODIES: dict[str, str] = {
     # ---------------------------------------------------- composite outputs
     "fact_daily_orders": f"""
 , life AS (
-  SELECT orderid, customerid,
+  SELECT orderid, min(customerid) AS customerid,
          min(CASE WHEN {_NORM} = 'received' THEN order_status_update_timestamp END) AS order_received_timestamp,
          max(CASE WHEN {_NORM} = 'delivered' THEN order_status_update_timestamp END) AS order_delivery_timestamp
   FROM order_details
   WHERE orderid IS NOT NULL AND customerid IS NOT NULL
-  GROUP BY orderid, customerid
+  GROUP BY orderid
 ),
 totals AS (
   SELECT oi.orderid,
@@ -407,6 +407,13 @@ SELECT order_status, CAST(count(*) AS BIGINT) AS n_rows,
        coalesce(order_status IN ('Received', 'InProgress', 'Delivered'), false) AS in_domain,
        {_NORM} AS normalized_status
 FROM order_details GROUP BY order_status
+""",
+    "check_order_customer": """
+SELECT orderid, min(customerid) AS min_customerid, max(customerid) AS max_customerid,
+       CAST(count(*) - count(customerid) AS BIGINT) AS n_null_customer
+FROM order_details WHERE orderid IS NOT NULL
+GROUP BY orderid
+HAVING min(customerid) <> max(customerid) OR (count(*) > count(customerid) AND min(customerid) IS NOT NULL)
 """,
     "incremental_items": """
 SELECT * FROM order_items oi

@@ -21,16 +21,32 @@ def _pred(status: str, exact: bool):
 
 
 def order_lifecycle(order_details: DataFrame, keys: tuple[str, ...] = ("orderid", "customerid"),
-                    exact: bool = False, delivered_agg: str = "max") -> DataFrame:
+                    exact: bool = False, delivered_agg: str = "max",
+                    carry: tuple[str, ...] = ()) -> DataFrame:
     """Per order: earliest Received time and the Delivered time (latest by
     default; ``delivered_agg='min'`` gives the first).  ``exact`` compares the
-    raw status text instead of the normalised spelling."""
+    raw status text instead of the normalised spelling.  ``carry`` columns
+    are functionally dependent on the keys and ride along as ``min``: grouping
+    by the order key alone leaves the result hash-partitioned on it, so a
+    following join on the order key needs no second shuffle."""
     agg = F.max if delivered_agg == "max" else F.min
     return order_details.groupBy(*keys).agg(
+        *[F.min(c).alias(c) for c in carry],
         F.min(F.when(_pred(schemas.STATUS_RECEIVED, exact), F.col(TS))).alias("order_received_timestamp"),
         agg(F.when(_pred(schemas.STATUS_DELIVERED, exact), F.col(TS))).alias("order_delivery_timestamp"))
 
 
+def orders_with_several_customers(order_details: DataFrame) -> DataFrame:
+    """Orders whose status rows name more than one customer (the order-grain
+    fact assumes one customer per order; this check gates the publish)."""
+    return (order_details.filter(F.col("orderid").isNotNull())
+            .groupBy("orderid")
+            .agg(F.min("customerid").alias("min_customerid"), F.max("customerid").alias("max_customerid"),
+                 F.count_if(F.col("customerid").isNull()).alias("n_null_customer"))
+            .filter((F.col("min_customerid") != F.col("max_customerid"))
+                    | ((F.col("n_null_customer") > 0) & F.col("min_customerid").isNotNull())))
+
+
 def delivered_only(lifecycle: DataFrame) -> DataFrame:
     """Orders that have both a Received and a Delivered time."""
     return lifecycle.filter(F.col("order_received_timestamp").isNotNull()

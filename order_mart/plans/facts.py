@@ -26,8 +26,14 @@ Sources = dict[str, DataFrame]
 
 
 def fact_daily_orders(src: Sources) -> DataFrame:
+    """One row per delivered order.  The lifecycle is grouped by the order key
+    (its customer carried along), so lifecycle and item totals come out of
+    their aggregates hash-partitioned the same way and meet without another
+    exchange.  An order whose status rows disagree on the customer is a data
+    error reported by ``check_order_customer``."""
     life = delivered_only(order_lifecycle(
-        src["order_details"].filter(F.col("orderid").isNotNull() & F.col("customerid").isNotNull())))
+        src["order_details"].filter(F.col("orderid").isNotNull() & F.col("customerid").isNotNull()),
+        keys=("orderid",), carry=("customerid",)))
     totals = order_item_totals(src["order_items"], src["product_master"])
     pincodes = src["customer_master"].select("customerid", "pincode")
     fact = (life.join(totals, "orderid", "left")

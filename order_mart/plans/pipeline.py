@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schemas
 from ..config import scratch_path
 from ..functions import normalized_status
-from ..operators import quality, relational
+from ..operators import lifecycle, quality, relational
 from ..sinks.writers import publish
 from . import dims, facts
 
@@ -81,6 +81,9 @@ def check_summary(src: Sources, targets: dict[str, DataFrame]) -> DataFrame:
                   .select(F.lit("order_details").alias("table_name"),
                           F.lit("order_status").alias("column_name"), "n_rows"))
     parts.append(summarize(bad_status, "status_domain", "n_rows"))
+    several = (lifecycle.orders_with_several_customers(src["order_details"])
+               .select(F.lit("order_details").alias("table_name"), F.lit("customerid").alias("column_name")))
+    parts.append(summarize(several, "one_customer_per_order"))
     for table, df in targets.items():
         target_schema = schemas.TARGETS.get(table)
         cols = schemas.not_null_columns(target_schema) if target_schema else []

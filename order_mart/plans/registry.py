@@ -335,6 +335,11 @@ def _check_domain(src):
     return quality.check_status_domain(src["order_details"])
 
 
+@query("check_order_customer")
+def _check_order_customer(src):
+    return lifecycle.orders_with_several_customers(src["order_details"])
+
+
 @query("incremental_items")
 def _inc_items(src):
     inc = incremental.incremental_status(src["order_details"], CUTOFF)

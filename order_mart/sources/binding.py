@@ -22,8 +22,24 @@ PINCODE_BASE, PINCODE_RANGE = 100000, 900000
 IN_PROGRESS_MULT, DELIVERED_MULT, DAY_SECONDS = 7919, 104729, 86400
 
 
+# Column types of the shared test tables (read with a schema: no footer
+# inference pass, and a changed file fails loudly instead of drifting).
+TEST_TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.schema(TEST_TABLE_SCHEMAS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,8 +118,22 @@ def status_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
             steps.filter(F.col("_st") == "F").select(*cols("_t2", schemas.STATUS_DELIVERED)))
 
 
+_BOUND: dict[tuple[int, str], dict[str, DataFrame]] = {}
+
+
 def bind_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All four sources as lazy DataFrames over ``sf_dir``."""
+    """All four sources as lazy DataFrames over ``sf_dir``.
+
+    The (lazy) plans are built once per session and folder and shared by
+    every query; no data is cached, each query still reads the files.
+    """
+    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
+    if key not in _BOUND:
+        _BOUND[key] = _bind(spark, sf_dir)
+    return dict(_BOUND[key])
+
+
+def _bind(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "customer_master": customer_master(spark, sf_dir),
         "product_master": product_master(spark, sf_dir),
