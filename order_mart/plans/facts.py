@@ -71,7 +71,9 @@ def fact_daily_orders_pipeline(src: Sources) -> DataFrame:
                     .alias("order_delivery_time_sec")))
 
 
-def fact_daily_orders_sql(src: Sources) -> DataFrame:
+def fact_daily_orders_sql(src: Sources, ordered: bool = False) -> DataFrame:
+    """``ordered`` adds the original ORDER BY orderid (a range-partitioned
+    global sort); leave it off when the result is written or aggregated."""
     od = src["order_details"].filter(F.col("orderid").isNotNull() & F.col("customerid").isNotNull())
     status = od.groupBy("orderid", "customerid").agg(
         F.count(F.lit(1)).alias("_n_status"),
@@ -84,13 +86,14 @@ def fact_daily_orders_sql(src: Sources) -> DataFrame:
              .agg(F.sum("line_amount").alias("_amount"),
                   F.sum(F.col("quantity").cast("bigint")).alias("_count")))
     fan_out = F.col("_n_status") * F.col("_n_customer")
-    return (status.join(customers, "customerid").join(items, "orderid")
+    out = (status.join(customers, "customerid").join(items, "orderid")
             .select("customerid", "orderid", "order_received_timestamp", "order_delivery_timestamp",
                     "pincode",
                     (fan_out * F.col("_amount")).alias("order_amount"),
                     (fan_out * F.col("_count")).alias("item_count"),
                     whole_seconds_between("order_received_timestamp", "order_delivery_timestamp")
                     .alias("order_delivery_time_seconds")))
+    return out.orderBy("orderid") if ordered else out
 
 
 def f_order_details(src: Sources) -> DataFrame:
