@@ -11,6 +11,15 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def ntz_literal(value: dt.datetime | str) -> Column:
+    """A TIMESTAMP_NTZ literal parsed from text.  (A Python datetime literal
+    becomes a session-zone TIMESTAMP via the driver's local zone; comparing it
+    with an NTZ column would shift the value when the two zones differ.)"""
+    if isinstance(value, dt.datetime):
+        value = value.isoformat(sep=" ")
+    return F.lit(value).cast("timestamp_ntz")
+
+
 def plus_seconds(ts: Column | str, seconds: Column | str) -> Column:
     """ts + n seconds as a day-time interval (no zone conversion)."""
     return _c(ts) + F.make_dt_interval(secs=_c(seconds).cast("decimal(18,6)"))

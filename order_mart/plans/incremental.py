@@ -13,6 +13,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions import ntz_literal
 from ..operators.lifecycle import TS
 from .facts import fact_daily_orders
 
@@ -22,9 +23,7 @@ Sources = dict[str, DataFrame]
 def incremental_status(order_details: DataFrame, cutoff: dt.datetime | str) -> DataFrame:
     """Status rows with ts >= cutoff (a plain comparison, so it reaches the
     Parquet reader as a pushed filter / row-group skip)."""
-    if isinstance(cutoff, str):
-        cutoff = dt.datetime.fromisoformat(cutoff)
-    return order_details.filter(F.col(TS) >= F.lit(cutoff).cast("timestamp_ntz"))
+    return order_details.filter(F.col(TS) >= ntz_literal(cutoff))
 
 
 def affected_orders(increment: DataFrame) -> DataFrame:

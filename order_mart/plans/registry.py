@@ -106,7 +106,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from .. import schemas  # noqa: E402
 from ..functions import (  # noqa: E402
-    as_of_date, date_sequence, is_not_status_keep_null, is_status, is_status_exact,
+    as_of_date, date_sequence, is_not_status_keep_null, ntz_literal, is_status, is_status_exact,
     seconds_between, whole_seconds_between)
 from ..operators import keys, lifecycle, profile, quality, relational, totals  # noqa: E402
 from ..sinks.conform import as_text, conform  # noqa: E402
@@ -351,7 +351,7 @@ def _continue_keys(src):
     """Orders first received at/after the cutoff, renumbered above the
     largest order id seen before it."""
     od = src["order_details"]
-    before = od.filter(F.col(TS) < F.lit(CUTOFF))
+    before = od.filter(F.col(TS) < ntz_literal(CUTOFF))
     batch = (incremental.incremental_status(od, CUTOFF)
              .filter(is_status_exact(schemas.STATUS_RECEIVED))
              .select("orderid", "customerid", TS))
@@ -364,7 +364,7 @@ def _refresh_fact(src):
     increment; equals the full rebuild."""
     from .facts import fact_daily_orders
     od = src["order_details"]
-    old = dict(src, order_details=od.filter(F.col(TS) < F.lit(CUTOFF)))
+    old = dict(src, order_details=od.filter(F.col(TS) < ntz_literal(CUTOFF)))
     previous = fact_daily_orders(old)
     inc = incremental.incremental_status(od, CUTOFF)
     return incremental.refresh_fact(previous, src, inc)

@@ -31,3 +31,16 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 493
     assert df.columns == [f.name for f in __import__("order_mart.schemas", fromlist=["x"]).FACT_DAILY_ORDERS]
+
+
+@pytest.mark.parametrize("name", ["incremental_status", "continue_keys", "refresh_fact", "delivery_seconds",
+                                  "fact_daily_orders", "fact_daily_orders_pipeline", "dim_customer",
+                                  "date_spine", "conform_timestamps"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        res = compare(E.queries()[name](spark, SF0001), con, SQL[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert res["values_match"], res

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from order_mart.functions import ntz_literal
 from order_mart.operators import lifecycle, quality
 from order_mart.plans import dims, facts, incremental
 
@@ -153,7 +154,7 @@ def test_late_delivery_refresh_equals_rebuild(make_sources):
     src = make_sources(customers=[cust(1), cust(2)], products=[prod(1), prod(2, rate=7)],
                        details=details, items=[(1, 1, 2), (2, 2, 1), (3, 1, 5), (3, 2, 1)])
     od = src["order_details"]
-    previous = facts.fact_daily_orders(dict(src, order_details=od.filter(F.col(lifecycle.TS) < cutoff)))
+    previous = facts.fact_daily_orders(dict(src, order_details=od.filter(F.col(lifecycle.TS) < ntz_literal(cutoff))))
     assert previous.filter("orderid = 1").count() == 0          # not yet delivered before the cutoff
     inc = incremental.incremental_status(od, cutoff)
     refreshed = incremental.refresh_fact(previous, src, inc)
