@@ -55,8 +55,9 @@ def delivered_only(lifecycle: DataFrame) -> DataFrame:
 
 def customer_status_history(customer_master: DataFrame, order_details: DataFrame) -> DataFrame:
     """customers LEFT JOIN status history on customerid (row grain)."""
-    return (customer_master.select("customerid", "name")
-            .join(order_details.select("customerid", TS, "order_status"), "customerid", "left"))
+    from .joins import left_join_split
+    return left_join_split(customer_master.select("customerid", "name"),
+                           order_details.select("customerid", TS, "order_status"), "customerid")
 
 
 def customer_first_events(customer_master: DataFrame, order_details: DataFrame) -> DataFrame:

@@ -108,7 +108,7 @@ from .. import schemas  # noqa: E402
 from ..functions import (  # noqa: E402
     as_of_date, date_sequence, is_not_status_keep_null, ntz_literal, is_status, is_status_exact,
     seconds_between, whole_seconds_between)
-from ..operators import keys, lifecycle, profile, quality, relational, totals  # noqa: E402
+from ..operators import joins, keys, lifecycle, profile, quality, relational, totals  # noqa: E402
 from ..sinks.conform import as_text, conform  # noqa: E402
 from . import incremental  # noqa: E402
 
@@ -211,14 +211,14 @@ def _cust_hist(src):
 
 @query("item_status_history")
 def _item_hist(src):
-    return src["order_items"].join(
-        src["order_details"].select("orderid", TS, "order_status"), "orderid", "left")
+    return joins.left_join_split(
+        src["order_items"], src["order_details"].select("orderid", TS, "order_status"), "orderid")
 
 
 @query("orders_with_items")
 def _orders_with_items(src):
     life = lifecycle.order_lifecycle(src["order_details"])
-    return (life.join(src["order_items"], "orderid", "left")
+    return (joins.left_join_split(life, src["order_items"], "orderid")
             .join(src["product_master"].select("productid", "rate"), "productid", "left")
             .select("orderid", "customerid", "order_received_timestamp", "order_delivery_timestamp",
                     "productid", "quantity", "rate"))
