@@ -51,7 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured shared folder is an error rather than a silent fallback to a
     machine-local path.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -127,7 +127,7 @@ def bind_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     The (lazy) plans are built once per session and folder and shared by
     every query; no data is cached, each query still reads the files.
     """
-    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
+    key = (id(getattr(spark, "_jsparkSession", spark)), os.path.abspath(sf_dir))
     if key not in _BOUND:
         _BOUND[key] = _bind(spark, sf_dir)
     return dict(_BOUND[key])
