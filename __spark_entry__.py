@@ -9,10 +9,17 @@ order sources (``order_mart.sources.binding``), spelled out below as CTEs.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# make the package importable however this file is loaded
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
