@@ -54,41 +54,61 @@ def build_pipeline_targets(src: Sources, as_of: dt.date | str | None = None) ->
 
 
 def check_summary(src: Sources, targets: dict[str, DataFrame]) -> DataFrame:
-    """One row per check: (check, table_name, column_name, n_violations)."""
+    """One row per check: (check, table_name, column_name, n_violations).
+
+    Each check reduces to a single number with a global aggregate (partial
+    counts per task, one tiny final step) or is already one row per column,
+    so the union of all checks is one job with no extra keyed shuffle.
+    """
     parts: list[DataFrame] = []
 
-    def summarize(df: DataFrame, check: str, count_col: str | None = None) -> DataFrame:
+    def total(df: DataFrame, check: str, table: str, column: str, count_col: str | None = None) -> DataFrame:
         n = F.sum(count_col) if count_col else F.count(F.lit(1))
-        return (df.groupBy("table_name", "column_name").agg(n.cast("bigint").alias("n_violations"))
-                .select(F.lit(check).alias("check"), "table_name", "column_name", "n_violations"))
+        return df.agg(F.coalesce(n.cast("bigint"), F.lit(0)).alias("n_violations")).select(
+            F.lit(check).alias("check"), F.lit(table).alias("table_name"),
+            F.lit(column).alias("column_name"), "n_violations")
+
+    def per_column(df: DataFrame, check: str, count_col: str) -> DataFrame:
+        return df.select(F.lit(check).alias("check"), "table_name", "column_name",
+                         F.col(count_col).cast("bigint").alias("n_violations"))
 
     for table, keys in schemas.PRIMARY_KEYS.items():
-        pk = quality.check_primary_key(src[table], table, keys).withColumn(
-            "column_name", F.lit(",".join(keys)))
-        parts.append(summarize(pk, "primary_key", "n_rows"))
+        parts.append(total(quality.check_primary_key(src[table], table, keys),
+                           "primary_key", table, ",".join(keys), "n_rows"))
     for child, col, parent, pcol in schemas.FOREIGN_KEYS:
-        parts.append(summarize(
-            quality.check_foreign_key(src[child], child, col, src[parent], pcol), "foreign_key", "n_rows"))
-    parts.append(summarize(quality.check_not_null(src["order_items"], "order_items", ["orderid"]),
-                           "not_null", "n_null"))
+        parts.append(total(quality.check_foreign_key(src[child], child, col, src[parent], pcol),
+                           "foreign_key", child, col, "n_rows"))
+    parts.append(per_column(quality.check_not_null(src["order_items"], "order_items", ["orderid"]),
+                            "not_null", "n_null"))
     for table in ("customer_master", "product_master", "order_details"):
-        parts.append(summarize(
+        parts.append(per_column(
             quality.check_varchar_length(src[table], table, quality.source_varchar_limits(table)),
             "varchar_length", "n_too_long"))
     domain = [s.lower() for s in schemas.STATUS_DOMAIN]
     bad_status = (quality.check_status_domain(src["order_details"])
-                  .filter(~F.coalesce(F.col("normalized_status").isin(*domain), F.lit(False)))
-                  .select(F.lit("order_details").alias("table_name"),
-                          F.lit("order_status").alias("column_name"), "n_rows"))
-    parts.append(summarize(bad_status, "status_domain", "n_rows"))
-    several = (lifecycle.orders_with_several_customers(src["order_details"])
-               .select(F.lit("order_details").alias("table_name"), F.lit("customerid").alias("column_name")))
-    parts.append(summarize(several, "one_customer_per_order"))
+                  .filter(~F.coalesce(F.col("normalized_status").isin(*domain), F.lit(False))))
+    parts.append(total(bad_status, "status_domain", "order_details", "order_status", "n_rows"))
+    parts.append(total(lifecycle.orders_with_several_customers(src["order_details"]),
+                       "one_customer_per_order", "order_details", "customerid"))
+    if targets:
+        parts.append(target_checks(targets))
+    return relational.union_all(*parts).filter(F.col("n_violations") > 0)
+
+
+def target_checks(targets: dict[str, DataFrame]) -> DataFrame:
+    """NOT NULL columns of every (staged) target, one row per column."""
+    parts = []
     for table, df in targets.items():
         target_schema = schemas.TARGETS.get(table)
         cols = schemas.not_null_columns(target_schema) if target_schema else []
         if cols:
-            parts.append(summarize(quality.check_not_null(df, table, cols), "not_null", "n_null"))
+            parts.append(quality.check_not_null(df, table, cols).select(
+                F.lit("not_null").alias("check"), "table_name", "column_name",
+                F.col("n_null").cast("bigint").alias("n_violations")))
+    spark = next(iter(targets.values())).sparkSession if targets else None
+    if not parts:
+        return spark.createDataFrame([], "check string, table_name string, column_name string, "
+                                         "n_violations bigint") if spark else None
     return relational.union_all(*parts).filter(F.col("n_violations") > 0)
 
 
@@ -107,24 +127,41 @@ class PipelineResult:
 
 def run_pipeline(spark: SparkSession, src: Sources, database: str, as_of: dt.date | str | None = None,
                  variant: str = "canonical", mode: str = "overwrite",
-                 stage_dir: str | None = None, enforce: bool = True) -> PipelineResult:
-    """Build, stage, check and publish the six targets into ``database``."""
+                 stage_dir: str | None = None, enforce: bool = True,
+                 concurrency: int = 3) -> PipelineResult:
+    """Build, stage, check and publish the six targets into ``database``.
+
+    The targets are independent jobs; ``concurrency`` of them are submitted
+    at once from driver threads so one job's tail tasks overlap the next
+    job's work (only job handles live on the driver, never data)."""
     targets = (build_targets(src, as_of) if variant == "canonical"
                else build_pipeline_targets(src, as_of))
     stage_dir = stage_dir or scratch_path(spark, "stage")
-    staged: dict[str, str] = {}
-    for name, df in targets.items():
-        path = os.path.join(stage_dir, name)
-        df.write.mode("overwrite").parquet(path)
-        staged[name] = path
+    staged = {name: os.path.join(stage_dir, name) for name in targets}
+    source_violations: list[dict] = []
+    jobs = [lambda n=n: targets[n].write.mode("overwrite").parquet(staged[n]) for n in targets]
+    jobs.append(lambda: source_violations.extend(r.asDict() for r in check_summary(src, {}).collect()))
+    _run_all(jobs, concurrency)
     staged_frames = {n: spark.read.parquet(p) for n, p in staged.items()}
-    checked = staged_frames if variant == "canonical" else {}
-    violations = [r.asDict() for r in check_summary(src, checked).collect()]
+    violations = list(source_violations)
+    if variant == "canonical":
+        violations += [r.asDict() for r in target_checks(staged_frames).collect()]
     if violations and enforce:
         raise QualityError(violations)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    published = []
-    for name, df in staged_frames.items():
-        publish(df, f"{database}.{name}", mode)
-        published.append(f"{database}.{name}")
+    published = [f"{database}.{name}" for name in staged_frames]
+    _run_all([lambda n=n: publish(staged_frames[n], f"{database}.{n}", mode) for n in staged_frames],
+             concurrency)
     return PipelineResult(published, staged, violations)
+
+
+def _run_all(jobs: list, concurrency: int) -> None:
+    """Run Spark actions from a few driver threads; re-raise the first error."""
+    if concurrency <= 1:
+        for job in jobs:
+            job()
+        return
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=concurrency) as pool:
+        for fut in [pool.submit(job) for job in jobs]:
+            fut.result()

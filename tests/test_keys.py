@@ -32,3 +32,11 @@ def test_continue_keys(spark):
     assert sorted(r.new_id for r in out2.collect()) == [1, 2]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_sizing_scales_with_input():
+    from order_mart.config import sizing
+    small = sizing(10 * 1024 ** 2, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = sizing(100 * 1024 ** 4, 4000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // 4 // (256 * 1024 ** 2)
