@@ -128,12 +128,18 @@ class PipelineResult:
 def run_pipeline(spark: SparkSession, src: Sources, database: str, as_of: dt.date | str | None = None,
                  variant: str = "canonical", mode: str = "overwrite",
                  stage_dir: str | None = None, enforce: bool = True,
-                 concurrency: int = 3) -> PipelineResult:
+                 concurrency: int = 3, publish_by: str = "copy") -> PipelineResult:
     """Build, stage, check and publish the six targets into ``database``.
 
     The targets are independent jobs; ``concurrency`` of them are submitted
     at once from driver threads so one job's tail tasks overlap the next
-    job's work (only job handles live on the driver, never data)."""
+    job's work (only job handles live on the driver, never data).
+
+    ``publish_by="swap"`` (overwrite only) skips the second write: the
+    targets are staged into ``stage_dir`` (a durable, versioned folder the
+    caller owns, e.g. ``<warehouse>/<db>/run=<id>``) and publishing re-points
+    each catalog table at its staged folder, a metadata-only step.  The
+    previous version's files stay in place until the caller removes them."""
     targets = (build_targets(src, as_of) if variant == "canonical"
                else build_pipeline_targets(src, as_of))
     stage_dir = stage_dir or scratch_path(spark, "stage")
@@ -150,6 +156,11 @@ def run_pipeline(spark: SparkSession, src: Sources, database: str, as_of: dt.dat
         raise QualityError(violations)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     published = [f"{database}.{name}" for name in staged_frames]
+    if publish_by == "swap" and mode == "overwrite":
+        for n, path in staged.items():
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{n}")
+            spark.catalog.createTable(f"{database}.{n}", path=path, source="parquet")
+        return PipelineResult(published, staged, violations)
     _run_all([lambda n=n: publish(staged_frames[n], f"{database}.{n}", mode) for n in staged_frames],
              concurrency)
     return PipelineResult(published, staged, violations)

@@ -74,3 +74,17 @@ def test_stream_refresh_equals_rebuild(spark):
     got = spark.table(fact)
     assert got.count() == 493
     assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+
+
+def test_run_pipeline_swap_publish(spark):
+    db = f"mart_{uuid.uuid4().hex[:8]}"
+    run1 = tempfile.mkdtemp(prefix="run1-")
+    src = bind_sources(spark, SF0001)
+    run_pipeline(spark, src, db, as_of="2024-01-01", stage_dir=run1, publish_by="swap")
+    assert spark.table(f"{db}.fact_daily_orders").count() == 493
+    run2 = tempfile.mkdtemp(prefix="run2-")
+    run_pipeline(spark, src, db, as_of="2024-02-01", stage_dir=run2, publish_by="swap")
+    got = {r.start_date.isoformat() for r in spark.table(f"{db}.dim_product").select("start_date").distinct().collect()}
+    assert got == {"2024-02-01"}
+    # the earlier version is untouched on disk
+    assert spark.read.parquet(os.path.join(run1, "dim_product")).select("start_date").distinct().count() == 1
