@@ -206,7 +206,7 @@ FROM customer_master
 """,
     "dim_address_pipeline": """
 SELECT address AS addr, city, state, pincode,
-       CAST(99 + row_number() OVER (ORDER BY customerid, address, city, state, pincode) AS BIGINT) AS addr_id
+       CAST(99 + row_number() OVER (ORDER BY customerid NULLS FIRST, address NULLS FIRST, city NULLS FIRST, state NULLS FIRST, pincode NULLS FIRST) AS BIGINT) AS addr_id
 FROM customer_master
 """,
     "dim_customer": """
@@ -228,7 +228,7 @@ firsts AS (
 ),
 addr AS (
   SELECT customerid,
-         CAST(99 + row_number() OVER (ORDER BY customerid, address, city, state, pincode) AS BIGINT) AS address_id
+         CAST(99 + row_number() OVER (ORDER BY customerid NULLS FIRST, address NULLS FIRST, city NULLS FIRST, state NULLS FIRST, pincode NULLS FIRST) AS BIGINT) AS address_id
   FROM customer_master
 )
 SELECT DISTINCT k.customerid AS customer_id, k.name AS customer_name, f.start_date, f.end_date,
@@ -265,7 +265,7 @@ FROM order_items oi JOIN product_master pm ON oi.productid = pm.productid
 """,
     "dense_surrogate_key": """
 SELECT customerid, address, city, state, pincode,
-       CAST(99 + row_number() OVER (ORDER BY customerid, address, city, state, pincode) AS BIGINT) AS address_id
+       CAST(99 + row_number() OVER (ORDER BY customerid NULLS FIRST, address NULLS FIRST, city NULLS FIRST, state NULLS FIRST, pincode NULLS FIRST) AS BIGINT) AS address_id
 FROM customer_master
 """,
     "filter_delivered": "SELECT * FROM order_details WHERE order_status = 'Delivered'",
