@@ -6,7 +6,7 @@ shared test tables never hit."""
 import datetime as dt
 
 import duckdb
-from hypothesis import HealthCheck, given, settings, strategies as st
+from hypothesis import HealthCheck, example, given, settings, strategies as st
 
 import __spark_entry__ as E
 from order_mart import schemas
@@ -28,16 +28,30 @@ def cust_row(cid, name_null, pin_null):
 
 
 sources = st.fixed_dictionaries({
-    "customer_master": st.lists(st.builds(cust_row, st.integers(1, 4), st.booleans(), st.booleans()),
-                                max_size=5),
-    "product_master": st.lists(st.tuples(st.integers(1, 3), st.just("a01"), st.just("B Oil"), st.just("1KG"),
-                                         st.one_of(st.none(), st.integers(1, 20)), st.booleans()), max_size=4),
-    "order_details": st.lists(st.tuples(st.one_of(st.none(), st.integers(1, 5)),
-                                        st.one_of(st.none(), st.integers(1, 5)), times, statuses), max_size=14),
-    "order_items": st.lists(st.tuples(st.integers(1, 5), st.one_of(st.none(), st.integers(1, 4)),
-                                      st.one_of(st.none(), st.integers(0, 3))), max_size=10),
+    "customer_master": st.lists(st.builds(cust_row, st.integers(1, 2), st.booleans(), st.booleans()),
+                                max_size=4),
+    "product_master": st.lists(st.tuples(st.integers(1, 2), st.just("a01"), st.just("B Oil"), st.just("1KG"),
+                                         st.one_of(st.none(), st.integers(1, 20)), st.booleans()), max_size=3),
+    "order_details": st.lists(st.tuples(st.one_of(st.none(), st.integers(1, 3)),
+                                        st.one_of(st.none(), st.integers(1, 3)), times, statuses), max_size=12),
+    "order_items": st.lists(st.tuples(st.integers(1, 3), st.one_of(st.none(), st.integers(1, 3)),
+                                      st.one_of(st.none(), st.integers(0, 3))), max_size=8),
 })
 
+# A fixed case with every hazard at once: duplicate customer and product
+# rows, an orphan customer and product, NULL keys, both spellings.
+HAZARDS = {
+    "customer_master": [cust_row(1, False, False), cust_row(1, False, False), cust_row(2, True, True)],
+    "product_master": [(1, "a01", "B Oil", "1KG", 5, True), (1, "a01", "B Oil", "1KG", 7, False),
+                       (2, "a02", "C Oil", "1KG", None, True)],
+    "order_details": [(1, 1, BASE, "Received"), (1, 1, BASE + dt.timedelta(hours=6), "In_progress"),
+                      (1, 1, BASE + dt.timedelta(hours=18), "Delivered"),
+                      (2, 2, BASE, "Received"), (2, 2, BASE + dt.timedelta(hours=6), "Delivered"),
+                      (3, 3, BASE, "Received"), (3, 3, BASE, "Delivered"), (None, 1, BASE, "Received"),
+                      (2, None, BASE, None)],
+    "order_items": [(1, 1, 2), (1, 1, 2), (1, 2, 1), (1, 3, 1), (2, None, 3), (3, 1, None)],
+}
+
 CHECKED = {
     "fact_daily_orders": facts.fact_daily_orders,
     "fact_daily_orders_sql": facts.fact_daily_orders_sql,
@@ -75,6 +89,7 @@ def body(name: str) -> str:
 
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(data=sources)
+@example(data=HAZARDS)
 def test_random_sources_match_oracle_sql(spark, data):
     con = duckdb.connect()
     src = {}
