@@ -42,9 +42,7 @@ def refresh_fact(previous_fact: DataFrame, src: Sources, increment: DataFrame) -
     scoped = dict(src)
     for name in ("order_details", "order_items"):
         scoped[name] = src[name].join(affected, "orderid", "left_semi").select(*src[name].columns)
-    rebuilt = fact_daily_orders(scoped)
-    kept = previous_fact.join(affected, "orderid", "left_anti").select(*previous_fact.columns)
-    return kept.unionByName(rebuilt)
+    return _replace_orders(previous_fact, fact_daily_orders(scoped), affected)
 
 
 def max_keys(src: Sources) -> DataFrame:
@@ -55,3 +53,37 @@ def max_keys(src: Sources) -> DataFrame:
     return (one("order_details", "orderid")
             .unionByName(one("customer_master", "customerid"))
             .unionByName(one("product_master", "productid")))
+
+
+def _replace_orders(previous: DataFrame, rebuilt: DataFrame, affected: DataFrame) -> DataFrame:
+    kept = previous.join(affected, "orderid", "left_anti").select(*previous.columns)
+    return kept.unionByName(rebuilt.select(*previous.columns))
+
+
+def refresh_targets(previous: dict[str, DataFrame], src: Sources, increment: DataFrame,
+                    as_of: dt.date | str | None = None) -> dict[str, DataFrame]:
+    """Apply an increment of status rows to all six canonical targets.
+
+    Order-keyed targets (``fact_daily_orders``, ``f_order_details``,
+    ``dim_order``) keep every unaffected order's rows and rebuild the affected
+    orders from their full history, so replaying an increment is harmless and
+    the result equals a full build.  The customer, address and product
+    dimensions do not depend on the status history and are rebuilt from the
+    (small) master tables.
+    """
+    from . import dims
+    from .facts import f_order_details
+
+    affected = affected_orders(increment)
+    scoped = dict(src)
+    for name in ("order_details", "order_items"):
+        scoped[name] = src[name].join(affected, "orderid", "left_semi").select(*src[name].columns)
+    return {
+        "dim_order": _replace_orders(previous["dim_order"], dims.dim_order(scoped), affected),
+        "fact_daily_orders": _replace_orders(previous["fact_daily_orders"], fact_daily_orders(scoped),
+                                             affected),
+        "dim_customer": dims.dim_customer(src),
+        "dim_address": dims.dim_address(src),
+        "dim_product": dims.dim_product(src, as_of),
+        "f_order_details": _replace_orders(previous["f_order_details"], f_order_details(scoped), affected),
+    }
