@@ -20,3 +20,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
 def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
     """A small literal table (lookups, fixtures) with an explicit schema."""
     return spark.createDataFrame(rows, schema)
+
+
+def csv_round_trip(df: DataFrame, path: str, schema: T.StructType) -> DataFrame:
+    """Write ``df`` as headed CSV and read it back under ``schema`` (the
+    CSV staging step of the original pipeline, minus its type drift)."""
+    from ..sinks.writers import write_csv
+    write_csv(df, path)
+    return read_csv(df.sparkSession, path, schema)

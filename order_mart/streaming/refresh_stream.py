@@ -46,3 +46,6 @@ def start_stream_refresh(spark: SparkSession, increments_path: str, load_sources
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+stream_refresh = start_stream_refresh

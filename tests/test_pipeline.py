@@ -106,3 +106,16 @@ def test_run_incremental_matches_full_run(spark):
     for t in schemas.TARGETS:
         a, b = spark.table(f"{db}.{t}"), spark.table(f"{full}.{t}")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, t
+
+
+def test_cli_run_and_check(spark, capsys):
+    from order_mart.__main__ import main
+    base = tempfile.mkdtemp(prefix="cli-")
+    write_stage(bind_sources(spark, SF0001), base)
+    db = f"cli_{uuid.uuid4().hex[:8]}"
+    assert main(["check", "--sources", base], spark=spark) == 0
+    assert main(["run", "--sources", base, "--database", db, "--as-of", "2024-01-01"], spark=spark) == 0
+    assert spark.table(f"{db}.fact_daily_orders").count() == 493
+    assert main(["incremental", "--sources", base, "--database", db, "--cutoff", "1998-01-01 00:00:00",
+                 "--as-of", "2024-01-01"], spark=spark) == 0
+    assert spark.table(f"{db}.fact_daily_orders").count() == 493
