@@ -289,10 +289,10 @@ FROM order_items oi LEFT JOIN order_details od ON oi.orderid = od.orderid
 """,
     "orders_with_items": f"""
 , life AS (
-  SELECT orderid, customerid,
+  SELECT orderid, min(customerid) AS customerid,
          min(CASE WHEN {_NORM} = 'received' THEN order_status_update_timestamp END) AS order_received_timestamp,
          max(CASE WHEN {_NORM} = 'delivered' THEN order_status_update_timestamp END) AS order_delivery_timestamp
-  FROM order_details GROUP BY orderid, customerid
+  FROM order_details WHERE orderid IS NOT NULL GROUP BY orderid
 )
 SELECT l.orderid, l.customerid, l.order_received_timestamp, l.order_delivery_timestamp,
        oi.productid, oi.quantity, pm.rate

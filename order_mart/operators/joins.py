@@ -17,10 +17,15 @@ def left_join_split(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     hot key is one row).  Left rows with a NULL key never match and come out
     of the anti join, exactly as in the outer join.
     """
-    matched = left.join(right, on, "inner")
+    keyed = left.filter(F.col(on).isNotNull())
+    matched = keyed.join(right, on, "inner")
     right_keys = right.select(on).filter(F.col(on).isNotNull()).distinct()
     extra = [c for c in right.columns if c != on]
     rtypes = dict(right.dtypes)
-    unmatched = left.join(right_keys, on, "left_anti").select(
-        *left.columns, *[F.lit(None).cast(rtypes[c]).alias(c) for c in extra])
-    return matched.unionByName(unmatched.select(*matched.columns))
+    nulls = [F.lit(None).cast(rtypes[c]).alias(c) for c in extra]
+    # `keyed` feeds both joins through the same exchange (reused, so the
+    # left side is shuffled once); NULL-key rows never match and skip it.
+    unmatched = keyed.join(right_keys, on, "left_anti").select(*left.columns, *nulls)
+    null_key = left.filter(F.col(on).isNull()).select(*left.columns, *nulls)
+    cols = matched.columns
+    return matched.unionByName(unmatched.select(*cols)).unionByName(null_key.select(*cols))

@@ -217,7 +217,11 @@ def _item_hist(src):
 
 @query("orders_with_items")
 def _orders_with_items(src):
-    life = lifecycle.order_lifecycle(src["order_details"])
+    """Order-grain lifecycle (customer carried) LEFT JOIN items LEFT JOIN
+    product: the lifecycle leaves its aggregate partitioned on orderid, which
+    is the join key, so it is shuffled once."""
+    life = lifecycle.order_lifecycle(src["order_details"].filter(F.col("orderid").isNotNull()),
+                                     keys=("orderid",), carry=("customerid",))
     return (joins.left_join_split(life, src["order_items"], "orderid")
             .join(src["product_master"].select("productid", "rate"), "productid", "left")
             .select("orderid", "customerid", "order_received_timestamp", "order_delivery_timestamp",
