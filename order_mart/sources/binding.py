@@ -48,6 +48,8 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     slots (e.g. one file with one row group), so the per-row work fused into
     the scan stage runs on every core.  Large inputs already have at least
     that many splits and are returned untouched (no extra shuffle)."""
+    if df.sparkSession.conf.get("order_mart.spreadSmallScans", "true") != "true":
+        return df
     try:
         slots = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()   # plans the scan; runs nothing
