@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..config import scratch_path
-from ..functions import normalized_status
 from ..operators import lifecycle, quality, relational
 from ..sinks.writers import publish
 from . import dims, facts

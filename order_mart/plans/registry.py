@@ -10,10 +10,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .. import schemas
+from ..functions import (
+    as_of_date, date_sequence, is_not_status_keep_null, is_status, is_status_exact, ntz_literal,
+    seconds_between, whole_seconds_between)
+from ..operators import joins, keys, lifecycle, profile, quality, relational, totals
+from ..sinks.conform import as_text, conform
 from ..sources.binding import bind_sources
-from . import dims, facts
+from . import dims, facts, incremental
 
 AS_OF = dt.date(2024, 1, 1)            # run date used by the validity columns
 CUTOFF = dt.datetime(2000, 1, 1)       # high-water mark used by the increments
@@ -102,16 +108,6 @@ def _dim_customer_pipe(src): return dims.dim_customer_pipeline(src)
 
 
 # --- operator-level queries ------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from .. import schemas  # noqa: E402
-from ..functions import (  # noqa: E402
-    as_of_date, date_sequence, is_not_status_keep_null, ntz_literal, is_status, is_status_exact,
-    seconds_between, whole_seconds_between)
-from ..operators import joins, keys, lifecycle, profile, quality, relational, totals  # noqa: E402
-from ..sinks.conform import as_text, conform  # noqa: E402
-from . import incremental  # noqa: E402
-
 TS = lifecycle.TS
 
 
