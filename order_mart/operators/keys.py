@@ -21,7 +21,8 @@ def dense_surrogate_key(df: DataFrame, order_by: list[str], key_col: str, start:
     """Add ``key_col`` = start, start+1, ... in ``order_by`` order.
 
     ``tiebreak`` appends the remaining (orderable) columns to the sort so
-    equal keys still get a deterministic order.  The numbered frame is
+    equal keys still get a deterministic order; exact copies are spread over
+    ranges by a random last key (see below).  The numbered frame is
     checkpointed to the shared checkpoint folder: the counts and the final ids
     are two reads of one materialised copy, so a lost executor or a re-run
     cannot renumber rows between them.
@@ -36,8 +37,15 @@ def dense_surrogate_key(df: DataFrame, order_by: list[str], key_col: str, start:
         sort_cols += [f.name for f in df.schema.fields
                       if f.name not in sort_cols and not f.dataType.typeName().startswith(orderable)]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (df.repartitionByRange(n, *sort_cols)
-                .sortWithinPartitions(*sort_cols)
+    # Last tie-breaker: a random value drawn once per row.  Rows that differ
+    # are ordered by their own columns; only exact copies are ordered by it,
+    # and copies are interchangeable, so the (row, key) pairs stay the same.
+    # It lets range partitioning cut a large group of copies into several
+    # ranges instead of one task.
+    spread = df.withColumn("_tie", F.rand(seed=17))
+    numbered = (spread.repartitionByRange(n, *sort_cols, "_tie")
+                .sortWithinPartitions(*sort_cols, "_tie")
+                .drop("_tie")
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()
                             - F.shiftleft(F.col("_pid").cast("bigint"), _ROW_BITS)))

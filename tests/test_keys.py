@@ -40,3 +40,17 @@ def test_sizing_scales_with_input():
     assert small["spark.sql.shuffle.partitions"] == "16"
     big = sizing(100 * 1024 ** 4, 4000)
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // 4 // (256 * 1024 ** 2)
+
+
+def test_dense_key_spreads_copies(spark):
+    """A third of the rows are exact copies: they are still spread over
+    several range partitions, and keys stay contiguous."""
+    copies = spark.range(0, 3000).select(F.lit(7).alias("k"), F.lit("same").alias("s"))
+    others = spark.range(0, 6000).select((F.col("id") + 100).alias("k"), F.col("id").cast("string").alias("s"))
+    df = copies.unionByName(others)
+    out = dense_surrogate_key(df, ["k"], "sk", start=1, num_partitions=8)
+    assert sorted(r.sk for r in out.collect()) == list(range(1, 9001))
+    per_part = (df.withColumn("_tie", F.rand(seed=17))
+                .repartitionByRange(8, "k", "s", "_tie").groupBy(F.spark_partition_id()).count().collect())
+    assert max(r["count"] for r in per_part) < 3000
+    assert len(out.filter("k = 7").select("sk").distinct().collect()) == 3000
