@@ -51,6 +51,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--publish-by", choices=["copy", "swap"], default="copy")
     p.add_argument("--stage-dir")
     p.add_argument("--concurrency", type=int, default=3)
+    p.add_argument("--partitioned", action="store_true",
+                   help="date-partition the order-keyed targets; increments rewrite touched partitions only")
+    p.add_argument("--grain", choices=["day", "month"], default="day")
     args = p.parse_args(argv)
     if not args.sources and not args.jdbc_url:
         p.error("give --sources or --jdbc-url")
@@ -62,7 +65,18 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         print(json.dumps(rows, default=str))
         return 1 if rows else 0
     try:
-        if args.command == "run":
+        if args.partitioned:
+            from .plans import partitioned
+            if args.command == "run":
+                res = partitioned.run_pipeline_partitioned(spark, src, args.database, args.as_of,
+                                                           stage_dir=args.stage_dir, grain=args.grain)
+            else:
+                if not args.cutoff:
+                    p.error("incremental needs --cutoff")
+                res = partitioned.run_incremental_partitioned(spark, src, args.database, args.cutoff,
+                                                              args.as_of, stage_dir=args.stage_dir,
+                                                              grain=args.grain)
+        elif args.command == "run":
             res = pipeline.run_pipeline(spark, src, args.database, args.as_of, variant=args.variant,
                                         stage_dir=args.stage_dir, concurrency=args.concurrency,
                                         publish_by=args.publish_by)
