@@ -198,3 +198,18 @@ def test_refresh_targets_equals_full_build(spark):
     # replaying the same increment changes nothing
     again = incremental.refresh_targets(refreshed, src, inc, "2024-01-01")
     assert again["fact_daily_orders"].exceptAll(full["fact_daily_orders"]).count() == 0
+
+
+def test_sql_fact_display_order_and_approx_profile(spark):
+    from order_mart.operators import profile
+    from order_mart.sources.binding import bind_sources
+    from conftest import SF0001
+    src = bind_sources(spark, SF0001)
+    ids = [r.orderid for r in facts.fact_daily_orders_sql(src, ordered=True).select("orderid").collect()]
+    assert ids == sorted(ids) and len(ids) == 1473
+    exact = {r.column_name: r.n_distinct for r in profile.profile_table(src["customer_master"]).collect()}
+    approx = {r.column_name: r.n_distinct
+              for r in profile.profile_table(src["customer_master"], approx=True, rsd=0.02).collect()}
+    assert exact["customerid"] == 150 and exact["state"] == 5
+    for col, n in exact.items():
+        assert abs(approx[col] - n) <= max(2, 0.1 * n), col
