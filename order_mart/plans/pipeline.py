@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..config import scratch_path
-from ..operators import lifecycle, quality, relational
+from ..functions import normalized_status
+from ..operators import quality, relational
 from ..sinks.writers import publish
 from . import dims, facts
 
@@ -57,43 +58,86 @@ def check_summary(src: Sources, targets: dict[str, DataFrame]) -> DataFrame:
 
     Each check reduces to a single number with a global aggregate (partial
     counts per task, one tiny final step) or is already one row per column,
-    so the union of all checks is one job with no extra keyed shuffle.
+    so the union of all checks is one job with no extra keyed shuffle.  The
+    two large tables are scanned once each: all of their checks come out of
+    one grouping-sets aggregate (see ``_status_history_checks``).
     """
     parts: list[DataFrame] = []
 
-    def total(df: DataFrame, check: str, table: str, column: str, count_col: str | None = None) -> DataFrame:
-        n = F.sum(count_col) if count_col else F.count(F.lit(1))
-        return df.agg(F.coalesce(n.cast("bigint"), F.lit(0)).alias("n_violations")).select(
-            F.lit(check).alias("check"), F.lit(table).alias("table_name"),
-            F.lit(column).alias("column_name"), "n_violations")
-
-    def per_column(df: DataFrame, check: str, count_col: str) -> DataFrame:
-        return df.select(F.lit(check).alias("check"), "table_name", "column_name",
-                         F.col(count_col).cast("bigint").alias("n_violations"))
-
     for table, keys in schemas.PRIMARY_KEYS.items():
-        parts.append(total(quality.check_primary_key(src[table], table, keys),
-                           "primary_key", table, ",".join(keys), "n_rows"))
-    for child, col, parent, pcol in schemas.FOREIGN_KEYS:
-        parts.append(total(quality.check_foreign_key(src[child], child, col, src[parent], pcol),
-                           "foreign_key", child, col, "n_rows"))
-    parts.append(per_column(quality.check_not_null(src["order_items"], "order_items", ["orderid"]),
-                            "not_null", "n_null"))
-    for table in ("customer_master", "product_master", "order_details"):
-        parts.append(per_column(
+        parts.append(_total(quality.check_primary_key(src[table], table, keys),
+                            "primary_key", table, ",".join(keys), "n_rows"))
+    for table in ("customer_master", "product_master"):
+        parts.append(_per_column(
             quality.check_varchar_length(src[table], table, quality.source_varchar_limits(table)),
             "varchar_length", "n_too_long"))
-    domain = [s.lower() for s in schemas.STATUS_DOMAIN]
-    bad_status = (quality.check_status_domain(src["order_details"])
-                  .filter(~F.coalesce(F.col("normalized_status").isin(*domain), F.lit(False))))
-    parts.append(total(bad_status, "status_domain", "order_details", "order_status", "n_rows"))
-    parts.append(total(lifecycle.orders_with_several_customers(src["order_details"]),
-                       "one_customer_per_order", "order_details", "customerid"))
+    parts += _status_history_checks(src)
+    parts += _item_checks(src)
     if targets:
         parts.append(target_checks(targets))
     return relational.union_all(*parts).filter(F.col("n_violations") > 0)
 
 
+def _total(df: DataFrame, check: str, table: str, column: str, count_col: str | None = None) -> DataFrame:
+    n = F.sum(count_col) if count_col else F.count(F.lit(1))
+    return df.agg(F.coalesce(n.cast("bigint"), F.lit(0)).alias("n_violations")).select(
+        F.lit(check).alias("check"), F.lit(table).alias("table_name"),
+        F.lit(column).alias("column_name"), "n_violations")
+
+
+def _per_column(df: DataFrame, check: str, count_col: str) -> DataFrame:
+    return df.select(F.lit(check).alias("check"), "table_name", "column_name",
+                     F.col(count_col).cast("bigint").alias("n_violations"))
+
+
+def _status_history_checks(src: Sources) -> list[DataFrame]:
+    """Foreign key, status domain, one customer per order and VARCHAR length
+    of ``order_details`` from a single scan: one grouping-sets aggregate
+    (by customer, by status, by order, and overall) whose partial step runs
+    map-side; each check reads its own grouping set from the shared result
+    (one exchange, reused)."""
+    od = src["order_details"]
+    limit = schemas.VARCHAR_LIMITS[("order_details", "order_status")]
+    g = (od.groupingSets([["customerid"], ["order_status"], ["orderid"], []],
+                         "customerid", "order_status", "orderid")
+         .agg(F.grouping_id().alias("_gid"),
+              F.count(F.lit(1)).alias("n_rows"),
+              F.min("customerid").alias("min_customerid"),
+              F.max("customerid").alias("max_customerid"),
+              F.count_if(F.col("customerid").isNull()).alias("n_null_customer"),
+              F.count_if(F.char_length("order_status") > limit).alias("n_too_long")))
+    # grouping_id bits follow (customerid, order_status, orderid); 1 = rolled up
+    by_customer, by_status, by_order, overall = (g.filter(F.col("_gid") == i) for i in (3, 5, 6, 7))
+    parents = src["customer_master"].select("customerid")
+    orphans = by_customer.filter(F.col("customerid").isNotNull()).join(parents, "customerid", "left_anti")
+    domain = [s.lower() for s in schemas.STATUS_DOMAIN]
+    bad_status = by_status.filter(~F.coalesce(normalized_status("order_status").isin(*domain), F.lit(False)))
+    several = by_order.filter(F.col("orderid").isNotNull() & (
+        (F.col("min_customerid") != F.col("max_customerid"))
+        | ((F.col("n_null_customer") > 0) & F.col("min_customerid").isNotNull())))
+    return [
+        _total(orphans, "foreign_key", "order_details", "customerid", "n_rows"),
+        _total(bad_status, "status_domain", "order_details", "order_status", "n_rows"),
+        _total(several, "one_customer_per_order", "order_details", "customerid"),
+        _total(overall, "varchar_length", "order_details", "order_status", "n_too_long"),
+    ]
+
+
+def _item_checks(src: Sources) -> list[DataFrame]:
+    """Foreign key (productid) and NOT NULL (orderid) of ``order_items`` from
+    a single scan."""
+    g = (src["order_items"].groupingSets([["productid"], []], "productid")
+         .agg(F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("n_rows"),
+              F.count_if(F.col("orderid").isNull()).alias("n_null")))
+    parents = src["product_master"].select("productid")
+    orphans = (g.filter((F.col("_gid") == 0) & F.col("productid").isNotNull())
+               .join(parents, "productid", "left_anti"))
+    return [
+        _total(orphans, "foreign_key", "order_items", "productid", "n_rows"),
+        _total(g.filter(F.col("_gid") == 1), "not_null", "order_items", "orderid", "n_null"),
+    ]
+
+
 def target_checks(targets: dict[str, DataFrame]) -> DataFrame:
     """NOT NULL columns of every (staged) target, one row per column."""
     parts = []

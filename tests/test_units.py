@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from order_mart import schemas
 from order_mart.functions import ntz_literal
 from order_mart.operators import lifecycle, quality
 from order_mart.plans import dims, facts, incremental
@@ -213,3 +214,32 @@ def test_sql_fact_display_order_and_approx_profile(spark):
     assert exact["customerid"] == 150 and exact["state"] == 5
     for col, n in exact.items():
         assert abs(approx[col] - n) <= max(2, 0.1 * n), col
+
+
+def test_check_summary_one_pass_counts(spark):
+    from pyspark.sql import types as Ty
+    from order_mart.plans.pipeline import check_summary
+    t = T("2023-05-01 00:00:00")
+    loose_items = Ty.StructType([Ty.StructField("orderid", Ty.LongType(), True),
+                                 Ty.StructField("productid", Ty.LongType(), True),
+                                 Ty.StructField("quantity", Ty.IntegerType(), True)])
+    src = {
+        "customer_master": spark.createDataFrame([cust(1), cust(1), cust(2)], schemas.CUSTOMER_MASTER),
+        "product_master": spark.createDataFrame([prod(1)], schemas.PRODUCT_MASTER),
+        "order_details": spark.createDataFrame([
+            (1, 1, t, "Received"), (1, 2, t, "Delivered"),        # order 1: two customers
+            (2, 9, t, "Received"), (2, 9, t, "bogus"),            # orphan customer 9 (2 rows), bad status
+            (3, 1, t, "x" * 25), (4, None, t, "Received"), (4, 2, t, "Delivered"),
+        ], schemas.ORDER_DETAILS),
+        "order_items": spark.createDataFrame([(1, 1, 1), (None, 1, 1), (2, 5, 1), (2, 5, 2)], loose_items),
+    }
+    got = {(r.check, r.table_name): r.n_violations for r in check_summary(src, {}).collect()}
+    assert got == {
+        ("primary_key", "customer_master"): 2,
+        ("foreign_key", "order_details"): 2,
+        ("status_domain", "order_details"): 2,
+        ("one_customer_per_order", "order_details"): 2,
+        ("varchar_length", "order_details"): 1,
+        ("foreign_key", "order_items"): 2,
+        ("not_null", "order_items"): 1,
+    }
