@@ -87,3 +87,21 @@ def test_jdbc_partitioned_read_and_append(spark):
     pushed = read_jdbc(spark, url, "order_items", properties=props).filter(F.col("orderid") < 10)
     plan = pushed._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(orderid,10)" in plan, plan
+
+
+def test_pipeline_from_jdbc_sources(spark):
+    """The four sources read from a relational database (in-process Derby),
+    split into parallel range reads on their keys, then the full pipeline."""
+    from order_mart.plans.pipeline import run_pipeline
+    from order_mart.sources.jdbc import read_sources_jdbc
+    url = f"jdbc:derby:memory:src{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    for name, df in bind_sources(spark, SF0001).items():
+        write_jdbc(df, url, name, mode="overwrite", properties=props, num_partitions=2)
+    src = read_sources_jdbc(spark, url, props, num_partitions=3)
+    assert src["order_details"].rdd.getNumPartitions() == 3
+    db = f"jdbc_{uuid.uuid4().hex[:8]}"
+    res = run_pipeline(spark, src, db, as_of="2024-01-01")
+    assert not res.violations
+    assert spark.table(f"{db}.fact_daily_orders").count() == 493
+    assert spark.table(f"{db}.f_order_details").count() == 1995
