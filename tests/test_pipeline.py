@@ -145,3 +145,15 @@ def test_partitioned_increment_rewrites_only_touched_partitions(spark):
         a = spark.table(f"{db}.{t}").select(*spark.table(f"{full}.{t}").columns)
         b = spark.table(f"{full}.{t}")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, t
+
+
+def test_cli_partitioned(spark):
+    from order_mart.__main__ import main
+    base = tempfile.mkdtemp(prefix="cli-part-")
+    write_stage(bind_sources(spark, SF0001), base)
+    db = f"clip_{uuid.uuid4().hex[:8]}"
+    args = ["--sources", base, "--database", db, "--as-of", "2024-01-01", "--partitioned", "--grain", "month"]
+    assert main(["run", *args], spark=spark) == 0
+    assert "received_date" in spark.table(f"{db}.fact_daily_orders").columns
+    assert main(["incremental", *args, "--cutoff", "1998-06-01 00:00:00"], spark=spark) == 0
+    assert spark.table(f"{db}.fact_daily_orders").count() == 493
