@@ -11,8 +11,8 @@ own timestamp:
 An increment then rewrites only the partitions that hold an affected order,
 before or after the refresh.  New orders and late deliveries sit in recent
 dates, so a daily increment touches a handful of partitions.  The rest of the
-table is neither read (the partition semi join is pruned at run time) nor
-rewritten (dynamic partition overwrite).  The master-data dimensions are small
+table is neither read (static partition filter from the bounded list of
+touched dates) nor rewritten (dynamic partition overwrite).  The master-data dimensions are small
 and are rebuilt.
 """
 
@@ -97,14 +97,24 @@ def run_pipeline_partitioned(spark: SparkSession, src: Sources, database: str,
     return PipelineResult([f"{database}.{n}" for n in targets], staged, violations)
 
 
+def touched_partitions(rebuilt: DataFrame, date_col: str) -> list:
+    """Partition values holding rebuilt rows.  Under high-water-mark
+    increments (append-only history, rows at/after the cutoff) these are all
+    the partitions an affected order occupies: the fact partitions by the
+    received date, which an increment cannot move, and item and event rows
+    are rebuilt from the order's whole history.  The list is bounded by the
+    number of partitions (metadata-sized), so it is read on the driver and
+    used as a static partition filter: untouched partitions are never
+    listed, read or rewritten."""
+    return [r[0] for r in rebuilt.select(date_col).distinct().collect()]
+
+
 def refreshed_partitions(previous: DataFrame, rebuilt: DataFrame, affected: DataFrame,
-                         date_col: str) -> DataFrame:
-    """New content of every partition that holds an affected order before or
-    after the refresh: its unaffected rows plus the rebuilt rows."""
-    old_rows = previous.join(affected, "orderid", "left_semi")
-    touched = (rebuilt.select(date_col).unionByName(old_rows.select(date_col))
-               .filter(F.col(date_col).isNotNull()).distinct())
-    kept = (previous.join(touched, date_col, "left_semi")
+                         date_col: str, touched: list | None = None) -> DataFrame:
+    """New content of the touched partitions: their rows of unaffected orders
+    plus the rebuilt rows."""
+    touched = touched_partitions(rebuilt, date_col) if touched is None else touched
+    kept = (previous.filter(F.col(date_col).isin(touched))
             .join(affected, "orderid", "left_anti").select(*previous.columns))
     return kept.unionByName(rebuilt.select(*previous.columns))
 
@@ -130,8 +140,13 @@ def run_incremental_partitioned(spark: SparkSession, src: Sources, database: str
     staged: dict[str, str] = {}
     for n, df in rebuilt.items():
         date_col = DATE_PARTITIONS[n][0]
-        new = refreshed_partitions(spark.table(f"{database}.{n}"), with_partition_date(n, df, grain),
-                                   affected, date_col)
+        # stage the rebuilt rows once: they feed both the partition list and
+        # the new partition content
+        part = os.path.join(stage_dir, f"{n}__rebuilt")
+        with_partition_date(n, df, grain).write.mode("overwrite").parquet(part)
+        fresh = spark.read.parquet(part)
+        new = refreshed_partitions(spark.table(f"{database}.{n}"), fresh, affected, date_col,
+                                   touched_partitions(fresh, date_col))
         staged[n] = os.path.join(stage_dir, n)
         new.write.mode("overwrite").partitionBy(date_col).parquet(staged[n])
     full_dims = {"dim_customer": dims.dim_customer(src), "dim_address": dims.dim_address(src),

@@ -94,3 +94,23 @@ def test_dense_key_has_no_global_window_over_rows(spark):
     # the only single-partition step is the prefix sum over per-partition counts
     assert p.count("SinglePartition") <= 1
     assert "rangepartitioning" not in p  # rows were numbered in the checkpointed copy
+
+
+def test_touched_partitions_are_pruned(spark):
+    """Partition-scoped increments read only the touched partitions: the
+    partition list becomes a static partition filter on the scan."""
+    import uuid
+    from pyspark.sql import functions as F
+    from order_mart.plans.partitioned import refreshed_partitions
+    name = f"prev_{uuid.uuid4().hex[:8]}"
+    spark.range(0, 1000).select(F.col("id").alias("orderid"), (F.col("id") % 50).cast("int").alias("d"),
+                                F.lit("x").alias("v")).write.partitionBy("d").format("parquet").saveAsTable(name)
+    prev = spark.table(name)
+    rebuilt = spark.createDataFrame([(3, "y", 3)], "orderid long, v string, d int")
+    affected = spark.createDataFrame([(3,)], "orderid long")
+    out = refreshed_partitions(prev, rebuilt, affected, "d")
+    with conf(spark, **{"spark.sql.maxMetadataStringLength": "1000"}):
+        p = plan(out)
+    import re
+    assert re.search(r"PartitionFilters: \[isnotnull\(d#\d+\), \(?d#\d+ (= 3|IN \(3\)|INSET 3)", p), p
+    assert out.count() == 1000 // 50
