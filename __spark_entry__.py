@@ -9,6 +9,7 @@ order sources (``order_mart.sources.binding``), spelled out below as CTEs.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -30,9 +31,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return REGISTRY["fact_daily_orders"](spark, SF_SMOKE)
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and oracle SQL of the training-data subpackage, which may be
+    absent together with ``corpus_pipeline.py``."""
+    queries, oracles = {}, {}
+    if importlib.util.find_spec("order_mart.llm") is not None:
+        from order_mart.llm.queries import ORACLES, QUERIES
+        queries.update(QUERIES)
+        oracles.update(ORACLES)
+        if importlib.util.find_spec("corpus_pipeline") is not None:
+            import corpus_pipeline
+            queries["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL is not None:
+                oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return queries, oracles
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from order_mart.plans.registry import REGISTRY
-    return dict(REGISTRY)
+    return {**REGISTRY, **_llm()[0]}
 
 
 # ---------------------------------------------------------------------------
@@ -450,4 +467,4 @@ def oracle_sql() -> dict[str, str]:
     out = {name: BINDING + body for name, body in _BODIES.items()}
     for name, same in _SAME_AS.items():
         out[name] = out[same]
-    return out
+    return {**out, **_llm()[1]}

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from order_mart.plans.registry import REGISTRY
 from order_mart.testing import compare, duckdb_connection
 
 from conftest import SF0001
 
-NAMES = sorted(E.queries())
+NAMES = sorted(REGISTRY)
 SQL = E.oracle_sql()
 
 
