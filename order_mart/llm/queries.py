@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import chat_format, exact_dedup, quality_bands, url_filter
 
 QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_chat_format": chat_format.op6_chat_format,
+    "op8_quality_bands": quality_bands.op8_quality_bands,
+    "op9_url_filter": url_filter.op9_url_filter,
 }
 
 ORACLES = {
     "op5_exact_dedup": exact_dedup.OP5_SQL,
+    "op6_chat_format": chat_format.OP6_SQL,
 }
