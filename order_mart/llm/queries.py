@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat_format, exact_dedup, quality_bands, url_filter
+from . import bpe_words, chat_format, exact_dedup, packing, quality_bands, url_filter
 
 QUERIES = {
+    "op1_bpe_words": bpe_words.op1_bpe_words,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_chat_format": chat_format.op6_chat_format,
+    "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_quality_bands": quality_bands.op8_quality_bands,
     "op9_url_filter": url_filter.op9_url_filter,
 }
