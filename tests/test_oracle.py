@@ -18,7 +18,7 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(SQL) == set(NAMES)
+    assert set(NAMES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", NAMES)
