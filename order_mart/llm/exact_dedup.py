@@ -24,7 +24,9 @@ from .common import read_table, stage
 COPIES_PER_REPLICA = 1000
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: RocksDB for the state; no preallocated files, which would outweigh small state partitions.
+_STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
+               "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 _ADDED = ("keep_id", "group_size", "kept", "text_sha256")
 
 
@@ -53,21 +55,20 @@ def _state(spark: SparkSession, path: str, schema, max_files: int | None) -> Dat
     entries = (reader.parquet(path).select("_digest", order.alias("_order"))
                .groupBy("_digest").agg(F.min("_order").alias("holder"), F.count(F.lit(1)).alias("size")))
     checkpoint = scratch_path(spark, "exact-dedup-state")
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in _STATE_CONF}
+    for k, v in _STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         (entries.writeStream.format("noop").outputMode("update")
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
+        state = spark.read.format("statestore").load(checkpoint)
+        holder, size = state.schema["value"].dataType.names
+        return stage(state.select(state["key"].getField("_digest").alias("_digest"),
+                                  state["value"].getField(holder).alias("_holder"),
+                                  state["value"].getField(size).alias("_size")), "exact-dedup-index")
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
-    state = spark.read.format("statestore").load(checkpoint)
-    holder, size = state.schema["value"].dataType.names
-    return state.select(state["key"].getField("_digest").alias("_digest"),
-                        state["value"].getField(holder).alias("_holder"),
-                        state["value"].getField(size).alias("_size"))
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def exact_dedup(docs: DataFrame, digest=sha256_hex, max_files: int | None = None) -> DataFrame:
