@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe_words, chat_format, exact_dedup, langid_ecoc, packing, quality_bands, toxicity_nbsvm, url_filter
+from . import bpe_words, chat_format, exact_dedup, langid_ecoc, packing, quality_bands, rindex_dedup, toxicity_nbsvm, url_filter
 
 QUERIES = {
     "op1_bpe_words": bpe_words.op1_bpe_words,
     "op2_langid_ecoc": langid_ecoc.op2_langid_ecoc,
+    "op3_rindex_dedup": rindex_dedup.op3_rindex_dedup,
     "op4_toxicity_nbsvm": toxicity_nbsvm.op4_toxicity_nbsvm,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_chat_format": chat_format.op6_chat_format,
