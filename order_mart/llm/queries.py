@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_words, chat_format, exact_dedup, langid_ecoc, packing, quality_bands, rindex_dedup, toxicity_nbsvm, url_filter
+from . import bpe_words, chat_format, exact_dedup, langid_ecoc, ngram_join, packing, quality_bands, rindex_dedup, toxicity_nbsvm, url_filter
 
 QUERIES = {
     "op1_bpe_words": bpe_words.op1_bpe_words,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_quality_bands": quality_bands.op8_quality_bands,
     "op9_url_filter": url_filter.op9_url_filter,
+    "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 
 ORACLES = {
