@@ -1,0 +1,20 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from llm_helpers import HARD  # noqa: E402
+
+
+@pytest.fixture
+def hard(spark):
+    """Documents with every hard case and columns whose names clash."""
+    return spark.createDataFrame([(i, t, "en", True, "x") for i, t in HARD],
+                                 "doc_id long, text string, lang string, kept boolean, sequence_id string")
+
+
+@pytest.fixture
+def none(hard):
+    return hard.limit(0)
