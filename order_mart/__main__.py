@@ -30,6 +30,9 @@ def _sources(spark, args):
         if args.jdbc_driver:
             props["driver"] = args.jdbc_driver
         return read_sources_jdbc(spark, args.jdbc_url, props, num_partitions=args.jdbc_partitions)
+    if args.format == "csv":
+        from .sources.files import read_sources_csv
+        return read_sources_csv(spark, args.sources)
     from .sources.tables import read_sources
     return read_sources(spark, args.sources)
 
@@ -39,6 +42,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("command", choices=["run", "incremental", "check"])
     p.add_argument("--sources", help="folder holding customer_master/ product_master/ order_details/ order_items/")
+    p.add_argument("--format", choices=["parquet", "csv"], default="parquet", help="of the folders under --sources")
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-password-env")
@@ -47,7 +51,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--database", default="starschema")
     p.add_argument("--as-of", help="run date for validity columns (default: today)")
     p.add_argument("--cutoff", help="high-water mark for 'incremental', e.g. '2023-10-10 00:00:00'")
-    p.add_argument("--variant", choices=["canonical", "pipeline"], default="canonical")
+    p.add_argument("--variant", choices=["canonical", "pipeline", "sql"], default="canonical")
+    p.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     p.add_argument("--publish-by", choices=["copy", "swap"], default="copy")
     p.add_argument("--stage-dir")
     p.add_argument("--concurrency", type=int, default=3)
@@ -57,6 +62,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     args = p.parse_args(argv)
     if not args.sources and not args.jdbc_url:
         p.error("give --sources or --jdbc-url")
+    if args.publish_by == "swap" and not args.stage_dir:
+        p.error("--publish-by swap needs --stage-dir")
     spark = spark or build_session()
     src = _sources(spark, args)
     from .plans import pipeline
@@ -77,7 +84,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                                                               args.as_of, stage_dir=args.stage_dir,
                                                               grain=args.grain)
         elif args.command == "run":
-            res = pipeline.run_pipeline(spark, src, args.database, args.as_of, variant=args.variant,
+            res = pipeline.run_pipeline(spark, src, args.database, args.as_of, variant=args.variant, mode=args.mode,
                                         stage_dir=args.stage_dir, concurrency=args.concurrency,
                                         publish_by=args.publish_by)
         else:

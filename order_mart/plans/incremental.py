@@ -10,11 +10,13 @@ swaps them into the previous fact; the result equals a full rebuild.
 from __future__ import annotations
 
 import datetime as dt
+import os
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import ntz_literal
 from ..operators.lifecycle import TS
+from ..sinks.writers import stage_frame
 from .facts import fact_daily_orders
 
 Sources = dict[str, DataFrame]
@@ -45,6 +47,20 @@ def refresh_fact(previous_fact: DataFrame, src: Sources, increment: DataFrame) -
     return _replace_orders(previous_fact, fact_daily_orders(scoped), affected)
 
 
+def stage_increment(spark: SparkSession, src: Sources, cutoff: dt.datetime | str,
+                    stage_dir: str) -> tuple[Sources, DataFrame]:
+    """(scoped sources, affected orders).  The affected orders' whole status
+    history and item lines are written once under ``stage_dir`` and read by
+    every target and check; the masters stay as they are."""
+    affected = stage_frame(affected_orders(incremental_status(src["order_details"], cutoff)),
+                           os.path.join(stage_dir, "increment__orders"))
+    scoped = dict(src)
+    for name in ("order_details", "order_items"):
+        scoped[name] = stage_frame(src[name].join(affected, "orderid", "left_semi").select(*src[name].columns),
+                                   os.path.join(stage_dir, f"increment__{name}"))
+    return scoped, affected
+
+
 def max_keys(src: Sources) -> DataFrame:
     """Current maximum of each source key, one row per table."""
     def one(table: str, col: str) -> DataFrame:
@@ -60,24 +76,22 @@ def _replace_orders(previous: DataFrame, rebuilt: DataFrame, affected: DataFrame
     return kept.unionByName(rebuilt.select(*previous.columns))
 
 
-def refresh_targets(previous: dict[str, DataFrame], src: Sources, increment: DataFrame,
+def refresh_targets(previous: dict[str, DataFrame], src: Sources, scoped: Sources, affected: DataFrame,
                     as_of: dt.date | str | None = None) -> dict[str, DataFrame]:
-    """Apply an increment of status rows to all six canonical targets.
+    """Apply an increment to all six canonical targets.
 
     Order-keyed targets (``fact_daily_orders``, ``f_order_details``,
     ``dim_order``) keep every unaffected order's rows and rebuild the affected
-    orders from their full history, so replaying an increment is harmless and
-    the result equals a full build.  The customer, address and product
-    dimensions do not depend on the status history and are rebuilt from the
-    (small) master tables.
+    orders from ``scoped`` (their full history and items), so replaying an
+    increment is harmless.  Rows of unaffected orders are frozen as they were
+    computed: a product rate or customer pincode changed since shows only in
+    orders touched again or after a full build.  The customer, address and
+    product dimensions are rebuilt from the (small) master tables and always
+    show the current masters.
     """
     from . import dims
     from .facts import f_order_details
 
-    affected = affected_orders(increment)
-    scoped = dict(src)
-    for name in ("order_details", "order_items"):
-        scoped[name] = src[name].join(affected, "orderid", "left_semi").select(*src[name].columns)
     return {
         "dim_order": _replace_orders(previous["dim_order"], dims.dim_order(scoped), affected),
         "fact_daily_orders": _replace_orders(previous["fact_daily_orders"], fact_daily_orders(scoped),

@@ -26,9 +26,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..config import scratch_path
+from ..sinks.writers import stage_frame
 from . import dims
 from .facts import f_order_details, fact_daily_orders
-from .incremental import affected_orders, incremental_status
+from .incremental import stage_increment
 from .pipeline import PipelineResult, QualityError, _run_all, build_targets, check_summary, target_checks
 
 Sources = dict[str, DataFrame]
@@ -61,8 +62,8 @@ def _dynamic_overwrite(spark: SparkSession):
         spark.conf.set(key, old)
 
 
-def _check(src: Sources, staged: dict[str, DataFrame], enforce: bool) -> list[dict]:
-    violations = [r.asDict() for r in check_summary(src, {}).collect()]
+def _check(src: Sources, staged: dict[str, DataFrame], enforce: bool, stage_dir: str) -> list[dict]:
+    violations = [r.asDict() for r in check_summary(src, {}, stage_dir).collect()]
     canonical = {n: df.drop(*[c for c, _ in DATE_PARTITIONS.values() if c in df.columns])
                  for n, df in staged.items()}
     violations += [r.asDict() for r in target_checks(canonical).collect()]
@@ -79,15 +80,9 @@ def run_pipeline_partitioned(spark: SparkSession, src: Sources, database: str,
     stage_dir = stage_dir or scratch_path(spark, "stage")
     staged = {n: os.path.join(stage_dir, n) for n in targets}
 
-    def stage(n):
-        w = targets[n].write.mode("overwrite")
-        if n in DATE_PARTITIONS:
-            w = w.partitionBy(DATE_PARTITIONS[n][0])
-        w.parquet(staged[n])
-
-    _run_all([lambda n=n: stage(n) for n in targets], concurrency)
-    frames = {n: spark.read.parquet(p) for n, p in staged.items()}
-    violations = _check(src, frames, enforce)
+    _run_all([lambda n=n: stage_frame(targets[n], staged[n]) for n in targets], concurrency)
+    frames = {n: spark.read.schema(targets[n].schema).parquet(p) for n, p in staged.items()}
+    violations = _check(src, frames, enforce, stage_dir)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for n, df in frames.items():
         w = df.select(*targets[n].columns).write.mode("overwrite").format("parquet")
@@ -97,69 +92,79 @@ def run_pipeline_partitioned(spark: SparkSession, src: Sources, database: str,
     return PipelineResult([f"{database}.{n}" for n in targets], staged, violations)
 
 
-def touched_partitions(rebuilt: DataFrame, date_col: str) -> list:
-    """Partition values holding rebuilt rows.  Under high-water-mark
-    increments (append-only history, rows at/after the cutoff) these are all
-    the partitions an affected order occupies: the fact partitions by the
-    received date, which an increment cannot move, and item and event rows
-    are rebuilt from the order's whole history.  The list is bounded by the
-    number of partitions (metadata-sized), so it is read on the driver and
-    used as a static partition filter: untouched partitions are never
-    listed, read or rewritten."""
-    return [r[0] for r in rebuilt.select(date_col).distinct().collect()]
+#: Touched partitions that an increment may have; beyond it, rebuild the table.
+MAX_TOUCHED = 10_000
+
+
+def touched_partitions(rebuilt: DataFrame, previous: DataFrame, affected: DataFrame, date_col: str) -> list:
+    """Partition values that hold a rebuilt row, or held a row of an affected
+    order before (read from key and partition column only).  The list is used
+    as a static partition filter, so untouched partitions are neither listed,
+    read nor rewritten; its length is checked against ``MAX_TOUCHED``."""
+    held = previous.select("orderid", date_col).join(affected, "orderid", "left_semi").select(date_col)
+    values = rebuilt.select(date_col).unionByName(held).distinct().limit(MAX_TOUCHED + 1).collect()
+    if len(values) > MAX_TOUCHED:
+        raise ValueError(f"the increment touches more than {MAX_TOUCHED} partitions of {date_col}; "
+                         "run a full build or use grain='month'")
+    return [r[0] for r in values]
 
 
 def refreshed_partitions(previous: DataFrame, rebuilt: DataFrame, affected: DataFrame,
-                         date_col: str, touched: list | None = None) -> DataFrame:
+                         date_col: str, touched: list) -> DataFrame:
     """New content of the touched partitions: their rows of unaffected orders
     plus the rebuilt rows."""
-    touched = touched_partitions(rebuilt, date_col) if touched is None else touched
     kept = (previous.filter(F.col(date_col).isin(touched))
             .join(affected, "orderid", "left_anti").select(*previous.columns))
     return kept.unionByName(rebuilt.select(*previous.columns))
 
 
+def _drop_emptied(spark: SparkSession, table: str, date_col: str, touched: list, staged: DataFrame) -> None:
+    """Drop touched partitions without a row left, which a dynamic overwrite
+    leaves as they were."""
+    left = {r[0] for r in staged.select(date_col).distinct().collect()}
+    for value in touched:
+        if value is not None and value not in left:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({date_col} = DATE'{value}')")
+
+
 def run_incremental_partitioned(spark: SparkSession, src: Sources, database: str,
                                 cutoff: dt.datetime | str, as_of: dt.date | str | None = None,
                                 stage_dir: str | None = None, enforce: bool = True,
                                 grain: str = "day") -> PipelineResult:
     """Apply the status rows at/after ``cutoff``, rewriting only the date
-    partitions that hold affected orders (tables from
-    ``run_pipeline_partitioned`` with the same ``grain``)."""
-    increment = incremental_status(src["order_details"], cutoff)
-    affected = affected_orders(increment)
-    scoped = dict(src)
-    for name in ("order_details", "order_items"):
-        scoped[name] = src[name].join(affected, "orderid", "left_semi").select(*src[name].columns)
+    partitions that hold or held affected orders (tables from
+    ``run_pipeline_partitioned`` with the same ``grain``).  An increment that
+    rebuilds nothing for a target leaves its other partitions alone."""
+    stage_dir = stage_dir or scratch_path(spark, "stage")
+    scoped, affected = stage_increment(spark, src, cutoff, stage_dir)
     rebuilt = {
         "dim_order": dims.dim_order(scoped),
         "fact_daily_orders": fact_daily_orders(scoped),
         "f_order_details": f_order_details(scoped),
     }
-    stage_dir = stage_dir or scratch_path(spark, "stage")
     staged: dict[str, str] = {}
+    frames: dict[str, DataFrame] = {}
+    touched: dict[str, list] = {}
     for n, df in rebuilt.items():
         date_col = DATE_PARTITIONS[n][0]
-        # stage the rebuilt rows once: they feed both the partition list and
-        # the new partition content
-        part = os.path.join(stage_dir, f"{n}__rebuilt")
-        with_partition_date(n, df, grain).write.mode("overwrite").parquet(part)
-        fresh = spark.read.parquet(part)
-        new = refreshed_partitions(spark.table(f"{database}.{n}"), fresh, affected, date_col,
-                                   touched_partitions(fresh, date_col))
-        staged[n] = os.path.join(stage_dir, n)
-        new.write.mode("overwrite").partitionBy(date_col).parquet(staged[n])
+        previous = spark.table(f"{database}.{n}")
+        fresh = stage_frame(with_partition_date(n, df, grain), os.path.join(stage_dir, f"{n}__rebuilt"))
+        touched[n] = touched_partitions(fresh, previous, affected, date_col)
+        if touched[n]:
+            staged[n] = os.path.join(stage_dir, n)
+            frames[n] = stage_frame(refreshed_partitions(previous, fresh, affected, date_col, touched[n]), staged[n])
     full_dims = {"dim_customer": dims.dim_customer(src), "dim_address": dims.dim_address(src),
                  "dim_product": dims.dim_product(src, as_of)}
     for n, df in full_dims.items():
         staged[n] = os.path.join(stage_dir, n)
-        df.write.mode("overwrite").parquet(staged[n])
-    frames = {n: spark.read.parquet(p) for n, p in staged.items()}
-    violations = _check(src, frames, enforce)
+        frames[n] = stage_frame(df, staged[n])
+    violations = _check(scoped, frames, enforce, stage_dir)
     with _dynamic_overwrite(spark):
         for n in rebuilt:
-            cols = spark.table(f"{database}.{n}").columns
-            frames[n].select(*cols).write.insertInto(f"{database}.{n}", overwrite=True)
+            if touched[n]:
+                table, date_col = f"{database}.{n}", DATE_PARTITIONS[n][0]
+                frames[n].select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+                _drop_emptied(spark, table, date_col, touched[n], frames[n])
     for n in full_dims:
         frames[n].write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{n}")
     return PipelineResult([f"{database}.{n}" for n in schemas.TARGETS], staged, violations)

@@ -21,7 +21,7 @@ from .. import schemas
 from ..config import scratch_path
 from ..functions import normalized_status
 from ..operators import quality, relational
-from ..sinks.writers import publish
+from ..sinks.writers import publish, repoint, stage_frame
 from . import dims, facts
 
 Sources = dict[str, DataFrame]
@@ -53,17 +53,26 @@ def build_pipeline_targets(src: Sources, as_of: dt.date | str | None = None) ->
     }
 
 
-def check_summary(src: Sources, targets: dict[str, DataFrame]) -> DataFrame:
+def build_sql_targets(src: Sources, as_of: dt.date | str | None = None) -> dict[str, DataFrame]:
+    """The tables of the SQL transform: the canonical dimensions and item fact
+    with the SQL variant of the order fact, sorted by order as it was."""
+    return {**build_targets(src, as_of), "fact_daily_orders": facts.fact_daily_orders_sql(src, ordered=True)}
+
+
+def check_summary(src: Sources, targets: dict[str, DataFrame], stage_dir: str | None = None) -> DataFrame:
     """One row per check: (check, table_name, column_name, n_violations).
 
-    Each check reduces to a single number with a global aggregate (partial
-    counts per task, one tiny final step) or is already one row per column,
-    so the union of all checks is one job with no extra keyed shuffle.  The
-    two large tables are scanned once each: all of their checks come out of
-    one grouping-sets aggregate (see ``_status_history_checks``).
+    The two large tables are read once each: a grouping-sets aggregate of all
+    that their checks need (see ``status_history_summary``, ``item_summary``)
+    is written under ``stage_dir`` (a scratch folder by default), and every
+    check reads that summary.  This runs two jobs; the checks themselves are
+    lazy and reduce to one number or one row per column.
     """
+    spark = src["order_details"].sparkSession
+    stage_dir = stage_dir or scratch_path(spark, "gate")
+    history = stage_frame(status_history_summary(src["order_details"]), os.path.join(stage_dir, "gate__order_details"))
+    items = stage_frame(item_summary(src["order_items"]), os.path.join(stage_dir, "gate__order_items"))
     parts: list[DataFrame] = []
-
     for table, keys in schemas.PRIMARY_KEYS.items():
         parts.append(_total(quality.check_primary_key(src[table], table, keys),
                             "primary_key", table, ",".join(keys), "n_rows"))
@@ -71,8 +80,8 @@ def check_summary(src: Sources, targets: dict[str, DataFrame]) -> DataFrame:
         parts.append(_per_column(
             quality.check_varchar_length(src[table], table, quality.source_varchar_limits(table)),
             "varchar_length", "n_too_long"))
-    parts += _status_history_checks(src)
-    parts += _item_checks(src)
+    parts += _status_history_checks(history, src["customer_master"])
+    parts += _item_checks(items, src["product_master"])
     if targets:
         parts.append(target_checks(targets))
     return relational.union_all(*parts).filter(F.col("n_violations") > 0)
@@ -90,26 +99,32 @@ def _per_column(df: DataFrame, check: str, count_col: str) -> DataFrame:
                      F.col(count_col).cast("bigint").alias("n_violations"))
 
 
-def _status_history_checks(src: Sources) -> list[DataFrame]:
-    """Foreign key, status domain, one customer per order and VARCHAR length
-    of ``order_details`` from a single scan: one grouping-sets aggregate
-    (by customer, by status, by order, and overall) whose partial step runs
-    map-side; each check reads its own grouping set from the shared result
-    (one exchange, reused)."""
-    od = src["order_details"]
+def status_history_summary(order_details: DataFrame) -> DataFrame:
+    """What the checks of ``order_details`` need, in one scan and one exchange:
+    a grouping-sets aggregate by customer, by status, by order and overall
+    (``gid`` 3, 5, 6, 7), whose partial step runs map-side."""
     limit = schemas.VARCHAR_LIMITS[("order_details", "order_status")]
-    g = (od.groupingSets([["customerid"], ["order_status"], ["orderid"], []],
-                         "customerid", "order_status", "orderid")
-         .agg(F.grouping_id().alias("_gid"),
-              F.count(F.lit(1)).alias("n_rows"),
-              F.min("customerid").alias("min_customerid"),
-              F.max("customerid").alias("max_customerid"),
-              F.count_if(F.col("customerid").isNull()).alias("n_null_customer"),
-              F.count_if(F.char_length("order_status") > limit).alias("n_too_long")))
-    # grouping_id bits follow (customerid, order_status, orderid); 1 = rolled up
-    by_customer, by_status, by_order, overall = (g.filter(F.col("_gid") == i) for i in (3, 5, 6, 7))
-    parents = src["customer_master"].select("customerid")
-    orphans = by_customer.filter(F.col("customerid").isNotNull()).join(parents, "customerid", "left_anti")
+    return (order_details.groupingSets([["customerid"], ["order_status"], ["orderid"], []],
+                                       "customerid", "order_status", "orderid")
+            .agg(F.grouping_id().alias("gid"),
+                 F.count(F.lit(1)).alias("n_rows"),
+                 F.min("customerid").alias("min_customerid"),
+                 F.max("customerid").alias("max_customerid"),
+                 F.count_if(F.col("customerid").isNull()).alias("n_null_customer"),
+                 F.count_if(F.char_length("order_status") > limit).alias("n_too_long")))
+
+
+def item_summary(order_items: DataFrame) -> DataFrame:
+    """The same for ``order_items``: by product and overall (``gid`` 0, 1)."""
+    return (order_items.groupingSets([["productid"], []], "productid")
+            .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n_rows"),
+                 F.count_if(F.col("orderid").isNull()).alias("n_null")))
+
+
+def _status_history_checks(summary: DataFrame, customers: DataFrame) -> list[DataFrame]:
+    """Foreign key, status domain, one customer per order and VARCHAR length."""
+    by_customer, by_status, by_order, overall = (summary.filter(F.col("gid") == i) for i in (3, 5, 6, 7))
+    orphans = by_customer.filter(F.col("customerid").isNotNull()).join(customers.select("customerid"), "customerid", "left_anti")
     domain = [s.lower() for s in schemas.STATUS_DOMAIN]
     bad_status = by_status.filter(~F.coalesce(normalized_status("order_status").isin(*domain), F.lit(False)))
     several = by_order.filter(F.col("orderid").isNotNull() & (
@@ -123,18 +138,13 @@ def _status_history_checks(src: Sources) -> list[DataFrame]:
     ]
 
 
-def _item_checks(src: Sources) -> list[DataFrame]:
-    """Foreign key (productid) and NOT NULL (orderid) of ``order_items`` from
-    a single scan."""
-    g = (src["order_items"].groupingSets([["productid"], []], "productid")
-         .agg(F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("n_rows"),
-              F.count_if(F.col("orderid").isNull()).alias("n_null")))
-    parents = src["product_master"].select("productid")
-    orphans = (g.filter((F.col("_gid") == 0) & F.col("productid").isNotNull())
-               .join(parents, "productid", "left_anti"))
+def _item_checks(summary: DataFrame, products: DataFrame) -> list[DataFrame]:
+    """Foreign key (productid) and NOT NULL (orderid)."""
+    orphans = (summary.filter((F.col("gid") == 0) & F.col("productid").isNotNull())
+               .join(products.select("productid"), "productid", "left_anti"))
     return [
         _total(orphans, "foreign_key", "order_items", "productid", "n_rows"),
-        _total(g.filter(F.col("_gid") == 1), "not_null", "order_items", "orderid", "n_null"),
+        _total(summary.filter(F.col("gid") == 1), "not_null", "order_items", "orderid", "n_null"),
     ]
 
 
@@ -183,8 +193,8 @@ def run_pipeline(spark: SparkSession, src: Sources, database: str, as_of: dt.dat
     caller owns, e.g. ``<warehouse>/<db>/run=<id>``) and publishing re-points
     each catalog table at its staged folder, a metadata-only step.  The
     previous version's files stay in place until the caller removes them."""
-    targets = (build_targets(src, as_of) if variant == "canonical"
-               else build_pipeline_targets(src, as_of))
+    builders = {"canonical": build_targets, "pipeline": build_pipeline_targets, "sql": build_sql_targets}
+    targets = builders[variant](src, as_of)
     return stage_check_publish(spark, src, targets, database, mode=mode, stage_dir=stage_dir,
                                enforce=enforce, concurrency=concurrency, publish_by=publish_by,
                                check_targets=variant == "canonical")
@@ -195,27 +205,36 @@ def run_incremental(spark: SparkSession, src: Sources, database: str, cutoff: dt
                     enforce: bool = True, concurrency: int = 3, publish_by: str = "copy") -> PipelineResult:
     """Apply the status rows at/after ``cutoff`` to the published targets.
 
-    The refreshed targets read the published tables, so they are staged
-    (materialised) before anything is overwritten."""
-    from .incremental import incremental_status, refresh_targets
+    The affected orders' history and items are staged once; targets and the
+    quality gate read those (the masters in full).  The refreshed targets read
+    the published tables, so they are staged before anything is overwritten."""
+    from .incremental import refresh_targets, stage_increment
+    _needs_folder(publish_by, stage_dir)
+    stage_dir = stage_dir or scratch_path(spark, "stage")
     previous = {t: spark.table(f"{database}.{t}") for t in schemas.TARGETS}
-    increment = incremental_status(src["order_details"], cutoff)
-    targets = refresh_targets(previous, src, increment, as_of)
-    return stage_check_publish(spark, src, targets, database, mode="overwrite", stage_dir=stage_dir,
+    scoped, affected = stage_increment(spark, src, cutoff, stage_dir)
+    targets = refresh_targets(previous, src, scoped, affected, as_of)
+    return stage_check_publish(spark, scoped, targets, database, mode="overwrite", stage_dir=stage_dir,
                                enforce=enforce, concurrency=concurrency, publish_by=publish_by)
 
 
+def _needs_folder(publish_by: str, stage_dir: str | None) -> None:
+    if publish_by == "swap" and not stage_dir:
+        raise ValueError("publish_by='swap' publishes the staged files themselves; name their durable folder with stage_dir")
+
+
 def stage_check_publish(spark: SparkSession, src: Sources, targets: dict[str, DataFrame], database: str,
                         mode: str = "overwrite", stage_dir: str | None = None, enforce: bool = True,
                         concurrency: int = 3, publish_by: str = "copy",
                         check_targets: bool = True) -> PipelineResult:
+    _needs_folder(publish_by, stage_dir)
     stage_dir = stage_dir or scratch_path(spark, "stage")
     staged = {name: os.path.join(stage_dir, name) for name in targets}
     source_violations: list[dict] = []
-    jobs = [lambda n=n: targets[n].write.mode("overwrite").parquet(staged[n]) for n in targets]
-    jobs.append(lambda: source_violations.extend(r.asDict() for r in check_summary(src, {}).collect()))
+    jobs = [lambda n=n: stage_frame(targets[n], staged[n]) for n in targets]
+    jobs.append(lambda: source_violations.extend(r.asDict() for r in check_summary(src, {}, stage_dir).collect()))
     _run_all(jobs, concurrency)
-    staged_frames = {n: spark.read.parquet(p) for n, p in staged.items()}
+    staged_frames = {n: spark.read.schema(targets[n].schema).parquet(p) for n, p in staged.items()}
     violations = list(source_violations)
     if check_targets:
         violations += [r.asDict() for r in target_checks(staged_frames).collect()]
@@ -225,8 +244,7 @@ def stage_check_publish(spark: SparkSession, src: Sources, targets: dict[str, Da
     published = [f"{database}.{name}" for name in staged_frames]
     if publish_by == "swap" and mode == "overwrite":
         for n, path in staged.items():
-            spark.sql(f"DROP TABLE IF EXISTS {database}.{n}")
-            spark.catalog.createTable(f"{database}.{n}", path=path, source="parquet")
+            repoint(spark, f"{database}.{n}", path)
         return PipelineResult(published, staged, violations)
     _run_all([lambda n=n: publish(staged_frames[n], f"{database}.{n}", mode) for n in staged_frames],
              concurrency)

@@ -28,6 +28,24 @@ def write_stage(frames: dict[str, DataFrame], base: str, mode: str = "overwrite"
     return paths
 
 
+def stage_frame(df: DataFrame, path: str) -> DataFrame:
+    """Write one frame as Parquet and read it back under its own schema (an
+    empty frame keeps its columns)."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def repoint(spark: SparkSession, table: str, path: str) -> None:
+    """Publish a staged folder as ``table``: an existing table's location is
+    changed in one catalog step, so the table never goes missing and its old
+    files stay; otherwise an external table is created."""
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=path, source="parquet")
+
+
 def publish(df: DataFrame, table: str, mode: str = "overwrite", path: str | None = None,
             partition_by: list[str] | None = None) -> None:
     """Write a warehouse table (catalog table, Parquet).

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .. import schemas
+from ..sinks.conform import check_conform
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
     """CSV with a header and an explicit schema.  Inference would turn a
@@ -17,6 +20,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
             .csv(path))
 
 
+def read_sources_csv(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """The four source tables stored as headed CSV under ``{base}/{name}``."""
+    return {name: read_csv(spark, f"{base}/{name}", schema) for name, schema in schemas.SOURCES.items()}
+
+
+def check_csv(spark: SparkSession, path: str, table: str, schema: T.StructType) -> DataFrame:
+    """(table_name, column_name, n_lost): malformed values of each column,
+    which ``read_csv`` turns into NULL."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    return check_conform(read_csv(spark, path, text), table, schema)
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
     """A small literal table (lookups, fixtures) with an explicit schema."""
     return spark.createDataFrame(rows, schema)

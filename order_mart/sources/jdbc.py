@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import schemas
+from ..sinks.conform import conform
+
 
 def read_jdbc(spark: SparkSession, url: str, table: str, *, partition_column: str | None = None,
               lower_bound: int | str | None = None, upper_bound: int | str | None = None,
@@ -18,7 +21,7 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, partition_column: st
     """Read ``table`` (or a ``(subquery) alias``).  Connection options such as
     user/password/driver come in ``properties``; nothing is hard-coded."""
     reader = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
-              .option("fetchsize", fetch_size))
+              .option("fetchsize", fetch_size).option("preferTimestampNTZ", "true"))
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
     if partition_column is not None:
@@ -45,8 +48,18 @@ def _bounds(spark, url, table, column, properties):
 
 def read_sources_jdbc(spark: SparkSession, url: str, properties: dict[str, str] | None = None,
                       num_partitions: int = 8) -> dict[str, DataFrame]:
-    """The four order sources from a relational database, each split on its key."""
+    """The four order sources from a relational database, each split on its
+    key and conformed to its declared schema.  ``num_partitions`` connections
+    read a table at once; raise it with the table's size and what the database
+    admits."""
     split = {"customer_master": "customerid", "product_master": "productid",
              "order_details": "orderid", "order_items": "orderid"}
-    return {t: read_jdbc(spark, url, t, partition_column=c, num_partitions=num_partitions,
-                         properties=properties) for t, c in split.items()}
+    return {t: conform(_named(read_jdbc(spark, url, t, partition_column=c, num_partitions=num_partitions,
+                                        properties=properties), schemas.SOURCES[t].names), schemas.SOURCES[t])
+            for t, c in split.items()}
+
+
+def _named(df: DataFrame, names: list[str]) -> DataFrame:
+    """Columns under the declared spelling, whatever case the database uses."""
+    own = {c.lower(): c for c in df.columns}
+    return df.select(*[df[own[n.lower()]].alias(n) for n in names])

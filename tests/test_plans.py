@@ -102,14 +102,14 @@ def test_touched_partitions_are_pruned(spark):
     partition list becomes a static partition filter on the scan."""
     import uuid
     from pyspark.sql import functions as F
-    from order_mart.plans.partitioned import refreshed_partitions
+    from order_mart.plans.partitioned import refreshed_partitions, touched_partitions
     name = f"prev_{uuid.uuid4().hex[:8]}"
     spark.range(0, 1000).select(F.col("id").alias("orderid"), (F.col("id") % 50).cast("int").alias("d"),
                                 F.lit("x").alias("v")).write.partitionBy("d").format("parquet").saveAsTable(name)
     prev = spark.table(name)
     rebuilt = spark.createDataFrame([(3, "y", 3)], "orderid long, v string, d int")
     affected = spark.createDataFrame([(3,)], "orderid long")
-    out = refreshed_partitions(prev, rebuilt, affected, "d")
+    out = refreshed_partitions(prev, rebuilt, affected, "d", touched_partitions(rebuilt, prev, affected, "d"))
     with conf(spark, **{"spark.sql.maxMetadataStringLength": "1000"}):
         p = plan(out)
     import re

@@ -1,6 +1,7 @@
 """Inline-row cases the shared test data does not contain."""
 
 import datetime as dt
+import tempfile
 
 from pyspark.sql import functions as F
 
@@ -189,15 +190,15 @@ def test_refresh_targets_equals_full_build(spark):
     cutoff = "1997-06-01 00:00:00"
     old = dict(src, order_details=od.filter(F.col(lifecycle.TS) < ntz_literal(cutoff)))
     previous = build_targets(old, "2024-01-01")
-    inc = incremental.incremental_status(od, cutoff)
-    refreshed = incremental.refresh_targets(previous, src, inc, "2024-01-01")
+    scoped, affected = incremental.stage_increment(spark, src, cutoff, tempfile.mkdtemp(prefix="inc-"))
+    refreshed = incremental.refresh_targets(previous, src, scoped, affected, "2024-01-01")
     full = build_targets(src, "2024-01-01")
     for name, df in full.items():
         got = refreshed[name]
         assert got.columns == df.columns, name
         assert got.exceptAll(df).count() == 0 and df.exceptAll(got).count() == 0, name
     # replaying the same increment changes nothing
-    again = incremental.refresh_targets(refreshed, src, inc, "2024-01-01")
+    again = incremental.refresh_targets(refreshed, src, scoped, affected, "2024-01-01")
     assert again["fact_daily_orders"].exceptAll(full["fact_daily_orders"]).count() == 0
 
 
@@ -216,6 +217,29 @@ def test_sql_fact_display_order_and_approx_profile(spark):
         assert abs(approx[col] - n) <= max(2, 0.1 * n), col
 
 
+def test_gate_reads_each_large_table_once(spark):
+    from order_mart.plans.pipeline import item_summary, status_history_summary
+    from order_mart.sources.binding import bind_sources
+    from conftest import SF0001
+    from test_plans import conf, plan
+    src = bind_sources(spark, SF0001)
+    with conf(spark, **{"spark.sql.adaptive.enabled": "false"}):
+        history = plan(status_history_summary(src["order_details"]))
+        items = plan(item_summary(src["order_items"]))
+    for p in (history, items):
+        assert p.count("FileScan") == 1 and p.count("Exchange") == 1 and p.count("Expand") == 1
+
+
+def test_conform_counts_lost_values(spark):
+    from order_mart.sinks.conform import check_conform, conform
+    rows = [("1", "x", "2023-01-01 00:00:00", "Received"), ("2", "3", "no time", "Received"), (None, "5", None, "Delivered")]
+    text = spark.createDataFrame(rows, "orderid string, customerid string, order_status_update_timestamp string, order_status string")
+    got = conform(text, schemas.ORDER_DETAILS).orderBy(F.col("orderid").asc_nulls_last()).collect()
+    assert [(r[0], r[1], r[2] is None) for r in got] == [(1, None, False), (2, 3, True), (None, 5, True)]
+    lost = {r.column_name: r.n_lost for r in check_conform(text, "order_details", schemas.ORDER_DETAILS).collect()}
+    assert lost == {"orderid": 0, "customerid": 1, "order_status_update_timestamp": 1}
+
+
 def test_check_summary_one_pass_counts(spark):
     from pyspark.sql import types as Ty
     from order_mart.plans.pipeline import check_summary
