@@ -17,45 +17,45 @@ _ROW_BITS = 33
 
 
 def dense_surrogate_key(df: DataFrame, order_by: list[str], key_col: str, start: int = 1,
-                        num_partitions: int | None = None, tiebreak: bool = True) -> DataFrame:
-    """Add ``key_col`` = start, start+1, ... in ``order_by`` order.
+                        num_partitions: int | None = None) -> DataFrame:
+    """Add ``key_col`` = start, start+1, ... in ``order_by`` order; rows with
+    equal keys are ordered by their other columns.
 
-    ``tiebreak`` appends the remaining (orderable) columns to the sort so
-    equal keys still get a deterministic order; exact copies are spread over
-    ranges by a random last key (see below).  The numbered frame is
-    checkpointed to the shared checkpoint folder: the counts and the final ids
-    are two reads of one materialised copy, so a lost executor or a re-run
-    cannot renumber rows between them.
+    Exact copies are first counted as one row (pre-aggregated, so a large
+    group of copies is one row in its range), numbered as a block and expanded
+    again.  No value is random, so a recomputed task gives the same ranges.
+    This runs jobs when called: the numbered rows are checkpointed to the
+    shared checkpoint folder, and the offsets and final ids are two reads of
+    that copy.  ``num_partitions`` (default: the session's shuffle partitions)
+    should follow the size of the data.
     """
     from ..config import checkpoint_dir
 
     spark = df.sparkSession
     checkpoint_dir(spark)
-    sort_cols = list(order_by)
-    if tiebreak:
-        orderable = ("array", "map", "struct", "variant")
-        sort_cols += [f.name for f in df.schema.fields
-                      if f.name not in sort_cols and not f.dataType.typeName().startswith(orderable)]
+    unordered = ("map", "variant")
+    if any(f.dataType.typeName().startswith(unordered) for f in df.schema.fields):
+        raise ValueError("dense keys need columns that can be ordered (no map or variant)")
+    sort_cols = [*order_by, *[c for c in df.columns if c not in order_by]]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Last tie-breaker: a random value drawn once per row.  Rows that differ
-    # are ordered by their own columns; only exact copies are ordered by it,
-    # and copies are interchangeable, so the (row, key) pairs stay the same.
-    # It lets range partitioning cut a large group of copies into several
-    # ranges instead of one task.
-    spread = df.withColumn("_tie", F.rand(seed=17))
-    numbered = (spread.repartitionByRange(n, *sort_cols, "_tie")
-                .sortWithinPartitions(*sort_cols, "_tie")
-                .drop("_tie")
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = (rows.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()
-                            - F.shiftleft(F.col("_pid").cast("bigint"), _ROW_BITS)))
-    numbered = numbered.checkpoint(eager=True)
+                            - F.shiftleft(F.col("_pid").cast("bigint"), _ROW_BITS))
+                .checkpoint(eager=True))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (numbered.groupBy("_pid").count()
-               .select("_pid", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset")))
-    return (numbered.join(F.broadcast(offsets), "_pid")
-            .withColumn(key_col, F.lit(start).cast("bigint") + F.col("_offset") + F.col("_pos"))
-            .drop("_pid", "_pos", "_offset"))
+    offsets = (numbered.groupBy("_pid").agg(F.sum("_n").alias("_rows"))
+               .select("_pid", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")))
+    # copies move later rows of their range up: only groups of copies matter
+    copies = (numbered.filter("_n > 1").select("_pid", F.col("_pos").alias("_at"), (F.col("_n") - 1).alias("_more"))
+              .groupBy("_pid").agg(F.array_sort(F.collect_list(F.struct("_at", "_more"))).alias("_copies")))
+    moved = F.aggregate(F.filter(F.coalesce("_copies", F.array()), lambda c: c["_at"] < F.col("_pos")),
+                        F.lit(0).cast("bigint"), lambda a, c: a + c["_more"])
+    placed = numbered.join(F.broadcast(offsets), "_pid").join(copies, "_pid", "left")
+    first = F.lit(start).cast("bigint") + F.col("_offset") + F.col("_pos") + moved
+    return (placed.withColumn(key_col, F.explode(F.sequence(first, first + F.col("_n") - 1)))
+            .drop("_pid", "_pos", "_offset", "_copies", "_n"))
 
 
 def current_max(df: DataFrame, col: str) -> Column:

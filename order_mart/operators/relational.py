@@ -28,12 +28,13 @@ def union_all(*frames: DataFrame) -> DataFrame:
 def sorted_by(df: DataFrame, *cols: str, spread_ties: bool = True) -> DataFrame:
     """Total sort (range-partitioned); use for display or ordered files only.
 
-    With ``spread_ties`` rows with equal sort keys are ordered by a random
-    last key, so a large group of equal keys is cut into several ranges
-    instead of landing in one task (ties have no defined order anyway)."""
+    With ``spread_ties`` rows with equal sort keys are ordered by a hash of
+    the row, so a large group of equal keys is cut into several ranges instead
+    of landing in one task (ties have no defined order anyway; the hash gives
+    the same one when a task is computed again)."""
     if not spread_ties:
         return df.orderBy(*cols)
-    return df.withColumn("_tie", F.rand(seed=17)).orderBy(*cols, "_tie").drop("_tie")
+    return df.withColumn("_tie", F.xxhash64(*df.columns)).orderBy(*cols, "_tie").drop("_tie")
 
 
 def preview(df: DataFrame, n: int, *order_cols: str) -> DataFrame:

@@ -42,15 +42,21 @@ def test_sizing_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // 4 // (256 * 1024 ** 2)
 
 
-def test_dense_key_spreads_copies(spark):
-    """A third of the rows are exact copies: they are still spread over
-    several range partitions, and keys stay contiguous."""
-    copies = spark.range(0, 3000).select(F.lit(7).alias("k"), F.lit("same").alias("s"))
-    others = spark.range(0, 6000).select((F.col("id") + 100).alias("k"), F.col("id").cast("string").alias("s"))
-    df = copies.unionByName(others)
+def test_dense_key_counts_copies(spark):
+    """A third of the rows are exact copies: they are numbered as one row and
+    expanded, and keys stay contiguous and in order."""
+    copies = spark.range(0, 3000).select(F.lit(107).alias("k"), F.lit("same").alias("s"))
+    others = spark.range(0, 6000).select((F.col("id") % 3000 + 100).alias("k"), (F.col("id") % 4000).cast("string").alias("s"))
+    df = copies.unionByName(others).unionByName(others.limit(5))
     out = dense_surrogate_key(df, ["k"], "sk", start=1, num_partitions=8)
-    assert sorted(r.sk for r in out.collect()) == list(range(1, 9001))
-    per_part = (df.withColumn("_tie", F.rand(seed=17))
-                .repartitionByRange(8, "k", "s", "_tie").groupBy(F.spark_partition_id()).count().collect())
-    assert max(r["count"] for r in per_part) < 3000
-    assert len(out.filter("k = 7").select("sk").distinct().collect()) == 3000
+    got = sorted((r.sk, r.k, r.s) for r in out.collect())
+    assert [sk for sk, _, _ in got] == list(range(1, 9006))
+    assert [k for _, k, _ in got] == sorted(k for _, k, _ in got)
+    assert sum(s == "same" for _, _, s in got) == 3000
+
+
+def test_dense_key_is_the_same_from_other_partitions(spark):
+    df = spark.range(0, 500).select((F.col("id") % 50).alias("k"), (F.col("id") % 125).alias("v"))
+    rows = [sorted(map(tuple, dense_surrogate_key(d, ["k"], "sk", num_partitions=p).collect()))
+            for d, p in ((df, 3), (df.repartition(7), 3), (df.coalesce(1), 8))]
+    assert rows[0] == rows[1] == rows[2]
