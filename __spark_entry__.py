@@ -255,7 +255,10 @@ LEFT JOIN firsts f ON k.customerid = f.customerid AND k.name = f.name
 LEFT JOIN addr a ON k.customerid = a.customerid
 """,
     # ---------------------------------------------------------- operators
-    "scan_sources": "SELECT * FROM order_details",
+    "scan_sources": "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, count({c}) AS n_keys FROM {t}"
+        for t, c in (("customer_master", "customerid"), ("product_master", "productid"),
+                     ("order_details", "orderid"), ("order_items", "orderid"))),
     "scan_projected": "SELECT orderid, order_status_update_timestamp, order_status FROM order_details",
     "literal_table": """
 , steps(order_status, step) AS (VALUES ('Received', 1), ('InProgress', 2), ('Delivered', 3)),
@@ -463,8 +466,41 @@ FROM batch
 _SAME_AS = {"refresh_fact": "fact_daily_orders"}
 
 
+# The sources with planted faults (order_mart.sources.binding.faulty_sources):
+# the clean CTEs get a prefix and the faulty ones take their names.
+FAULTY_BINDING = BINDING
+for _table in ("customer_master", "product_master", "order_details", "order_items"):
+    FAULTY_BINDING = FAULTY_BINDING.replace(f"{_table} AS (", f"clean_{_table} AS (")
+FAULTY_BINDING += """
+, customers AS (
+  SELECT customerid, CASE WHEN customerid % 25 = 4 THEN repeat(name, 5) ELSE name END AS name, address, city, state,
+         CASE WHEN customerid % 30 = 7 THEN NULL ELSE pincode END AS pincode, update_timestamp
+  FROM clean_customer_master
+),
+customer_master AS (SELECT * FROM customers UNION ALL SELECT * FROM customers WHERE customerid % 40 = 3),
+product_master AS (SELECT * FROM clean_product_master UNION ALL SELECT * FROM clean_product_master WHERE productid % 50 = 5),
+order_details AS (
+  SELECT orderid,
+         CASE WHEN orderid % 50 = 7 THEN customerid + 1000000000
+              WHEN orderid % 50 = 11 AND order_status = 'Received' THEN NULL
+              WHEN orderid % 50 = 13 AND order_status = 'InProgress' THEN customerid + 1 ELSE customerid END AS customerid,
+         order_status_update_timestamp,
+         CASE WHEN orderid % 50 = 8 AND order_status = 'InProgress' THEN 'In_progress'
+              WHEN orderid % 50 = 9 THEN NULL
+              WHEN orderid % 50 = 12 THEN repeat(order_status, 3) ELSE order_status END AS order_status
+  FROM clean_order_details WHERE orderid % 50 <> 21
+),
+order_items AS (
+  SELECT orderid, CASE WHEN orderid % 50 = 14 THEN NULL WHEN orderid % 50 = 15 THEN productid + 1000000000 ELSE productid END AS productid, quantity
+  FROM clean_order_items
+)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
+    from order_mart.plans.registry import FAULTY
     out = {name: BINDING + body for name, body in _BODIES.items()}
+    out.update({f"{name}_faulty": FAULTY_BINDING + _BODIES[name] for name in FAULTY})
     for name, same in _SAME_AS.items():
         out[name] = out[same]
     return {**out, **_llm()[1]}

@@ -26,6 +26,12 @@ CUTOFF = dt.datetime(2000, 1, 1)       # high-water mark used by the increments
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
+OPERATORS: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {}
+#: Queries that also run as ``<name>_faulty`` over sources with planted faults.
+FAULTY = ("check_not_null", "check_primary_key", "check_foreign_key", "check_varchar_length", "check_status_domain",
+          "check_order_customer", "filter_not_in_progress", "customer_status_history", "item_status_history",
+          "customer_first_events", "order_lifecycle", "orders_with_items", "order_item_totals",
+          "fact_daily_orders", "fact_daily_orders_pipeline", "fact_daily_orders_sql", "f_order_details_pipeline")
 
 
 def query(name: str):
@@ -36,7 +42,7 @@ def query(name: str):
             return fn(src)
         run.__name__ = name
         run.__doc__ = fn.__doc__
-        REGISTRY[name] = run
+        REGISTRY[name], OPERATORS[name] = run, fn
         return fn
     return wrap
 
@@ -68,7 +74,7 @@ def _fact_pipe(src): return facts.fact_daily_orders_pipeline(src)
 
 
 @query("fact_daily_orders_sql")
-def _fact_sql(src): return facts.fact_daily_orders_sql(src)
+def _fact_sql(src): return facts.fact_daily_orders_sql(src, ordered=True)
 
 
 @query("f_order_details")
@@ -113,8 +119,11 @@ TS = lifecycle.TS
 
 @query("scan_sources")
 def _scan_sources(src):
-    """SELECT * FROM order_details (full scan)."""
-    return src["order_details"]
+    """Rows of each source and of its key column."""
+    key = {"customer_master": "customerid", "product_master": "productid", "order_details": "orderid", "order_items": "orderid"}
+    return relational.union_all(*[
+        src[t].agg(F.count(F.lit(1)).alias("n_rows"), F.count(c).alias("n_keys"))
+        .select(F.lit(t).alias("table_name"), "n_rows", "n_keys") for t, c in key.items()])
 
 
 @query("scan_projected")
@@ -368,3 +377,15 @@ def _refresh_fact(src):
     previous = fact_daily_orders(old)
     inc = incremental.incremental_status(od, CUTOFF)
     return incremental.refresh_fact(previous, src, inc)
+
+
+# --- the same operators over sources with planted faults -------------------
+def _over_faulty(name: str):
+    def run(spark, sf_dir):
+        from ..sources.binding import faulty_sources
+        return OPERATORS[name](dict(faulty_sources(spark, sf_dir), _spark=spark, _sf_dir=sf_dir))
+    return run
+
+
+for _name in FAULTY:
+    REGISTRY[f"{_name}_faulty"] = _over_faulty(_name)

@@ -39,23 +39,7 @@ TEST_TABLE_SCHEMAS = {
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.schema(TEST_TABLE_SCHEMAS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_small_scan(df) if name in ("orders", "lineitem") else df
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that plans fewer splits than the cluster has task
-    slots (e.g. one file with one row group), so the per-row work fused into
-    the scan stage runs on every core.  Large inputs already have at least
-    that many splits and are returned untouched (no extra shuffle)."""
-    if df.sparkSession.conf.get("order_mart.spreadSmallScans", "true") != "true":
-        return df
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()   # plans the scan; runs nothing
-    except Exception:  # no JVM handle (e.g. a remote session): leave as is
-        return df
-    return df if splits >= slots else df.repartition(slots)
+    return spark.read.schema(TEST_TABLE_SCHEMAS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,25 +118,39 @@ def status_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
             steps.filter(F.col("_st") == "F").select(*cols("_t2", schemas.STATUS_DELIVERED)))
 
 
-_BOUND: dict[tuple[int, str], dict[str, DataFrame]] = {}
-
-
 def bind_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All four sources as lazy DataFrames over ``sf_dir``.
-
-    The (lazy) plans are built once per session and folder and shared by
-    every query; no data is cached, each query still reads the files.
-    """
-    key = (id(getattr(spark, "_jsparkSession", spark)), os.path.abspath(sf_dir))
-    if key not in _BOUND:
-        _BOUND[key] = _bind(spark, sf_dir)
-    return dict(_BOUND[key])
-
-
-def _bind(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All four sources as lazy DataFrames over ``sf_dir``; every call lists
+    the files anew."""
     return {
         "customer_master": customer_master(spark, sf_dir),
         "product_master": product_master(spark, sf_dir),
         "order_details": order_details(spark, sf_dir),
         "order_items": order_items(spark, sf_dir),
     }
+
+
+def faulty_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four sources with faults planted by fixed rules on the keys:
+    repeated masters, over-long names, missing pincodes, orphan and missing
+    foreign keys, several customers in one order, other status spellings, no
+    status, and orders without history."""
+    src = bind_sources(spark, sf_dir)
+    order, status = F.col("orderid") % 50, F.col("order_status")
+    customers = src["customer_master"].withColumns({
+        "name": F.when(F.col("customerid") % 25 == 4, F.repeat("name", 5)).otherwise(F.col("name")),
+        "pincode": F.when(F.col("customerid") % 30 == 7, None).otherwise(F.col("pincode"))})
+    details = src["order_details"].filter(order != 21).withColumns({
+        "customerid": F.when(order == 7, F.col("customerid") + 1_000_000_000)
+        .when((order == 11) & (status == schemas.STATUS_RECEIVED), None)
+        .when((order == 13) & (status == schemas.STATUS_IN_PROGRESS), F.col("customerid") + 1).otherwise(F.col("customerid")),
+        "order_status": F.when((order == 8) & (status == schemas.STATUS_IN_PROGRESS), schemas.PIPELINE_IN_PROGRESS_LITERAL)
+        .when(order == 9, None).when(order == 12, F.repeat("order_status", 3)).otherwise(status)})
+    items = src["order_items"].withColumn(
+        "productid", F.when(order == 14, None).when(order == 15, F.col("productid") + 1_000_000_000).otherwise(F.col("productid")))
+    products = src["product_master"]
+    return {
+        "customer_master": customers.unionByName(customers.filter(F.col("customerid") % 40 == 3)),
+        "product_master": products.unionByName(products.filter(F.col("productid") % 50 == 5)),
+        "order_details": details,
+        "order_items": items,
+    }
