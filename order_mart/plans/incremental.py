@@ -52,8 +52,12 @@ def stage_increment(spark: SparkSession, src: Sources, cutoff: dt.datetime | str
     """(scoped sources, affected orders).  The affected orders' whole status
     history and item lines are written once under ``stage_dir`` and read by
     every target and check; the masters stay as they are."""
-    affected = stage_frame(affected_orders(incremental_status(src["order_details"], cutoff)),
-                           os.path.join(stage_dir, "increment__orders"))
+    return stage_affected(src, incremental_status(src["order_details"], cutoff), stage_dir)
+
+
+def stage_affected(src: Sources, increment: DataFrame, stage_dir: str) -> tuple[Sources, DataFrame]:
+    """The same for an increment given as status rows."""
+    affected = stage_frame(affected_orders(increment), os.path.join(stage_dir, "increment__orders"))
     scoped = dict(src)
     for name in ("order_details", "order_items"):
         scoped[name] = stage_frame(src[name].join(affected, "orderid", "left_semi").select(*src[name].columns),

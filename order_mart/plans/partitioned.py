@@ -29,7 +29,7 @@ from ..config import scratch_path
 from ..sinks.writers import stage_frame
 from . import dims
 from .facts import f_order_details, fact_daily_orders
-from .incremental import stage_increment
+from .incremental import stage_affected, stage_increment
 from .pipeline import PipelineResult, QualityError, _run_all, build_targets, check_summary, target_checks
 
 Sources = dict[str, DataFrame]
@@ -127,6 +127,27 @@ def _drop_emptied(spark: SparkSession, table: str, date_col: str, touched: list,
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({date_col} = DATE'{value}')")
 
 
+def refresh_partitions(spark: SparkSession, src: Sources, increment: DataFrame, table: str, grain: str = "day") -> None:
+    """Bring one date-partitioned ``fact_daily_orders`` table up to date with
+    an increment of status rows; the table is built if it does not exist."""
+    name = "fact_daily_orders"
+    date_col = DATE_PARTITIONS[name][0]
+    if not spark.catalog.tableExists(table):
+        (with_partition_date(name, fact_daily_orders(src), grain).write.format("parquet")
+         .partitionBy(date_col).saveAsTable(table))
+        return
+    stage_dir = scratch_path(spark, "stream")
+    scoped, affected = stage_affected(src, increment, stage_dir)
+    previous = spark.table(table)
+    fresh = stage_frame(with_partition_date(name, fact_daily_orders(scoped), grain), os.path.join(stage_dir, "rebuilt"))
+    touched = touched_partitions(fresh, previous, affected, date_col)
+    if touched:
+        staged = stage_frame(refreshed_partitions(previous, fresh, affected, date_col, touched), os.path.join(stage_dir, name))
+        with _dynamic_overwrite(spark):
+            staged.select(*previous.columns).write.insertInto(table, overwrite=True)
+        _drop_emptied(spark, table, date_col, touched, staged)
+
+
 def run_incremental_partitioned(spark: SparkSession, src: Sources, database: str,
                                 cutoff: dt.datetime | str, as_of: dt.date | str | None = None,
                                 stage_dir: str | None = None, enforce: bool = True,

@@ -100,8 +100,25 @@ def test_pipeline_from_jdbc_sources(spark):
         write_jdbc(df, url, name, mode="overwrite", properties=props, num_partitions=2)
     src = read_sources_jdbc(spark, url, props, num_partitions=3)
     assert src["order_details"].rdd.getNumPartitions() == 3
+    for name, df in bind_sources(spark, SF0001).items():
+        assert src[name].schema.simpleString() == schemas.SOURCES[name].simpleString()
+        assert same(src[name], df.select(*src[name].columns)), name
     db = f"jdbc_{uuid.uuid4().hex[:8]}"
     res = run_pipeline(spark, src, db, as_of="2024-01-01")
     assert not res.violations
     assert spark.table(f"{db}.fact_daily_orders").count() == 493
     assert spark.table(f"{db}.f_order_details").count() == 1995
+
+
+def test_csv_sources_and_lost_values(spark):
+    from order_mart.sources.files import check_csv, read_sources_csv
+    base = tempfile.mkdtemp(prefix="csv-src-")
+    src = bind_sources(spark, SF0001)
+    for name, df in src.items():
+        write_csv(df, os.path.join(base, name))
+    back = read_sources_csv(spark, base)
+    assert all(same(back[n], df.select(*back[n].columns)) for n, df in src.items())
+    bad = os.path.join(base, "bad")
+    spark.createDataFrame([("1", "2", "many"), ("1", "x", "3")], "orderid string, productid string, quantity string").write.option("header", True).csv(bad)
+    lost = {r.column_name: r.n_lost for r in check_csv(spark, bad, "order_items", schemas.ORDER_ITEMS).collect()}
+    assert lost == {"orderid": 0, "productid": 1, "quantity": 1}

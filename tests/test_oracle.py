@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from order_mart.plans.registry import REGISTRY
-from order_mart.testing import compare, duckdb_connection
+from oracle_compare import compare, duckdb_connection
 
 from conftest import SF0001
 

@@ -12,7 +12,7 @@ import __spark_entry__ as E
 from order_mart import schemas
 from order_mart.plans import dims, facts, incremental
 from order_mart.plans.registry import CUTOFF
-from order_mart.testing import normalized_rows
+from oracle_compare import normalized_rows
 from order_mart.functions import ntz_literal
 from order_mart.operators import lifecycle, quality
 from pyspark.sql import functions as F
