@@ -1,7 +1,8 @@
 """Named queries over the shared test tables: name -> callable(spark, sf_dir).
 
 Each callable binds the test tables to the four sources and returns one lazy
-DataFrame; nothing is collected.  Parameters that would otherwise come from
+DataFrame; nothing is collected.  The queries with a dense key number a
+checkpointed copy when called (see ``operators.keys``).  Parameters that would otherwise come from
 the clock are fixed here so results are reproducible.
 """
 
