@@ -1,7 +1,7 @@
 """The corpus pipeline, stage by stage, against brute force."""
 
 import corpus_pipeline
-from llm_helpers import SF0001
+from llm_helpers import SF0001, hard, none  # noqa: F401
 from test_dedup import brute_classes, brute_exact, brute_repeats
 from test_filters_models import brute_verdict
 from test_tokens_packing import check_sequences, ids_of

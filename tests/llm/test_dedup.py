@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 import pytest
-from llm_helpers import HARD, SF0001, rows
+from llm_helpers import HARD, SF0001, hard, none, rows  # noqa: F401
 from pyspark.sql import functions as F
 
 from order_mart.llm import exact_dedup, ngram_join, rindex_dedup

@@ -7,7 +7,7 @@ from array import array
 
 import numpy as np
 import pytest
-from llm_helpers import HARD, SF0001, rows
+from llm_helpers import HARD, SF0001, hard, none, rows  # noqa: F401
 
 from order_mart.llm.bpe_words import decode_ids, encode_documents, op1_bpe_words
 from order_mart.llm.common import read_table
