@@ -33,7 +33,7 @@ BLOCK_BYTES = 8 << 20
 BUCKETS_PER_PARTITION = 4
 
 _LISTS = "block long, bucket int, words binary"
-_IDS = "block long, words binary, ids binary"
+_IDS = "block long, bucket int, ids binary"
 _TEXTS = "block long, doc_ids binary, sizes binary, texts binary"
 
 
@@ -65,19 +65,25 @@ def _unpack(frame: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(frame)
 
 
+def _deal(texts: list[list[bytes]], buckets: int) -> list[list[bytes]]:
+    """A block's distinct words by bucket, sorted: a word's position in its
+    list is the key that its ids come back by."""
+    import zlib
+
+    dealt: list[list[bytes]] = [[] for _ in range(buckets)]
+    for word in {w for text in texts for w in text}:
+        dealt[zlib.crc32(word) % buckets].append(word)
+    for words in dealt:
+        words.sort()
+    return dealt
+
+
 def _word_lists(buckets: int, block_bytes: int):
     def run(batches):
-        import zlib
-
         for block, _, data, offsets in _blocks(batches, block_bytes):
-            found: set[bytes] = set()
             blob = data.tobytes()
-            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                found.update(blob[a:b].split())
-            dealt: list[list[bytes]] = [[] for _ in range(buckets)]
-            for word in found:
-                dealt[zlib.crc32(word) % buckets].append(word)
-            rows = [(k, _pack(b"\n".join(sorted(words)))) for k, words in enumerate(dealt) if words]
+            texts = [blob[a:b].split() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            rows = [(k, _pack(b"\n".join(words))) for k, words in enumerate(_deal(texts, buckets)) if words]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int32()),
                  pa.array([r[1] for r in rows], pa.binary())], names=["block", "bucket", "words"])
@@ -97,8 +103,8 @@ def _encode_lists(path: str):
                 ids = [table[w] for w in words]
                 counts = np.fromiter(map(len, ids), np.uint32, len(ids)).tobytes()
                 answers.append(_pack(counts + b"".join(ids)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(answers, pa.binary())],
-                                             names=["block", "words", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(answers, pa.binary())],
+                                             names=["block", "bucket", "ids"])
     return run
 
 
@@ -120,29 +126,27 @@ def _pieces(path: str) -> list[bytes]:
     return encoder(path).pieces()
 
 
-def _join_back(path: str, emit):
+def _join_back(path: str, emit, buckets: int):
     """Join a block's texts with its words' ids by position."""
-    def run(texts: pa.Table, lists: pa.Table) -> pa.Table:
-        pieces, ids_of, said_of = _pieces(path), {}, {}
-        for words, ids in zip(lists.column("words").to_pylist(), lists.column("ids").to_pylist(), strict=True):
-            words, ids = _unpack(words).split(b"\n"), _unpack(ids)
-            counts = np.frombuffer(ids, np.uint32, len(words))
-            ends = (np.cumsum(counts) + 4 * len(words)).tolist()
-            start = 4 * len(words)
-            for word, end in zip(words, ends, strict=True):
-                ids_of[word] = own = ids[start:end]
-                said_of[word] = b" ".join([pieces[i] for i in memoryview(own).cast("I")])
-                start = end
-        out = []
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        pieces, out = _pieces(path), []
+        ids_by_bucket = dict(zip(answers.column("bucket").to_pylist(), answers.column("ids").to_pylist(), strict=True))
         for doc_ids, sizes, frame in zip(*(texts.column(c).to_pylist() for c in ("doc_ids", "sizes", "texts")), strict=True):
             doc_ids = pa.ipc.open_stream(doc_ids).read_all().column(0)
-            blob, at = _unpack(frame), 0
-            rows = []
-            for size in np.frombuffer(sizes, np.int64).tolist():
-                words = blob[at: at + size].split()
-                at += size
-                rows.append(emit.row(b"".join([ids_of[w] for w in words]), b" ".join([s for w in words if (s := said_of[w])])))
-            out.append(emit.table(doc_ids, rows))
+            blob, ends = _unpack(frame), np.cumsum(np.frombuffer(sizes, np.int64)).tolist()
+            split = [blob[a:b].split() for a, b in zip([0, *ends], ends, strict=False)]
+            ids_of, said_of = {}, {}
+            for bucket, words in enumerate(_deal(split, buckets)):
+                if not words:
+                    continue
+                ids = _unpack(ids_by_bucket[bucket])
+                start = 4 * len(words)
+                for word, size in zip(words, np.frombuffer(ids, np.uint32, len(words)).tolist(), strict=True):
+                    ids_of[word] = own = ids[start: start + size]
+                    said_of[word] = b" ".join([pieces[i] for i in memoryview(own).cast("I")])
+                    start += size
+            out.append(emit.table(doc_ids, [emit.row(b"".join([ids_of[w] for w in words]), b" ".join([s for w in words if (s := said_of[w])]))
+                                            for words in split]))
         return pa.concat_tables(out) if out else emit.table(pa.array([], pa.int64()), [])
     return run
 
@@ -194,7 +198,7 @@ def encode_documents(docs: DataFrame, emit=Tokens, path: str | None = None, bloc
     answers = lists.repartition(F.col("bucket")).mapInArrow(_encode_lists(path), _IDS)
     texts = rows.mapInArrow(_texts(block_bytes), _TEXTS)
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _join_back(path, emit), f"doc_id {kind}, {emit.fields}")
+        _join_back(path, emit, buckets), f"doc_id {kind}, {emit.fields}")
 
 
 def piece_table(spark: SparkSession, path: str | None = None) -> DataFrame:
