@@ -33,6 +33,8 @@ SHINGLE_WORDS, PERCENT = 4, 85
 COUNT_BITS, PARITY_BITS = 16, 512
 #: List entries that one step of a list task holds, whole lists.
 LIST_ROWS = 100_000
+#: Prefix places whose lists find the leaders; all places are searched after that.
+LEADER_PLACES = 6
 
 
 # ------------------------------------------------------------- sets
@@ -60,11 +62,26 @@ def need(x, y, percent: int):
     return -(-percent * (x + y) // (100 + percent))
 
 
-def _set_of(frame: bytes, width: int) -> np.ndarray:
+def _sets_of(frames: list[bytes], width: int) -> list[np.ndarray]:
+    """Sets of compressed texts, about a megabyte of text at a time."""
     import zstandard
 
-    text = np.frombuffer(zstandard.ZstdDecompressor().decompress(frame), np.uint8)
-    return shingle_sets(text, np.array([0, len(text)]), width)[0]
+    unpack, out, held, total = zstandard.ZstdDecompressor(), [], [], 0
+    for k, frame in enumerate(frames):
+        held.append(unpack.decompress(frame))
+        total += len(held[-1])
+        if total >= 1 << 20 or k == len(frames) - 1:
+            offsets = np.concatenate(([0], np.cumsum([len(t) for t in held])))
+            out += shingle_sets(np.frombuffer(b"".join(held), np.uint8), offsets, width)
+            held, total = [], 0
+    return out
+
+
+def parity(own: np.ndarray) -> bytes:
+    """Bit map of the shingles' last bits, each shingle flipping its bit: two
+    sets differ in at least as many shingles as their maps in bits."""
+    odd = np.bincount((own & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
 def _row_task(width: int):
@@ -92,7 +109,7 @@ def _row_task(width: int):
 
 
 def _text_task(width: int):
-    """(sid, n, text): the compressed text of each class, once a task."""
+    """(sid, text, parity): the compressed text of each class, once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
@@ -102,9 +119,9 @@ def _text_task(width: int):
             for k, own in enumerate(sets):
                 if len(own) and (sid := _class_of(own)) not in seen:
                     seen.add(sid)
-                    rows.append((sid, len(own), pack.compress(data[offsets[k]: offsets[k + 1]].tobytes())))
+                    rows.append((sid, pack.compress(data[offsets[k]: offsets[k + 1]].tobytes()), parity(own)))
             if rows:
-                yield _batch(["sid", "n", "text"], rows, [pa.int64(), pa.int64(), pa.binary()])
+                yield _batch(["sid", "text", "parity"], rows, [pa.int64(), pa.binary(), pa.binary()])
     return run
 
 
@@ -126,7 +143,7 @@ def _class_of(own: np.ndarray) -> int:
 
 
 def _classes(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
-    """(rows: doc_id, sid, n), (sets: sid, n, text; one row a class, bucketed
+    """(rows: doc_id, sid, n), (sets: sid, text, parity; one row a class, bucketed
     by class), and the counts of all shingles by hash bucket."""
     import zstandard
 
@@ -147,8 +164,8 @@ def _classes(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame, np.ndar
     for row in made.filter("n < 0").select("counts").mapInArrow(unpack, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
         counts[row["k"]] = row["n"]
     parts, table = int(spark.conf.get("spark.sql.shuffle.partitions")), f"shingle_sets_{uuid.uuid4().hex}"
-    (texts.mapInArrow(_text_task(width), "sid long, n long, text binary").repartition(parts, "sid")
-     .groupBy("sid").agg(F.first("n").alias("n"), F.first("text").alias("text"))
+    (texts.mapInArrow(_text_task(width), "sid long, text binary, parity binary").repartition(parts, "sid")
+     .groupBy("sid").agg(F.first("text").alias("text"), F.first("parity").alias("parity"))
      .write.format("parquet").option("compression", "none").option("path", scratch_path(spark, "join-sets"))
      .bucketBy(parts, "sid").saveAsTable(table))
     return made.filter("n >= 0").select("doc_id", "sid", "n"), spark.table(table), counts
@@ -174,25 +191,15 @@ def need_of(n: int, percent: int) -> int:
 def _prefix_task(width: int, percent: int, counts: np.ndarray):
     def run(batches):
         for batch in batches:
-            for sid, frame in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = _set_of(frame, width)
-                first = prefix(own, counts, percent)
-                m = len(first)
+            sids, frames = (batch.column(k).to_pylist() for k in range(2))
+            for at in range(0, len(sids), 500):
+                sets = _sets_of(frames[at: at + 500], width)
+                firsts = [prefix(own, counts, percent) for own in sets]
+                sizes = np.array([len(f) for f in firsts])
+                place = [(len(own) << 24) + np.arange(len(f)) for own, f in zip(sets, firsts, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(first.view(np.int64)), pa.array(np.full(m, sid)), pa.array((len(own) << 24) + np.arange(m))],
-                    names=["token", "sid", "place"])
-    return run
-
-
-def _parity_task(width: int):
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for sid, frame in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = _set_of(frame, width)
-                odd = np.bincount((own & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
-                rows.append((sid, np.packbits(odd.astype(np.uint8)).tobytes()))
-            yield _batch(["sid", "parity"], rows, [pa.int64(), pa.binary()])
+                    [pa.array(np.concatenate(firsts).view(np.int64)), pa.array(np.repeat(np.array(sids[at: at + 500]), sizes)),
+                     pa.array(np.concatenate(place))], names=["token", "sid", "place"])
     return run
 
 
@@ -228,11 +235,12 @@ def _may_link(sizes, places, parity, i, j, percent: int):
 
 
 def _list_task(percent: int, every_pair: bool):
-    """Candidate pairs of whole lists, sorted by token and size.
+    """Candidate pairs of whole lists.
 
-    Without ``every_pair``: pairs that join the sets of this task into
-    components, so that a list costs one pair for each set at most.  With it:
-    every pair between different components (column ``component``)."""
+    Without ``every_pair``: pairs of a leader, the least set, with those close
+    to it, which join the sets of this task into components; a list costs one
+    pair for each set at most.  With it: every pair between different
+    components (column ``component``)."""
     def emit(rows, forest):
         token, sid, place, parity, component = (np.concatenate(c) for c in zip(*rows, strict=True))
         sizes, places = place >> 24, place & ((1 << 24) - 1)
@@ -244,8 +252,11 @@ def _list_task(percent: int, every_pair: bool):
             for i in range(a, b - 1):
                 if not every_pair and (mine == mine[0]).all():
                     break
-                stop = a + int(np.searchsorted(sizes[a:b], sizes[i] * 100 // percent, side="right"))   # block skip by size
-                j = np.arange(i + 1, stop)
+                if every_pair:                                   # sorted by size: the block that may match
+                    j = np.arange(i + 1, a + int(np.searchsorted(sizes[a:b], sizes[i] * 100 // percent, side="right")))
+                else:
+                    j = np.arange(i + 1, b)
+                    j = j[(sizes[j] * percent <= sizes[i] * 100) & (sizes[i] * percent <= sizes[j] * 100)]
                 j = j[mine[j - a] != mine[i - a]]
                 if len(j):
                     j = j[_may_link(sizes, places, parity, i, j, percent)]
@@ -283,10 +294,10 @@ def _list_task(percent: int, every_pair: bool):
     return run
 
 
-def _candidates(entries: DataFrame, sets: DataFrame, width: int, percent: int, parts: int, every_pair: bool) -> DataFrame:
-    parity = sets.select("sid", "text").mapInArrow(_parity_task(width), "sid long, parity binary")
-    lists = entries.join(parity, "sid").select("token", "sid", "place", "parity", "component")
-    return (lists.repartition(parts, "token").sortWithinPartitions("token", "place", "sid")
+def _candidates(entries: DataFrame, sets: DataFrame, percent: int, parts: int, every_pair: bool) -> DataFrame:
+    lists = entries.join(sets.select("sid", "parity"), "sid").select("token", "sid", "place", "parity", "component")
+    order = ("token", "place", "sid") if every_pair else ("token", "sid")
+    return (lists.repartition(parts, "token").sortWithinPartitions(*order)
             .mapInArrow(_list_task(percent, every_pair), "a long, b long").distinct())
 
 
@@ -294,29 +305,27 @@ def _candidates(entries: DataFrame, sets: DataFrame, width: int, percent: int, p
 _ANSWER = "a long, b long, linked boolean, plus array<long>, minus array<long>"
 
 
-class _Recent:
-    """Sets of the texts met last, so that a leader's set is made once."""
+def _sets_in(batch: pa.RecordBatch, width: int, columns: tuple[tuple[int, int], ...]) -> dict[int, np.ndarray]:
+    """Sets of all texts in a batch, each made once; columns: (sid, text)."""
+    frames = {}
+    for sid, text in columns:
+        frames.update(zip(batch.column(sid).to_pylist(), batch.column(text).to_pylist(), strict=True))
+    return dict(zip(frames, _sets_of(list(frames.values()), width), strict=True))
 
-    def __init__(self, width: int, limit: int = 256):
-        self.width, self.limit, self.held = width, limit, {}
 
-    def get(self, sid: int, frame: bytes) -> np.ndarray:
-        own = self.held.get(sid)
-        if own is None:
-            if len(self.held) >= self.limit:
-                self.held.clear()
-            own = self.held[sid] = _set_of(frame, self.width)
-        return own
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def _compare_task(width: int, percent: int):
     """Exact overlap of a and b; for linked pairs what b adds to a and lacks."""
     def run(batches):
-        recent = _Recent(width)
-        for batch in batches:
-            rows = []
-            for a, text_a, b, text_b in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                x, y = recent.get(a, text_a), recent.get(b, text_b)
+        for batch in _parts(batches):
+            sets, rows = _sets_in(batch, width, ((0, 1), (2, 3))), []
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                x, y = sets[a], sets[b]
                 both = np.intersect1d(x, y, assume_unique=True)
                 linked = len(both) >= need(len(x), len(y), percent)
                 plus = np.setdiff1d(y, both, assume_unique=True).view(np.int64) if linked else None
@@ -337,11 +346,10 @@ def _derive_task(width: int, percent: int):
     """Answers of a leader's kin for a candidate: the leader's overlap is
     computed once, each kin's follows from its differences to the leader."""
     def run(batches):
-        recent = _Recent(width)
-        for batch in batches:
-            rows = []
-            for a, text_a, y, text_y, kin in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                leader, other = recent.get(a, text_a), recent.get(y, text_y)
+        for batch in _parts(batches):
+            sets, rows = _sets_in(batch, width, ((0, 1), (2, 3))), []
+            for a, y, kin in zip(*(batch.column(k).to_pylist() for k in (0, 2, 4)), strict=True):
+                leader, other = sets[a], sets[y]
                 overlap = len(np.intersect1d(leader, other, assume_unique=True))
                 for x, plus, minus in ((k["x"], k["plus"], k["minus"]) for k in kin):
                     plus, minus = np.array(plus, np.int64).view(np.uint64), np.array(minus, np.int64).view(np.uint64)
@@ -359,7 +367,8 @@ def _links(sets: DataFrame, counts: np.ndarray, width: int, percent: int) -> Dat
     lists = index.repartition(parts, "token").selectExpr("*", "count(*) OVER (PARTITION BY token) AS listed")
     entries = stage(lists.filter("listed > 1").drop("listed"), "join-lists")
 
-    near = _candidates(entries.withColumn("component", F.col("sid")), sets, width, percent, parts, every_pair=False)
+    leading = entries.filter(F.col("place") % (1 << 24) < LEADER_PLACES).withColumn("component", F.col("sid"))
+    near = _candidates(leading, sets, percent, parts, every_pair=False)
     answers = stage(_with_texts(near, sets, "a", "b").select("a", "text_a", "b", "text_b")
                     .mapInArrow(_compare_task(width, percent), _ANSWER), "join-answers")
     linked = answers.filter("linked")
@@ -369,7 +378,7 @@ def _links(sets: DataFrame, counts: np.ndarray, width: int, percent: int) -> Dat
               .withColumn("component", F.coalesce("component", "sid"))
               .selectExpr("*", "min(component) OVER (PARTITION BY token) <> max(component) OVER (PARTITION BY token) AS mixed")
               .filter("mixed").drop("mixed"))
-    open_pairs = _candidates(placed, sets, width, percent, parts, every_pair=True).join(answers.select("a", "b"), ["a", "b"], "left_anti")
+    open_pairs = _candidates(placed, sets, percent, parts, every_pair=True).join(answers.select("a", "b"), ["a", "b"], "left_anti")
     leaders = linked.groupBy(F.col("b").alias("x")).agg(F.min(F.struct("a", "plus", "minus")).alias("near")).select("x", "near.*")
     none = F.array().cast("array<long>")
     asked = (open_pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).join(leaders, "x", "left")
