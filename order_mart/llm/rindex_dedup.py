@@ -36,7 +36,7 @@ WIDTH, GRAM = 200, 64
 #: Windows that are hashed at once: bounds the memory for very long texts.
 SEGMENT = 1 << 20
 #: Context bytes in one index.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: An anchor with more context bytes than this is decided window by window.
 CROWDED_BYTES = 8 << 20
 
@@ -159,46 +159,45 @@ class RunIndex:
 
 def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Positions sorted by the rest of their string; equal rests by position.
-    Ranks of doubled length are built from pairs until all differ."""
+
+    A rank is the first place of a group of rests that agree so far.  Groups
+    of more than one are sorted again by the ranks that follow at multiples of
+    the depth, as many as fit into 63 bits, which multiplies the depth."""
     n = len(text)
     here = np.arange(n)
     key = np.zeros(n, np.uint64)
-    for k in range(6):                                           # first six bytes, with 0 beyond the end
-        at = here + k
-        value = np.where(at < ends, text[np.minimum(at, n - 1)].astype(np.uint64) + np.uint64(1), np.uint64(0))
-        key = key * np.uint64(512) + value
-    order = np.argsort(key, kind="stable")
-    rank, groups = _ranks(key[order], order)
-    depth, longest = 6, int((ends - here).max()) if n else 0
-    while groups < n and depth < longest:
-        at = here + depth
-        second = np.where(at < ends, rank[np.minimum(at, n - 1)] + 1, 0)
-        tied = np.bincount(rank, minlength=groups)[rank] > 1
-        todo = np.flatnonzero(tied)
-        pair = rank[todo] * (n + 1) + second[todo]
-        local = np.argsort(pair, kind="stable")
-        start = np.concatenate(([0], np.cumsum(np.bincount(rank, minlength=groups))))[:-1]
-        slots = np.sort(start[rank[todo]], kind="stable")        # places of the tied suffixes, group by group
-        same = np.concatenate(([False], slots[1:] == slots[:-1]))
-        run = np.arange(len(slots)) - np.maximum.accumulate(np.where(same, 0, np.arange(len(slots))))
-        order[slots + run] = todo[local]
-        new = np.zeros(n, bool)
-        new[start] = True
-        changed = np.concatenate(([True], pair[local][1:] != pair[local][:-1]))
-        new[(slots + run)[changed]] = True
-        rank[order] = np.cumsum(new) - 1
-        groups = int(new.sum())
-        depth *= 2
+    for k in range(7):                                           # first seven bytes, with 0 beyond the end
+        value = np.zeros(n, np.uint64)
+        value[: max(0, n - k)] = text[k:]
+        value += np.uint64(1)
+        value[here + k >= ends] = 0
+        key = (key << np.uint64(9)) | value
+    order = np.argsort(key)
+    rank, width = np.empty(n, np.int64), max(1, int(n + 1).bit_length())
+    places, depth, longest = here, 7, int((ends - here).max()) if n else 0
+    members, ranked = order, key[order]
+    while True:
+        changed = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, bool)
+        group = np.maximum.accumulate(np.where(changed, places, 0))
+        rank[members] = group
+        tied = ~(changed & np.concatenate((changed[1:], [True])))
+        places, members = places[tied], members[tied]
+        if not len(places) or depth >= longest:
+            break
+        ranked, parts = rank[members], 63 // width
+        for part in range(1, parts):
+            at = members + part * depth
+            following = rank[np.minimum(at, n - 1)] + 1
+            following[at >= ends[members]] = 0
+            ranked = (ranked << width) | following
+        sort = np.argsort(ranked)
+        members, ranked = members[sort], ranked[sort]
+        order[places] = members
+        depth *= parts
+    order[places] = members[np.lexsort((members, rank[members]))]
     return order
 
 
-def _ranks(ranked: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, int]:
-    new = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, bool)
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.cumsum(new) - 1
-    return rank, int(new.sum())
-
-
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Length of the common prefix of the rests at ``a`` and ``b``."""
     padded = np.concatenate((text, np.zeros(8, np.uint8)))
