@@ -1,16 +1,18 @@
 """Exact Jaccard join of word-shingle sets with set-relation skipping.
 
 Rows with equal sets form one class, which is joined once.  The rarest-first
-prefixes of the sets are an inverted index.  Its lists are ordered by set size
-and cut into blocks by size and position: for each set only the block whose
-sizes and positions still allow the overlap is looked at, and parity bitmaps
-(a lower bound of two sets' difference) thin it further.
-
-The answers follow the relations among sets.  Sets that a list shows close to
-one leader are compared with the leader first, and the exact differences are
-kept.  Sets already in one component need no further comparison.  What is left
-between components is answered from the leader: a set's overlap with a
-candidate is the leader's overlap, plus what the set adds, minus what it lacks.
+prefixes of the sets are an inverted index.  Its lists are cut into blocks by
+set size and position: for each set only the block whose sizes and positions
+still allow the overlap is looked at, and parity bitmaps (a lower bound of two
+sets' difference) thin it further.  What the lists cannot rule out connects
+sets into clusters, outside of which there is no link.
+
+Within a cluster the answers follow the relations among sets.  A set's overlap
+with its leader is computed in full and the exact differences are kept; two
+sets of one leader are then answered from the leader's size and their
+differences alone.  Sets already in one component need no comparison.  A
+cluster too large for one task is answered pair by pair in the same way,
+spread over the cluster.
 """
 
 from __future__ import annotations
@@ -35,6 +37,10 @@ COUNT_BITS, PARITY_BITS = 16, 512
 LIST_ROWS = 100_000
 #: Prefix places whose lists find the leaders; all places are searched after that.
 LEADER_PLACES = 6
+#: A cluster that one task joins has at most so many sets and compressed bytes of text.
+CLUSTER_SETS, CLUSTER_BYTES = 4000, 16 << 20
+#: Bits of the parity maps within a cluster.
+CLUSTER_BITS = 4096
 
 
 # ------------------------------------------------------------- sets
@@ -77,10 +83,10 @@ def _sets_of(frames: list[bytes], width: int) -> list[np.ndarray]:
     return out
 
 
-def parity(own: np.ndarray) -> bytes:
+def parity(own: np.ndarray, bits: int = PARITY_BITS) -> bytes:
     """Bit map of the shingles' last bits, each shingle flipping its bit: two
     sets differ in at least as many shingles as their maps in bits."""
-    odd = np.bincount((own & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
@@ -238,9 +244,9 @@ def _list_task(percent: int, every_pair: bool):
     """Candidate pairs of whole lists.
 
     Without ``every_pair``: pairs of a leader, the least set, with those close
-    to it, which join the sets of this task into components; a list costs one
-    pair for each set at most.  With it: every pair between different
-    components (column ``component``)."""
+    to it, which join the components (column ``component``) that this task
+    meets; a list costs one pair for each component at most.  With it: every
+    pair between different components."""
     def emit(rows, forest):
         token, sid, place, parity, component = (np.concatenate(c) for c in zip(*rows, strict=True))
         sizes, places = place >> 24, place & ((1 << 24) - 1)
@@ -248,7 +254,7 @@ def _list_task(percent: int, every_pair: bool):
         last = np.concatenate((first[1:], [len(token)]))
         pairs = []
         for a, b in zip(first.tolist(), last.tolist(), strict=True):
-            mine = component[a:b] if every_pair else np.array([forest.find(x) for x in sid[a:b].tolist()])
+            mine = component[a:b] if every_pair else np.array([forest.find(x) for x in component[a:b].tolist()])
             for i in range(a, b - 1):
                 if not every_pair and (mine == mine[0]).all():
                     break
@@ -264,7 +270,7 @@ def _list_task(percent: int, every_pair: bool):
                     x, y = int(sid[i]), int(sid[k])
                     if every_pair:
                         pairs.append((x, y))
-                    elif forest.join(x, y):
+                    elif forest.join(int(component[i]), int(component[k])):
                         pairs.append((x, y))
                 if not every_pair and len(j):
                     mine = np.where(np.isin(mine, mine[np.concatenate(([i - a], j - a))]), mine[i - a], mine)
@@ -360,6 +366,50 @@ def _derive_task(width: int, percent: int):
     return run
 
 
+def cluster_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links (by position) that connect every two linked sets of a cluster."""
+    m = len(sets)
+    sizes, at = np.array([len(own) for own in sets]), np.arange(m)
+    maps = np.frombuffer(b"".join(parity(own, CLUSTER_BITS) for own in sets), np.uint64).reshape(m, -1)
+    component, leader = at.copy(), np.full(m, -1)
+    plus: list = [None] * m
+    minus: list = [None] * m
+    links = []
+    for x in range(m):
+        rest = at[x + 1:]
+        rest = rest[component[rest] != component[x]]
+        least = need(sizes[x], sizes[rest], percent)
+        rest, least = rest[least <= np.minimum(sizes[x], sizes[rest])], least[least <= np.minimum(sizes[x], sizes[rest])]
+        apart = np.bitwise_count(maps[rest] ^ maps[x]).sum(axis=1)
+        may = apart <= sizes[x] + sizes[rest] - 2 * least
+        for y, enough in zip(rest[may].tolist(), least[may].tolist(), strict=True):
+            if component[y] == component[x]:
+                continue
+            if leader[x] >= 0 and leader[x] == leader[y]:        # answered from the leader's answers
+                shared = len(np.intersect1d(minus[x], minus[y], assume_unique=True)) + len(np.intersect1d(plus[x], plus[y], assume_unique=True))
+                overlap = sizes[leader[x]] - len(minus[x]) - len(minus[y]) + shared
+            else:
+                both = np.intersect1d(sets[x], sets[y], assume_unique=True)
+                overlap = len(both)
+                if leader[x] in (-1, x) and leader[y] == -1:
+                    leader[x], plus[x], minus[x] = x, both[:0], both[:0]
+                    leader[y] = x
+                    plus[y], minus[y] = (np.setdiff1d(sets[k], both, assume_unique=True) for k in (y, x))
+            if overlap >= enough:
+                links.append((x, y))
+                component[component == component[y]] = component[x]
+    return links
+
+
+def _cluster_task(width: int, percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("sid")
+        sids = table.column("sid").to_pylist()
+        links = cluster_links(_sets_of(table.column("text").to_pylist(), width), percent)
+        return pa.table({"a": pa.array([sids[x] for x, _ in links], pa.int64()), "b": pa.array([sids[y] for _, y in links], pa.int64())})
+    return run
+
+
 def _links(sets: DataFrame, counts: np.ndarray, width: int, percent: int) -> DataFrame:
     """(a, b) links among classes that connect every two linked classes."""
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -368,16 +418,40 @@ def _links(sets: DataFrame, counts: np.ndarray, width: int, percent: int) -> Dat
     entries = stage(lists.filter("listed > 1").drop("listed"), "join-lists")
 
     leading = entries.filter(F.col("place") % (1 << 24) < LEADER_PLACES).withColumn("component", F.col("sid"))
-    near = _candidates(leading, sets, percent, parts, every_pair=False)
-    answers = stage(_with_texts(near, sets, "a", "b").select("a", "text_a", "b", "text_b")
+    near = stage(_candidates(leading, sets, percent, parts, every_pair=False), "join-near")
+    more = _candidates(_mixed(entries, connected_components(near)), sets, percent, parts, every_pair=False)
+    near = stage(near.unionByName(more), "join-candidates")
+    cluster = connected_components(near).withColumnRenamed("node", "sid")
+
+    sized = cluster.join(sets.select("sid", F.length("text").alias("bytes")), "sid").groupBy("component").agg(
+        F.count(F.lit(1)).alias("sets"), F.sum("bytes").alias("bytes"))
+    large = (F.col("sets") > CLUSTER_SETS) | (F.col("bytes") > CLUSTER_BYTES)
+    placed = stage(cluster.join(sized.select("component", large.alias("large")), "component"), "join-clusters")
+    links = (placed.filter("NOT large").select("sid", "component").join(sets.select("sid", "text"), "sid")
+             .groupBy("component").applyInArrow(_cluster_task(width, percent), "a long, b long"))
+    crowd = placed.filter("large").select("sid")
+    if not crowd.isEmpty():
+        own = near.join(crowd.withColumnRenamed("sid", "a"), "a", "left_semi")
+        links = links.unionByName(_pair_links(entries.join(crowd, "sid", "left_semi"), own, sets, width, percent, parts))
+    return links
+
+
+def _mixed(entries: DataFrame, component: DataFrame) -> DataFrame:
+    """Entries with their component, in lists that hold more than one."""
+    return (entries.join(component.withColumnRenamed("node", "sid"), "sid", "left")
+            .withColumn("component", F.coalesce("component", "sid"))
+            .selectExpr("*", "min(component) OVER (PARTITION BY token) <> max(component) OVER (PARTITION BY token) AS mixed")
+            .filter("mixed").drop("mixed"))
+
+
+def _pair_links(entries: DataFrame, near: DataFrame, sets: DataFrame, width: int, percent: int, parts: int) -> DataFrame:
+    """Links of clusters too large for one task: the candidates that connect
+    them are compared, then every pair between the components so found is
+    answered from the leaders."""
+    answers = stage(_with_texts(near.select("a", "b"), sets, "a", "b").select("a", "text_a", "b", "text_b")
                     .mapInArrow(_compare_task(width, percent), _ANSWER), "join-answers")
     linked = answers.filter("linked")
-    component = connected_components(linked.select("a", "b"))
-
-    placed = (entries.join(component.withColumnRenamed("node", "sid"), "sid", "left")
-              .withColumn("component", F.coalesce("component", "sid"))
-              .selectExpr("*", "min(component) OVER (PARTITION BY token) <> max(component) OVER (PARTITION BY token) AS mixed")
-              .filter("mixed").drop("mixed"))
+    placed = _mixed(entries, connected_components(linked.select("a", "b")))
     open_pairs = _candidates(placed, sets, percent, parts, every_pair=True).join(answers.select("a", "b"), ["a", "b"], "left_anti")
     leaders = linked.groupBy(F.col("b").alias("x")).agg(F.min(F.struct("a", "plus", "minus")).alias("near")).select("x", "near.*")
     none = F.array().cast("array<long>")

@@ -88,7 +88,10 @@ def near_copies(n, seed=1):
     return out
 
 
-def test_join_of_near_copies(spark):
+@pytest.mark.parametrize("cluster", [ngram_join.CLUSTER_SETS, 2])
+def test_join_of_near_copies(spark, monkeypatch, cluster):
+    """Also with clusters that count as too large for one task."""
+    monkeypatch.setattr(ngram_join, "CLUSTER_SETS", cluster)
     docs = near_copies(400)
     got = ngram_join.jaccard_classes(spark.createDataFrame(docs, "doc_id long, text string"))
     assert rows(got) == brute_classes(docs)
@@ -106,6 +109,27 @@ def test_lists_are_cut_between_tokens(spark, monkeypatch):
     assert rows(got) == brute_classes(docs, 5, 80)
 
 
+def test_links_within_a_cluster():
+    rng = np.random.default_rng(2)
+    for _ in range(40):
+        base = [rng.integers(0, 1 << 63, rng.integers(5, 80)).astype(np.uint64) for _ in range(3)]
+        sets = []
+        for _ in range(25):
+            own = base[rng.integers(3)]
+            own = own[rng.random(len(own)) > 0.08 * rng.random()]
+            sets.append(np.unique(np.concatenate((own, rng.integers(0, 1 << 63, rng.integers(0, 4)).astype(np.uint64)))))
+
+        def closed(links):
+            up = list(range(len(sets)))
+            for a, b in links:
+                up = [up[a] if u == up[b] else u for u in up]
+            return {frozenset(k for k, v in enumerate(up) if v == u) for u in up}
+
+        every = [(a, b) for b in range(len(sets)) for a in range(b)
+                 if len(np.intersect1d(sets[a], sets[b])) >= ngram_join.need(len(sets[a]), len(sets[b]), 85)]
+        assert closed(ngram_join.cluster_links(sets, 85)) == closed(every)
+
+
 def test_linked_sets_share_a_prefix_shingle():
     rng = np.random.default_rng(0)
     counts = rng.integers(0, 5000, 1 << ngram_join.COUNT_BITS)
