@@ -38,7 +38,7 @@ LIST_ROWS = 100_000
 #: Prefix places whose lists find the leaders; all places are searched after that.
 LEADER_PLACES = 6
 #: A cluster that one task joins has at most so many sets and compressed bytes of text.
-CLUSTER_SETS, CLUSTER_BYTES = 4000, 16 << 20
+CLUSTER_SETS, CLUSTER_BYTES = 20_000, 48 << 20
 #: Bits of the parity maps within a cluster.
 CLUSTER_BITS = 4096
 
@@ -405,13 +405,16 @@ def _cluster_task(width: int, percent: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("sid")
         sids = table.column("sid").to_pylist()
-        links = cluster_links(_sets_of(table.column("text").to_pylist(), width), percent)
-        return pa.table({"a": pa.array([sids[x] for x, _ in links], pa.int64()), "b": pa.array([sids[y] for _, y in links], pa.int64())})
+        forest = _Forest()
+        for x, y in cluster_links(_sets_of(table.column("text").to_pylist(), width), percent):
+            forest.join(sids[x], sids[y])
+        roots = [forest.find(sid) for sid in sids]
+        return pa.table({"node": pa.array(sids, pa.int64()), "component": pa.array(roots, pa.int64())})
     return run
 
 
-def _links(sets: DataFrame, counts: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(a, b) links among classes that connect every two linked classes."""
+def _components(sets: DataFrame, counts: np.ndarray, width: int, percent: int) -> DataFrame:
+    """(node, component) of the classes that may be linked with another."""
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     index = sets.select("sid", "text").mapInArrow(_prefix_task(width, percent, counts), "token long, sid long, place long")
     lists = index.repartition(parts, "token").selectExpr("*", "count(*) OVER (PARTITION BY token) AS listed")
@@ -419,21 +422,22 @@ def _links(sets: DataFrame, counts: np.ndarray, width: int, percent: int) -> Dat
 
     leading = entries.filter(F.col("place") % (1 << 24) < LEADER_PLACES).withColumn("component", F.col("sid"))
     near = stage(_candidates(leading, sets, percent, parts, every_pair=False), "join-near")
-    more = _candidates(_mixed(entries, connected_components(near)), sets, percent, parts, every_pair=False)
-    near = stage(near.unionByName(more), "join-candidates")
+    found = stage(connected_components(near), "join-leaders")
+    more = _candidates(_mixed(entries, found), sets, percent, parts, every_pair=False)
+    near = stage(found.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more), "join-candidates")
     cluster = connected_components(near).withColumnRenamed("node", "sid")
 
     sized = cluster.join(sets.select("sid", F.length("text").alias("bytes")), "sid").groupBy("component").agg(
         F.count(F.lit(1)).alias("sets"), F.sum("bytes").alias("bytes"))
     large = (F.col("sets") > CLUSTER_SETS) | (F.col("bytes") > CLUSTER_BYTES)
     placed = stage(cluster.join(sized.select("component", large.alias("large")), "component"), "join-clusters")
-    links = (placed.filter("NOT large").select("sid", "component").join(sets.select("sid", "text"), "sid")
-             .groupBy("component").applyInArrow(_cluster_task(width, percent), "a long, b long"))
+    out = (placed.filter("NOT large").select("sid", "component").join(sets.select("sid", "text"), "sid")
+           .groupBy("component").applyInArrow(_cluster_task(width, percent), "node long, component long"))
     crowd = placed.filter("large").select("sid")
     if not crowd.isEmpty():
         own = near.join(crowd.withColumnRenamed("sid", "a"), "a", "left_semi")
-        links = links.unionByName(_pair_links(entries.join(crowd, "sid", "left_semi"), own, sets, width, percent, parts))
-    return links
+        out = out.unionByName(connected_components(_pair_links(entries.join(crowd, "sid", "left_semi"), own, sets, width, percent, parts)))
+    return out
 
 
 def _mixed(entries: DataFrame, component: DataFrame) -> DataFrame:
@@ -475,7 +479,7 @@ def jaccard_classes(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int =
     further columns are ignored.
     """
     rows, sets, counts = _classes(docs, width)
-    component = connected_components(_links(sets, counts, width, percent))
+    component = _components(sets, counts, width, percent)
     placed = (rows.join(component.withColumnRenamed("node", "sid"), "sid", "left")
               .withColumn("component", F.coalesce("component", "sid")))
     placed = stage(placed, "join-placed")
