@@ -35,13 +35,12 @@ def _cut(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        encode, tail = encoder(path).encode, np.array([END_ID], "<u4").tobytes()
-        for part in slices(batches, "text", 4 << 20):
+        words, tail = encoder(path), np.array([END_ID], "<u4").tobytes()
+        for part in slices(batches, "text", 8 << 20):
             data, offsets, _ = raw_bytes(part.column(1))
             blob = data.tobytes()
             texts = [blob[a:b].split() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            words = list({w for t in texts for w in t})
-            ids_of = dict(zip(words, encode(words), strict=True))
+            ids_of = words.table({w for t in texts for w in t})
             rows = []
             for n, text in enumerate(texts):
                 ids = b"".join([ids_of[w] for w in text]) + tail

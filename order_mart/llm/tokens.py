@@ -39,10 +39,11 @@ def _byte_letters() -> dict[int, str]:
 
 
 class WordEncoder:
-    """Ids of words as bytes of little-endian unsigned 32-bit numbers.  At most
-    ``limit`` pieces are remembered; beyond it the memory starts anew."""
+    """Ids of words as bytes of little-endian unsigned 32-bit numbers.  About
+    ``limit`` words and as many pieces are remembered between calls; beyond it
+    the memory starts anew."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import json
 
@@ -59,8 +60,10 @@ class WordEncoder:
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         letters = _byte_letters()
         self.letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
-        self.limit, self.known = limit, {}
+        self.limit, self.known, self.words = limit, {}, {}
         self.added = tuple(t.content for t in self.full.get_added_tokens_decoder().values())
+        signs = {a[0] for a in self.added}
+        self.sign = signs.pop() if len(signs) == 1 else ""      # what every added token starts with
 
     def pieces(self) -> list[bytes]:
         """Piece by id."""
@@ -70,16 +73,25 @@ class WordEncoder:
             out[i] = piece.encode()
         return out
 
+    def table(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """A table that holds the ids of all ``words``, remembered between calls."""
+        if len(self.words) > self.limit:
+            self.words = {}
+        new = [w for w in words if w not in self.words]
+        self.words.update(zip(new, self.encode(new), strict=True))
+        return self.words
+
     def encode(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word.  Words hold no ASCII white space."""
         if len(self.known) > self.limit:
             self.known = {}
         known, parts, other = self.known, [], []
         fresh: dict[str, None] = {}
+        plain, pieces, sign = _PLAIN.match, _PIECE.findall, self.sign
         for n, word in enumerate(words):
             text = word.decode("utf-8", "replace")
-            if self.simple and _PLAIN.match(text) and not any(a in text for a in self.added):
-                own = _PIECE.findall(text.lower())
+            if self.simple and plain(text) and not (sign in text and any(a in text for a in self.added)):
+                own = pieces(text.lower())
                 for p in own:
                     if p not in known:
                         fresh[p] = None
@@ -88,7 +100,7 @@ class WordEncoder:
                 parts.append(None)
                 other.append((n, text))
         self._learn(list(fresh))
-        out = [b"" if own is None else b"".join([known[p] for p in own]) for own in parts]
+        out = [b"" if own is None else known[own[0]] if len(own) == 1 else b"".join([known[p] for p in own]) for own in parts]
         for at in range(0, len(other), 1000):
             some = other[at: at + 1000]
             for (n, _), e in zip(some, self.full.encode_batch([t for _, t in some], add_special_tokens=False), strict=True):
