@@ -3,7 +3,7 @@
 Rules name a host and a path prefix; the longest rule that fits a URL decides.
 URLs that no rule fits are judged by boosted trees over lexical features
 (lengths, depth, digit ratio, character entropy, parameter counts, smoothed
-block rate of host suffixes).  The trees learn from labelled URLs: by default
+block rate of host suffixes, joined from a table of all suffixes).  The trees learn from labelled URLs: by default
 those the rules decide.  Only DataFrame operations and Spark ML run.
 """
 
@@ -27,12 +27,10 @@ RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "
 class Settings:
     """``sample`` bounds the labelled URLs that the trees are fitted on (those
     with the smallest hash); ``prior`` is the weight of the overall block rate
-    in a suffix's rate; ``suffixes`` bounds the suffix table (most frequent
-    first), other suffixes have the overall rate."""
+    in a suffix's rate."""
 
     sample: int = 8000
     prior: float = 20.0
-    suffixes: int = 1000
     trees: int = 12
     depth: int = 3
     threshold: float = 0.5
@@ -96,26 +94,25 @@ def lexical_features(url: Column, host: Column, path: Column) -> dict[str, Colum
     }
 
 
-def _rates(labelled: DataFrame, settings: Settings) -> tuple[float, dict[str, float], dict[str, float]]:
-    """Overall block rate, and smoothed rates of the one-label and two-label
-    host suffixes, over all labelled URLs; each table has at most
-    ``settings.suffixes`` entries."""
-    total = labelled.agg(F.avg("_block"), F.count("_block")).first()
-    overall = float(total[0]) if total[1] else 0.5
-    tables = []
-    for n in (1, 2):
-        rows = (labelled.groupBy(_suffix(F.col("host"), n).alias("suffix"))
-                .agg(F.sum("_block").alias("blocked"), F.count(F.lit(1)).alias("n"))
-                .orderBy(F.desc("n"), "suffix").limit(settings.suffixes).collect())
-        tables.append({r["suffix"]: (r["blocked"] + settings.prior * overall) / (r["n"] + settings.prior) for r in rows})
-    return overall, tables[0], tables[1]
+def _rates(marked: DataFrame, settings: Settings) -> tuple[float | None, DataFrame]:
+    """Overall block rate (null without labels), and a row (domain, suffix_rate,
+    domain_rate) for every two-label host suffix of ``marked`` (host, _block;
+    null without a label): the smoothed rates of its last label and of itself.
+    A suffix without labels has the overall rate."""
+    counts = stage(marked.groupBy(_suffix(F.col("host"), 2).alias("domain"))
+                   .agg(F.sum("_block").alias("blocked"), F.count("_block").alias("n")), "url-filter-counts")
+    blocked, n = counts.agg(F.sum("blocked"), F.sum("n")).first()
+    overall = blocked / n if n else None
 
+    def smoothed(blocked: str, n: str) -> Column:
+        base = F.lit(0.5 if overall is None else overall)
+        return F.when(F.col(n) > 0, (F.col(blocked) + settings.prior * base) / (F.col(n) + settings.prior)).otherwise(base)
 
-def _rate(key: Column, table: dict[str, float], overall: float) -> Column:
-    if not table:
-        return F.lit(overall)
-    known = F.map_from_arrays(F.array(*map(F.lit, table)), F.array(*[F.lit(v) for v in table.values()]))
-    return F.coalesce(F.element_at(known, key), F.lit(overall))
+    last = _suffix(F.col("domain"), 1)
+    tops = counts.groupBy(last.alias("_top")).agg(F.sum("blocked").alias("_blocked"), F.sum("n").alias("_n"))
+    rates = counts.withColumn("_top", last).join(tops, "_top").select(
+        "domain", smoothed("_blocked", "_n").alias("suffix_rate"), smoothed("blocked", "n").alias("domain_rate"))
+    return overall, stage(rates, "url-filter-rates")
 
 
 def filter_urls(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None, settings: Settings = Settings()) -> DataFrame:
@@ -132,24 +129,29 @@ def filter_urls(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None
     rule, says = rule_for(F.col("host"), F.col("path"), rules)
     base = base.withColumn("rule", rule).withColumn("_says", says)
     if labelled is None:
-        known = base.filter("rule IS NOT NULL").withColumn("_block", (F.col("_says") == "block").cast("int"))
+        marked = base.withColumn("_block", F.when(F.col("rule").isNotNull(), (F.col("_says") == "block").cast("int")))
+        known = marked.filter("_block IS NOT NULL")
     else:
         known = labelled.select("url", host.alias("host"), path.alias("path"), F.col("block").cast("int").alias("_block")).filter("_block IS NOT NULL")
+        marked = base.select("host", F.lit(None).cast("int").alias("_block")).unionByName(known.select("host", "_block"))
     known = known.select("url", "host", "path", "_block")
-    overall, top, domain = _rates(known, settings)
-    lexical = lexical_features(F.col("url"), F.col("host"), F.col("path"))
-    rates = {"suffix_rate": _rate(_suffix(F.col("host"), 1), top, overall),
-             "domain_rate": _rate(_suffix(F.col("host"), 2), domain, overall)}
-    made = {n: c.cast("double") for n, c in {**lexical, **rates}.items()}
+    known_rate, rates = _rates(marked, settings)
+    overall = 0.5 if known_rate is None else known_rate
+    domain = _suffix(F.col("host"), 2)
+    made = {n: c.cast("double") for n, c in lexical_features(F.col("url"), F.col("host"), F.col("path")).items()}
+    made |= {n: F.col(n) for n in ("suffix_rate", "domain_rate")}
     assemble = VectorAssembler(inputCols=[f"_{n}" for n in FEATURES], outputCol="_x")
     score = F.lit(overall)
     scored = base
-    if top and 0.0 < overall < 1.0:
-        picked = known.orderBy(F.xxhash64("url"), "url", "_block").limit(settings.sample)
-        train = stage(picked.select("_block", *[made[n].alias(f"_{n}") for n in FEATURES]).coalesce(1), "url-filter-train")
+    if 0.0 < overall < 1.0 and known_rate is not None:
+        picked = known.orderBy(F.xxhash64("url"), "url", "_block").limit(settings.sample).withColumn("domain", domain)
+        picked = rates.join(F.broadcast(picked), "domain")
+        train = stage(picked.select("url", "_block", *[made[n].alias(f"_{n}") for n in FEATURES]).coalesce(1)
+                      .sortWithinPartitions(F.xxhash64("url"), "url", "_block"), "url-filter-train")
         model = GBTClassifier(featuresCol="_x", labelCol="_block", maxIter=settings.trees, maxDepth=settings.depth,
                               seed=settings.seed, cacheNodeIds=False).fit(assemble.transform(train).select("_x", "_block"))
-        scored = model.transform(assemble.transform(base.select("*", *[made[n].alias(f"_{n}") for n in FEATURES])))
+        rated = base.withColumn("domain", domain).join(rates, "domain", "left")
+        scored = model.transform(assemble.transform(rated.select(*base.columns, *[made[n].alias(f"_{n}") for n in FEATURES])))
         score = vector_to_array(F.col("probability"))[1]
     verdict = F.coalesce(F.col("_says"), F.when(score >= settings.threshold, "block").otherwise("allow"))
     return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), score.alias("block_score"))

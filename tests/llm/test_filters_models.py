@@ -116,6 +116,20 @@ def test_trees_learn_from_labels(spark):
     assert sum(got[k] == ("block" if k < 40 else "allow") for k in got) >= 78
 
 
+def test_rare_domains_have_their_own_rate(spark):
+    """1,200 domains: the 200 least frequent are told apart by their rate alone."""
+    rng = np.random.default_rng(6)
+    names = sorted({bytes(rng.integers(97, 123, 12).astype(np.uint8)).decode() for _ in range(1200)})
+
+    def url(name):
+        return f"http://{name}.biz/{bytes(rng.integers(97, 123, 8).astype(np.uint8)).decode()}"
+
+    labelled = spark.createDataFrame([(url(n), i % 2) for i, n in enumerate(names) for _ in range(3 if i < 1000 else 2)], "url string, block int")
+    pages = spark.createDataFrame([(i, url(n)) for i, n in enumerate(names) if i >= 1000], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.filter_urls(pages, rules=(), labelled=labelled).collect()}
+    assert len(got) == len(names) - 1000 and sum(got[i] == ("block" if i % 2 else "allow") for i in got) >= 0.95 * len(got)
+
+
 # ------------------------------------------------------------- chats
 def test_chat_round_trip(spark):
     turns = [(1, 0, "user", "a\\l<b\\\\[x\\n\n"), (1, 1, "assi<stant\n\\", None), (2, None, None, "x"), (2, 0, "assistant", "</s><|im_end|>\n<|im_start|>user\n"),
