@@ -1,11 +1,12 @@
 """Quality rules with compression bands.
 
 Besides two base rules (too few words, too many repeated three-word windows),
-the zstandard ratio (bytes / compressed bytes) of the whole text and of each
-fixed chunk must lie in a band that depends on the length: text below the band
-is incompressible (noise), above it is repetitive.  The whole-text ratio finds
-repetition at a distance, the chunk ratios find local repetition that a long
-varied text would hide.
+the zstandard ratio (bytes / compressed bytes) of the whole text and of its
+chunks must lie in a band that depends on the length: text below the band is
+incompressible (noise), above it is repetitive.  The whole-text ratio finds
+repetition at a distance, the chunk ratios find local noise and repetition that
+a long varied text would hide.  Chunks cover every byte: full ones first, then
+shorter ones over what is left, so short texts and tails are judged too.
 """
 
 from __future__ import annotations
@@ -29,8 +30,11 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 @dataclass(frozen=True)
 class Bands:
     """Limits: ``whole`` holds (least length in bytes, lowest, highest ratio)
-    rows, the last whose length fits counts; ``chunk`` the band of full chunks
-    and the share of chunks that may lie outside it."""
+    rows, the last whose length fits counts; ``chunk`` the band of full chunks;
+    ``short`` the (length in bytes, lowest, highest ratio) of the chunks that
+    the rest after the full chunks is cut into, longest first.
+    ``max_bad_chunks`` is the share of the bytes that may lie in chunks outside
+    their band."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -39,6 +43,7 @@ class Bands:
     whole: tuple[tuple[int, float, float], ...] = (
         (0, 0.0, 3.0), (256, 1.1, 3.0), (1024, 1.35, 3.2), (4096, 1.45, 3.5), (16384, 1.5, 4.0), (65536, 1.5, 5.0))
     chunk: tuple[float, float] = (1.35, 3.5)
+    short: tuple[tuple[int, float, float], ...] = ((1024, 1.35, 3.2), (256, 1.05, 3.0))
     max_bad_chunks: float = 0.25
 
 
@@ -88,20 +93,31 @@ def _counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
             "n_dup_lines": dup, "n_repeat_words": repeat}
 
 
+def _chunks(length: int, bands: Bands) -> Iterator[tuple[int, int, int, float, float]]:
+    """(start, size, bytes judged, lowest, highest) of the chunks of a text.
+    A rest below the least size is judged by the last chunk of that size that
+    ends with the text; a text below the least size has no chunk, its
+    whole-text ratio is all there is."""
+    at = 0
+    for size, lowest, highest in ((bands.chunk_bytes, *bands.chunk), *(s for s in bands.short if s[0] < bands.chunk_bytes)):
+        while length - at >= size:
+            yield at, size, size, lowest, highest
+            at += size
+    if at < length and length >= size:
+        yield length - size, size, length - at, lowest, highest
+
+
 def _ratios(text: bytes, bands: Bands, compressor) -> tuple[float, float]:
-    """Whole-text ratio, and the share of full chunks outside their band.  An
-    empty text has ratio 0 and no chunks."""
+    """Whole-text ratio, and the share of the text's bytes in chunks outside
+    their band.  An empty text has ratio 0 and no chunks."""
     if not text:
         return 0.0, 0.0
     whole = len(text) / len(compressor.compress(text))
-    full = len(text) // bands.chunk_bytes
-    if full == 0:
-        return whole, 0.0
     view, bad = memoryview(text), 0
-    for i in range(full):
-        ratio = bands.chunk_bytes / len(compressor.compress(view[i * bands.chunk_bytes: (i + 1) * bands.chunk_bytes]))
-        bad += not bands.chunk[0] <= ratio <= bands.chunk[1]
-    return whole, bad / full
+    for start, size, judged, lowest, highest in _chunks(len(text), bands):
+        ratio = size / len(compressor.compress(view[start: start + size]))
+        bad += judged * (not lowest <= ratio <= highest)
+    return whole, bad / len(text)
 
 
 def in_band(length: int, whole: float, bad_chunks: float, bands: Bands) -> bool:

@@ -89,6 +89,30 @@ def test_bands_reject_noise_and_repetition(spark):
     assert kept == {1: True, 2: False, 3: False}
 
 
+def test_noise_in_short_texts_and_tails(spark):
+    """Whole ratios in their band, full chunks clean or absent, and noise in the rest."""
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.integers(97, 123, rng.integers(2, 9)).astype(np.uint8)).decode() for _ in range(400)]
+    prose = " ".join(rng.choice(words, 4000))
+    noise = bytes(rng.integers(33, 127, 4000).astype(np.uint8)).decode()
+    clean = [prose[:n] for n in (255, 256, 400, 700, 1023, 1024, 2500, 4095, 4096, 4100, 6000, 8191, 9000)]
+    part = [prose[:n] + noise[:k] for n, k in ((4096, 2500), (4096, 3200), (4096, 4000), (8192, 4000), (1500, 1500), (1000, 600), (400, 300))]
+    got = quality_bands.quality_bands(spark.createDataFrame(list(enumerate(clean + part)), "doc_id long, text string")).collect()
+    verdicts = {r.doc_id: (r.base_failed, r.kept, r.bad_chunks > 0.25) for r in got}
+    short = [k for k, c in enumerate(clean) if len(c.split()) < 50]
+    assert all(verdicts[k] == (k in short, k not in short, False) for k in range(len(clean)))
+    assert all(verdicts[len(clean) + k] == (False, False, True) for k in range(len(part)))
+
+
+@pytest.mark.parametrize("size", [4096, 1024, 600, 256])
+def test_chunks_judge_every_byte_once(size):
+    bands = quality_bands.Bands(chunk_bytes=size)
+    for length in [*range(0, 1400, 7), 255, 256, 1023, 1024, 4095, 4096, 4097, 8191, 9000]:
+        chunks = list(quality_bands._chunks(length, bands))
+        assert sum(judged for _, _, judged, _, _ in chunks) == (length if length >= min(256, size) else 0)
+        assert not chunks or (chunks[0][0] == 0 and chunks[-1][0] + chunks[-1][1] == length)
+
+
 # ------------------------------------------------------------- URLs
 URLS = [(1, None), (2, "no scheme"), (3, "http://"), (4, "HTTP://A.Example.ORG/en/12?x=1"), (5, "http://org"), (6, "http://x.com/fr/a#b"),
         (6, "http://x.com/fr/a#b"), (7, "http://x.com/FR/"), (8, "ftp://y.com/de/?a=/"), (None, "http://myexample.org/es/"), (9, "a://É.ORG/"), (10, "x://a://b.com/de/")]
