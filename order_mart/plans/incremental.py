@@ -65,6 +65,17 @@ def stage_affected(src: Sources, increment: DataFrame, stage_dir: str) -> tuple[
     return scoped, affected
 
 
+def gate_sources(src: Sources, scoped: Sources, increment: DataFrame) -> Sources:
+    """What the quality gate of an increment reads.  Status rows: the staged
+    history of the affected orders and the increment's rows without an order
+    key, which no semi join reaches.  Item lines have no timestamp, so those
+    without a key or new for an order that the increment does not touch cannot
+    be told from the others: all are gated, by one scan of the two key columns
+    that is aggregated map-side (``item_summary``)."""
+    unkeyed = increment.filter(F.col("orderid").isNull()).select(*scoped["order_details"].columns)
+    return dict(scoped, order_details=scoped["order_details"].unionByName(unkeyed), order_items=src["order_items"])
+
+
 def max_keys(src: Sources) -> DataFrame:
     """Current maximum of each source key, one row per table."""
     def one(table: str, col: str) -> DataFrame:

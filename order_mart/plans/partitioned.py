@@ -29,7 +29,7 @@ from ..config import scratch_path
 from ..sinks.writers import stage_frame
 from . import dims
 from .facts import f_order_details, fact_daily_orders
-from .incremental import stage_affected, stage_increment
+from .incremental import gate_sources, incremental_status, stage_affected, stage_increment
 from .pipeline import PipelineResult, QualityError, _run_all, build_targets, check_summary, target_checks
 
 Sources = dict[str, DataFrame]
@@ -179,7 +179,8 @@ def run_incremental_partitioned(spark: SparkSession, src: Sources, database: str
     for n, df in full_dims.items():
         staged[n] = os.path.join(stage_dir, n)
         frames[n] = stage_frame(df, staged[n])
-    violations = _check(scoped, frames, enforce, stage_dir)
+    gated = gate_sources(src, scoped, incremental_status(src["order_details"], cutoff))
+    violations = _check(gated, frames, enforce, stage_dir)
     with _dynamic_overwrite(spark):
         for n in rebuilt:
             if touched[n]:

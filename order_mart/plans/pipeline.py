@@ -205,16 +205,18 @@ def run_incremental(spark: SparkSession, src: Sources, database: str, cutoff: dt
                     enforce: bool = True, concurrency: int = 3, publish_by: str = "copy") -> PipelineResult:
     """Apply the status rows at/after ``cutoff`` to the published targets.
 
-    The affected orders' history and items are staged once; targets and the
-    quality gate read those (the masters in full).  The refreshed targets read
-    the published tables, so they are staged before anything is overwritten."""
-    from .incremental import refresh_targets, stage_increment
+    The affected orders' history and items are staged once for the targets;
+    the quality gate reads ``gate_sources`` (the masters in full).  The
+    refreshed targets read the published tables, so they are staged before
+    anything is overwritten."""
+    from .incremental import gate_sources, incremental_status, refresh_targets, stage_increment
     _needs_folder(publish_by, stage_dir)
     stage_dir = stage_dir or scratch_path(spark, "stage")
     previous = {t: spark.table(f"{database}.{t}") for t in schemas.TARGETS}
     scoped, affected = stage_increment(spark, src, cutoff, stage_dir)
     targets = refresh_targets(previous, src, scoped, affected, as_of)
-    return stage_check_publish(spark, scoped, targets, database, mode="overwrite", stage_dir=stage_dir,
+    gated = gate_sources(src, scoped, incremental_status(src["order_details"], cutoff))
+    return stage_check_publish(spark, gated, targets, database, mode="overwrite", stage_dir=stage_dir,
                                enforce=enforce, concurrency=concurrency, publish_by=publish_by)
 
 

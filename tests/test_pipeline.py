@@ -241,3 +241,32 @@ def test_files_added_later_are_read(spark):
     n = bind_sources(spark, base)["order_items"].count()
     spark.read.parquet(f"{SF0001}/lineitem.parquet").limit(100).write.mode("append").parquet(f"{base}/lineitem.parquet")
     assert bind_sources(spark, base)["order_items"].count() == n + 100
+
+
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_increment_gates_rows_without_affected_order(spark, make_sources, partitioned):
+    """Null keys and new item lines of an untouched order reach the gate."""
+    from order_mart.plans import partitioned as by_date
+    from order_mart.plans.pipeline import run_incremental
+    from conftest import T
+    full, step = ((by_date.run_pipeline_partitioned, by_date.run_incremental_partitioned) if partitioned
+                  else (run_pipeline, run_incremental))
+    masters = {"customers": [cust(1)], "products": [prod(1)]}
+    old, new = lifecycle_rows(1, 1, "2023-05-01 00:00:00"), lifecycle_rows(2, 1, "2023-06-01 00:00:00")
+    items = [(1, 1, 2), (2, 1, 3)]
+    db = f"ig_{uuid.uuid4().hex[:8]}"
+    full(spark, make_sources(**masters, details=old, items=items[:1]), db, as_of="2024-01-01")
+    strays = [(None, 77, T("2023-06-01 12:00:00"), "Bogus"), (None, 1, T("2023-06-01 12:00:00"), "S" * 300)]
+    bad = make_sources(**masters)
+    for name, rows in (("order_details", old + new + strays), ("order_items", items + [(None, None, 1), (None, 1, 1), (1, 99, 1)])):
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in bad[name].schema)    # nullable, as files are read
+        bad[name] = spark.createDataFrame(rows, kinds)
+    with pytest.raises(QualityError) as err:
+        step(spark, bad, db, "2023-06-01 00:00:00", as_of="2024-01-01")
+    assert {(v["check"], v["table_name"], v["column_name"]): v["n_violations"] for v in err.value.violations} == {
+        ("not_null", "order_items", "orderid"): 2, ("foreign_key", "order_items", "productid"): 1,
+        ("foreign_key", "order_details", "customerid"): 1, ("status_domain", "order_details", "order_status"): 2,
+        ("varchar_length", "order_details", "order_status"): 1}
+    assert spark.table(f"{db}.fact_daily_orders").count() == 1      # nothing published
+    step(spark, make_sources(**masters, details=old + new, items=items), db, "2023-06-01 00:00:00", as_of="2024-01-01")
+    assert spark.table(f"{db}.fact_daily_orders").count() == 2
