@@ -10,6 +10,7 @@ those the rules decide.  Only DataFrame operations and Spark ML run.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -25,8 +26,9 @@ RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` bounds the labelled URLs that the trees are fitted on (those
-    with the smallest hash); ``prior`` is the weight of the overall block rate
+    """``sample`` bounds the distinct labelled URLs of each class that the
+    trees are fitted on (those with the smallest hash, weighted by the class's
+    number of distinct URLs); ``prior`` is the weight of the overall block rate
     in a suffix's rate."""
 
     sample: int = 8000
@@ -115,6 +117,16 @@ def _rates(marked: DataFrame, settings: Settings) -> tuple[float | None, DataFra
     return overall, stage(rates, "url-filter-rates")
 
 
+def _sample(known: DataFrame, size: int) -> DataFrame:
+    """Distinct (url, _block) rows of ``known``, at most ``size`` of each
+    class, with the weight (distinct URLs of the class / those picked)."""
+    distinct = known.distinct()
+    found = {r["_block"]: r["count"] for r in distinct.groupBy("_block").count().collect()}
+    parts = [distinct.filter(F.col("_block") == block).orderBy(F.xxhash64("url"), "url").limit(size)
+             .withColumn("_weight", F.lit(n / min(n, size))) for block, n in sorted(found.items())]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def filter_urls(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None, settings: Settings = Settings()) -> DataFrame:
     """page_id, host, path, rule, verdict, block_score of every page.
 
@@ -144,12 +156,12 @@ def filter_urls(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None
     score = F.lit(overall)
     scored = base
     if 0.0 < overall < 1.0 and known_rate is not None:
-        picked = known.orderBy(F.xxhash64("url"), "url", "_block").limit(settings.sample).withColumn("domain", domain)
+        picked = _sample(known, settings.sample).withColumn("domain", domain)
         picked = rates.join(F.broadcast(picked), "domain")
-        train = stage(picked.select("url", "_block", *[made[n].alias(f"_{n}") for n in FEATURES]).coalesce(1)
+        train = stage(picked.select("url", "_block", "_weight", *[made[n].alias(f"_{n}") for n in FEATURES]).coalesce(1)
                       .sortWithinPartitions(F.xxhash64("url"), "url", "_block"), "url-filter-train")
-        model = GBTClassifier(featuresCol="_x", labelCol="_block", maxIter=settings.trees, maxDepth=settings.depth,
-                              seed=settings.seed, cacheNodeIds=False).fit(assemble.transform(train).select("_x", "_block"))
+        model = GBTClassifier(featuresCol="_x", labelCol="_block", weightCol="_weight", maxIter=settings.trees, maxDepth=settings.depth,
+                              seed=settings.seed, cacheNodeIds=False).fit(assemble.transform(train).select("_x", "_block", "_weight"))
         rated = base.withColumn("domain", domain).join(rates, "domain", "left")
         scored = model.transform(assemble.transform(rated.select(*base.columns, *[made[n].alias(f"_{n}") for n in FEATURES])))
         score = vector_to_array(F.col("probability"))[1]

@@ -140,6 +140,22 @@ def test_trees_learn_from_labels(spark):
     assert sum(got[k] == ("block" if k < 40 else "allow") for k in got) >= 78
 
 
+def test_copies_of_a_hot_url_do_not_fill_the_sample(spark):
+    rng = np.random.default_rng(7)
+    bad = [f"http://cheap-{k}-pills.example.biz/{rng.integers(10**9)}?ref={k}&id={k}" for k in range(120)]
+    good = [f"https://www.site.example.net/en/{bytes(rng.integers(97, 123, 8).astype(np.uint8)).decode()}" for k in range(120)]
+    learned = spark.createDataFrame([(u, 1) for u in bad[:80]] + [(u, 0) for u in good[:80]], "url string, block int")
+    first = learned.filter("block = 1").orderBy(F.xxhash64("url")).first().url
+    hot = spark.range(400).select(F.lit(first).alias("url"), F.lit(1).alias("block"))
+    settings = url_filter.Settings(sample=50)
+    known = learned.unionByName(hot).withColumnRenamed("block", "_block")
+    picked = url_filter._sample(known, settings.sample).collect()
+    assert len({(r.url, r._block) for r in picked}) == len(picked) == 100 and {r._weight for r in picked} == {80 / 50}
+    pages = spark.createDataFrame(list(enumerate(bad[80:] + good[80:])), "page_id long, url string")
+    got = url_filter.filter_urls(pages, rules=(), labelled=learned.unionByName(hot), settings=settings).collect()
+    assert sum(r.verdict == ("block" if r.page_id < 40 else "allow") for r in got) >= 78
+
+
 def test_rare_domains_have_their_own_rate(spark):
     """1,200 domains: the 200 least frequent are told apart by their rate alone."""
     rng = np.random.default_rng(6)
