@@ -47,15 +47,13 @@ def dense_surrogate_key(df: DataFrame, order_by: list[str], key_col: str, start:
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (numbered.groupBy("_pid").agg(F.sum("_n").alias("_rows"))
                .select("_pid", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")))
-    # copies move later rows of their range up: only groups of copies matter
-    copies = (numbered.filter("_n > 1").select("_pid", F.col("_pos").alias("_at"), (F.col("_n") - 1).alias("_more"))
-              .groupBy("_pid").agg(F.array_sort(F.collect_list(F.struct("_at", "_more"))).alias("_copies")))
-    moved = F.aggregate(F.filter(F.coalesce("_copies", F.array()), lambda c: c["_at"] < F.col("_pos")),
-                        F.lit(0).cast("bigint"), lambda a, c: a + c["_more"])
-    placed = numbered.join(F.broadcast(offsets), "_pid").join(copies, "_pid", "left")
-    first = F.lit(start).cast("bigint") + F.col("_offset") + F.col("_pos") + moved
+    # copies move later rows of their range up
+    earlier = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    moved = F.coalesce(F.sum(F.col("_n") - 1).over(earlier), F.lit(0))
+    placed = numbered.withColumn("_moved", moved).join(F.broadcast(offsets), "_pid")
+    first = F.lit(start).cast("bigint") + F.col("_offset") + F.col("_pos") + F.col("_moved")
     return (placed.withColumn(key_col, F.explode(F.sequence(first, first + F.col("_n") - 1)))
-            .drop("_pid", "_pos", "_offset", "_copies", "_n"))
+            .drop("_pid", "_pos", "_offset", "_moved", "_n"))
 
 
 def current_max(df: DataFrame, col: str) -> Column:

@@ -60,3 +60,11 @@ def test_dense_key_is_the_same_from_other_partitions(spark):
     rows = [sorted(map(tuple, dense_surrogate_key(d, ["k"], "sk", num_partitions=p).collect()))
             for d, p in ((df, 3), (df.repartition(7), 3), (df.coalesce(1), 8))]
     assert rows[0] == rows[1] == rows[2]
+
+
+def test_dense_key_collects_no_group(spark):
+    """Most rows have a copy: a running sum places them, no array per range."""
+    df = spark.range(0, 4000).select(F.floor(F.col("id") / 2).alias("k"))
+    out = dense_surrogate_key(df, ["k"], "sk", start=1, num_partitions=3)
+    assert "collect_list" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [(r.k, r.sk) for r in out.orderBy("sk").collect()] == [(i // 2, i + 1) for i in range(4000)]
