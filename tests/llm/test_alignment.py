@@ -1,0 +1,99 @@
+"""op13 against the tokenizer libraries and a plain walk over both sides."""
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from order_mart.llm import token_alignment as ta
+from llm_helpers import HARD, SF0001, hard, none, rows  # noqa: F401
+
+
+def _libraries():
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(x): x for x in plain} | {chr(256 + n): x for n, x in enumerate(x for x in range(256) if x not in plain)}
+    bytes_a = {i: bytes(letters[c] for c in t) for t, i in a.get_vocab(with_added_tokens=False).items()}
+    return (lambda t: a.encode(" " + t, add_special_tokens=False).ids, bytes_a.__getitem__, lambda t: b.encode(t),
+            lambda i: bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode())
+
+
+def _brute(docs):
+    encode_a, bytes_a, encode_b, bytes_b = _libraries()
+    made, counts = [], Counter()
+    for doc_id, text in docs:
+        a, b = (encode_a(text), encode_b(text)) if text else ([], [])
+        if any(b"".join(map(f, ids)) != (" " + (text or "")).encode() for f, ids in ((bytes_a, a), (bytes_b, b))):
+            a, b = [], []
+        ends = [np.cumsum([len(f(i)) for i in ids]).tolist() for f, ids in ((bytes_a, a), (bytes_b, b))]
+        groups, at = [], [0, 0]
+        for cut in sorted(set(ends[0]) & set(ends[1])):
+            to = [e.index(cut) + 1 for e in ends]
+            groups.append((a[at[0]: to[0]], b[at[1]: to[1]]))
+            at = to
+        links = [(x[-1], y[-1]) for x, y in groups]
+        counts.update(links)
+        made.append((doc_id, a, b, groups, links))
+    most = {}
+    for (_, y), n in counts.items():
+        most[y] = max(n, most.get(y, 0))
+    out = []
+    for doc_id, a, b, groups, links in made:
+        said = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        out.append((doc_id, len(a), len(b), len(groups), len(links), sum(counts[p] == most[p[1]] for p in links),
+                    sum(counts[p] for p in links), hashlib.sha256(said.encode()).hexdigest() if a else ""))
+    return sorted(out, key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+ODD = [(20, "a▁b"), (21, "  two  spaces "), (22, "\x00 nul"), (23, "a　b c \x85d"), (24, "don't 'S <s> </s> <0x41>"), (25, "ab" * 3000),
+       (26, " \n " * 500), (27, "😀é́漢" * 50)]
+
+
+@pytest.mark.parametrize("block_bytes", [1, ta.BLOCK_BYTES])
+def test_equals_plain_walk(spark, block_bytes):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text").collect()] + HARD + ODD
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert rows(ta.align_documents(df, block_bytes=block_bytes)) == _brute(docs)
+
+
+def test_hard_rows(hard, none):
+    got = rows(ta.align_documents(hard))
+    assert got == _brute(HARD)
+    assert [r[1:] for r in got if r[0] in (1, 2)] == [(0, 0, 0, 0, 0, 0, "")] * 2
+    assert ta.align_documents(none).collect() == []
+
+
+def test_long_texts_in_parts(monkeypatch):
+    text = " ".join(f"word{i}  x\ty" for i in range(400)) + " " * 30 + "end "
+    pair = ta.tokenizers(*ta.default_paths())
+    whole = ta.encode_both(text, pair)
+    monkeypatch.setattr(ta, "PART_CHARS", 50)
+    assert ta.encode_both(text, pair) == whole
+    monkeypatch.setattr(ta, "LONG_RUN", 10)
+    monkeypatch.setattr(ta, "_RUN", __import__("re").compile(r"\s{10}"))
+    assert ta.encode_both(text, pair) == whole
+
+
+def test_divide_and_conquer_finds_all_shared_ends():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 5, 50, 3000):
+        for share in (0.01, 0.2, 0.9):
+            a, b = (np.unique(np.append(rng.choice(n, max(1, int(n * share)), replace=False) + 1, n)) for _ in range(2))
+            assert ta.shared_cuts(a, b, np.array([0]), np.array([n])).tolist() == sorted(set(a.tolist()) & set(b.tolist()))
+
+
+def test_groups_of_texts():
+    groups = ta.align(["unbelievable", None, "a b"])
+    assert groups[1] == [] and len(groups[2]) == 2
+    pair = ta.tokenizers(*ta.default_paths())
+    for text, own in zip(("unbelievable", "a b"), (groups[0], groups[2]), strict=True):
+        for x, y in own:
+            assert b"".join(pair[0].pieces[i] for i in x) == b"".join(pair[1].pieces[i] for i in y)
+        assert b"".join(pair[0].pieces[i] for x, _ in own for i in x) == (" " + text).encode()
