@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_words, chat_format, exact_dedup, langid_ecoc, ngram_join, packing, quality_bands, rindex_dedup, threshold_clustering, token_alignment, toxicity_nbsvm, url_filter
+from . import bpe_words, chat_format, exact_dedup, langid_ecoc, ngram_join, packing, ppm_scoring, quality_bands, rindex_dedup, threshold_clustering, token_alignment, toxicity_nbsvm, url_filter
 
 QUERIES = {
     "op1_bpe_words": bpe_words.op1_bpe_words,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_quality_bands": quality_bands.op8_quality_bands,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_ngram_join": ngram_join.op10_ngram_join,
+    "op11_ppm_scores": ppm_scoring.op11_ppm_scores,
     "op12_threshold_clusters": threshold_clustering.op12_threshold_clusters,
     "op13_token_alignment": token_alignment.op13_token_alignment,
 }
