@@ -162,12 +162,11 @@ def cluster_vectors(rows: DataFrame, clusters: int = CLUSTERS, rounds: int = ROU
     kind = vectors.schema["vec_id"].dataType.simpleString()
     placed = stage(vectors.mapInArrow(_place_task(centroids), f"vec_id {kind}, cluster int, distance long")
                    if len(centroids) else vectors.selectExpr("vec_id", "0 AS cluster", "0L AS distance"), "threshold-placed")
-    shas = [(c, hashlib.sha256(",".join(map(str, own.tolist())).encode()).hexdigest()) for c, own in enumerate(centroids)]
-    named = spark.createDataFrame(shas, "cluster int, centroid_sha256 string")
-    sums = placed.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia")).join(F.broadcast(named), "cluster")
-    total = placed.agg(F.sum("distance").alias("inertia"))
-    figures = sums.join(F.broadcast(total))                       # a row for each cluster, one total
-    return placed.join(F.broadcast(figures), "cluster").select("vec_id", *_FIGURES)
+    sums = {r.cluster: r.n for r in placed.groupBy("cluster").agg(F.sum("distance").alias("n")).collect()}   # a row for each cluster
+    figures = [(c, n, sum(sums.values()), hashlib.sha256(",".join(map(str, centroids[c].tolist())).encode()).hexdigest())
+               for c, n in sums.items()]
+    return placed.join(F.broadcast(spark.createDataFrame(figures, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")),
+                       "cluster").select("vec_id", *_FIGURES)
 
 
 def op12_threshold_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
