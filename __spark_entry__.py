@@ -9,7 +9,6 @@ order sources (``order_mart.sources.binding``), spelled out below as CTEs.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -33,17 +32,21 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _llm() -> tuple[dict, dict]:
     """Queries and oracle SQL of the training-data subpackage, which may be
-    absent together with ``corpus_pipeline.py``."""
+    absent together with ``corpus_pipeline.py``, or not importable here."""
     queries, oracles = {}, {}
-    if importlib.util.find_spec("order_mart.llm") is not None:
+    try:
         from order_mart.llm.queries import ORACLES, QUERIES
-        queries.update(QUERIES)
-        oracles.update(ORACLES)
-        if importlib.util.find_spec("corpus_pipeline") is not None:
-            import corpus_pipeline
-            queries["pipeline"] = corpus_pipeline.run
-            if corpus_pipeline.ORACLE_SQL is not None:
-                oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ImportError:
+        return queries, oracles
+    queries.update(QUERIES)
+    oracles.update(ORACLES)
+    try:
+        import corpus_pipeline
+    except ImportError:
+        return queries, oracles
+    queries["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
     return queries, oracles
 
 
@@ -441,6 +444,36 @@ SELECT orderid, min(customerid) AS min_customerid, max(customerid) AS max_custom
 FROM order_details WHERE orderid IS NOT NULL
 GROUP BY orderid
 HAVING min(customerid) <> max(customerid) OR (count(*) > count(customerid) AND min(customerid) IS NOT NULL)
+""",
+    "order_state": f"""
+, s AS (
+  SELECT orderid, min(customerid) AS customerid, max(customerid) AS customerid_most, count(*) AS n_status,
+         count(*) - count(customerid) AS n_no_customer,
+         min(CASE WHEN customerid IS NOT NULL AND {_NORM} = 'received' THEN order_status_update_timestamp END) AS order_received_timestamp,
+         max(CASE WHEN customerid IS NOT NULL AND {_NORM} = 'delivered' THEN order_status_update_timestamp END) AS order_delivery_timestamp
+  FROM order_details WHERE orderid IS NOT NULL GROUP BY orderid
+),
+i AS (
+  SELECT oi.orderid, sum(CAST(oi.quantity AS BIGINT) * CAST(pm.rate AS BIGINT)) AS order_amount,
+         sum(CAST(oi.quantity AS BIGINT)) AS item_count
+  FROM order_items oi JOIN product_master pm ON oi.productid = pm.productid
+  WHERE oi.orderid IS NOT NULL GROUP BY oi.orderid
+)
+SELECT orderid, customerid, customerid_most, CAST(coalesce(n_status, 0) AS BIGINT) AS n_status,
+       CAST(coalesce(n_no_customer, 0) AS BIGINT) AS n_no_customer, order_received_timestamp, order_delivery_timestamp,
+       CAST(order_amount AS BIGINT) AS order_amount, CAST(item_count AS BIGINT) AS item_count
+FROM s FULL JOIN i USING (orderid)
+""",
+    "address_key_map": """
+, one AS (
+  SELECT customerid, row_number() OVER (ORDER BY customerid NULLS FIRST) + 99 AS address_id
+  FROM (SELECT DISTINCT customerid FROM customer_master WHERE update_timestamp < TIMESTAMP '2023-07-01 00:00:00')
+),
+two AS (
+  SELECT customerid, row_number() OVER (ORDER BY customerid NULLS FIRST) + (SELECT coalesce(max(address_id), 99) FROM one) AS address_id
+  FROM (SELECT DISTINCT customerid FROM customer_master) WHERE customerid NOT IN (SELECT customerid FROM one)
+)
+SELECT customerid, CAST(address_id AS BIGINT) AS address_id FROM (SELECT * FROM one UNION ALL SELECT * FROM two)
 """,
     "incremental_items": """
 SELECT * FROM order_items oi
@@ -463,7 +496,9 @@ FROM batch
 
 
 # Queries whose oracle is another query's SQL (same result by definition).
-_SAME_AS = {"refresh_fact": "fact_daily_orders"}
+_SAME_AS = {"refresh_fact": "fact_daily_orders", "refresh_fact_by_state": "fact_daily_orders",
+            "apply_batches": "fact_daily_orders", "merge_order_state": "order_state",
+            "refresh_lines_by_state": "f_order_details"}
 
 
 # The sources with planted faults (order_mart.sources.binding.faulty_sources):
@@ -499,8 +534,7 @@ order_items AS (
 
 def oracle_sql() -> dict[str, str]:
     from order_mart.plans.registry import FAULTY
-    out = {name: BINDING + body for name, body in _BODIES.items()}
-    out.update({f"{name}_faulty": FAULTY_BINDING + _BODIES[name] for name in FAULTY})
-    for name, same in _SAME_AS.items():
-        out[name] = out[same]
+    bodies = {**_BODIES, **{name: _BODIES[same] for name, same in _SAME_AS.items()}}
+    out = {name: BINDING + body for name, body in bodies.items()}
+    out.update({f"{name}_faulty": FAULTY_BINDING + bodies[name] for name in FAULTY})
     return {**out, **_llm()[1]}

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # monotonically_increasing_id() keeps the partition id in the upper 31 bits
 # and the record number inside the partition in the lower 33 bits.
 _ROW_BITS = 33
+#: Copies of a row that stay together in a range.
+_CHUNK = 100_000
 
 
 def dense_surrogate_key(df: DataFrame, order_by: list[str], key_col: str, start: int = 1,
@@ -21,9 +23,10 @@ def dense_surrogate_key(df: DataFrame, order_by: list[str], key_col: str, start:
     """Add ``key_col`` = start, start+1, ... in ``order_by`` order; rows with
     equal keys are ordered by their other columns.
 
-    Exact copies are first counted as one row (pre-aggregated, so a large
-    group of copies is one row in its range), numbered as a block and expanded
-    again.  No value is random, so a recomputed task gives the same ranges.
+    Exact copies are first counted as one row, which becomes a row for every
+    ``_CHUNK`` copies, so that the ranges can cut a large group; within its
+    range each is expanded again, in order, and the rows are numbered by
+    position.  No value is random, so a recomputed task gives the same ranges.
     This runs jobs when called: the numbered rows are checkpointed to the
     shared checkpoint folder, and the offsets and final ids are two reads of
     that copy.  ``num_partitions`` (default: the session's shuffle partitions)
@@ -38,22 +41,22 @@ def dense_surrogate_key(df: DataFrame, order_by: list[str], key_col: str, start:
         raise ValueError("dense keys need columns that can be ordered (no map or variant)")
     sort_cols = [*order_by, *[c for c in df.columns if c not in order_by]]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    numbered = (rows.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    chunks = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / _CHUNK).cast("bigint"))
+    rows = counted.withColumn("_chunk", F.explode(chunks)).withColumn(
+        "_copies", F.least(F.lit(_CHUNK), F.col("_n") - F.col("_chunk") * _CHUNK)).drop("_n")
+    numbered = (rows.repartitionByRange(n, *sort_cols, "_chunk").sortWithinPartitions(*sort_cols, "_chunk")
+                .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()
                             - F.shiftleft(F.col("_pid").cast("bigint"), _ROW_BITS))
-                .checkpoint(eager=True))
+                .drop("_chunk", "_copies", "_copy").checkpoint(eager=True))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (numbered.groupBy("_pid").agg(F.sum("_n").alias("_rows"))
+    offsets = (numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_rows"))
                .select("_pid", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")))
-    # copies move later rows of their range up
-    earlier = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    moved = F.coalesce(F.sum(F.col("_n") - 1).over(earlier), F.lit(0))
-    placed = numbered.withColumn("_moved", moved).join(F.broadcast(offsets), "_pid")
-    first = F.lit(start).cast("bigint") + F.col("_offset") + F.col("_pos") + F.col("_moved")
-    return (placed.withColumn(key_col, F.explode(F.sequence(first, first + F.col("_n") - 1)))
-            .drop("_pid", "_pos", "_offset", "_moved", "_n"))
+    placed = numbered.join(F.broadcast(offsets), "_pid")
+    return (placed.withColumn(key_col, F.lit(start).cast("bigint") + F.col("_offset") + F.col("_pos"))
+            .drop("_pid", "_pos", "_offset"))
 
 
 def current_max(df: DataFrame, col: str) -> Column:

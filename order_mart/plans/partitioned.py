@@ -62,8 +62,8 @@ def _dynamic_overwrite(spark: SparkSession):
         spark.conf.set(key, old)
 
 
-def _check(src: Sources, staged: dict[str, DataFrame], enforce: bool, stage_dir: str) -> list[dict]:
-    violations = [r.asDict() for r in check_summary(src, {}, stage_dir).collect()]
+def _check(src: Sources, staged: dict[str, DataFrame], enforce: bool, stage_dir: str, more: DataFrame | None = None) -> list[dict]:
+    violations = [r.asDict() for r in check_summary(src, {}, stage_dir, more).collect()]
     canonical = {n: df.drop(*[c for c, _ in DATE_PARTITIONS.values() if c in df.columns])
                  for n, df in staged.items()}
     violations += [r.asDict() for r in target_checks(canonical).collect()]
@@ -74,7 +74,8 @@ def _check(src: Sources, staged: dict[str, DataFrame], enforce: bool, stage_dir:
 
 def run_pipeline_partitioned(spark: SparkSession, src: Sources, database: str,
                              as_of: dt.date | str | None = None, stage_dir: str | None = None,
-                             enforce: bool = True, concurrency: int = 3, grain: str = "day") -> PipelineResult:
+                             enforce: bool = True, concurrency: int = 3, grain: str = "day",
+                             more_checks: DataFrame | None = None) -> PipelineResult:
     """Full build with the order-keyed targets partitioned by date."""
     targets = {n: with_partition_date(n, df, grain) for n, df in build_targets(src, as_of).items()}
     stage_dir = stage_dir or scratch_path(spark, "stage")
@@ -82,7 +83,7 @@ def run_pipeline_partitioned(spark: SparkSession, src: Sources, database: str,
 
     _run_all([lambda n=n: stage_frame(targets[n], staged[n]) for n in targets], concurrency)
     frames = {n: spark.read.schema(targets[n].schema).parquet(p) for n, p in staged.items()}
-    violations = _check(src, frames, enforce, stage_dir)
+    violations = _check(src, frames, enforce, stage_dir, more_checks)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for n, df in frames.items():
         w = df.select(*targets[n].columns).write.mode("overwrite").format("parquet")
@@ -111,9 +112,10 @@ def touched_partitions(rebuilt: DataFrame, previous: DataFrame, affected: DataFr
 
 def refreshed_partitions(previous: DataFrame, rebuilt: DataFrame, affected: DataFrame,
                          date_col: str, touched: list) -> DataFrame:
-    """New content of the touched partitions: their rows of unaffected orders
-    plus the rebuilt rows."""
-    kept = (previous.filter(F.col(date_col).isin(touched))
+    """New content of the touched partitions (the one without a date among
+    them): their rows of unaffected orders plus the rebuilt rows."""
+    held = F.col(date_col).isin([v for v in touched if v is not None])
+    kept = (previous.filter(held | F.col(date_col).isNull() if None in touched else held)
             .join(affected, "orderid", "left_anti").select(*previous.columns))
     return kept.unionByName(rebuilt.select(*previous.columns))
 
@@ -123,8 +125,9 @@ def _drop_emptied(spark: SparkSession, table: str, date_col: str, touched: list,
     leaves as they were."""
     left = {r[0] for r in staged.select(date_col).distinct().collect()}
     for value in touched:
-        if value is not None and value not in left:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({date_col} = DATE'{value}')")
+        if value not in left:
+            literal = "NULL" if value is None else f"DATE'{value}'"
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({date_col} = {literal})")
 
 
 def refresh_partitions(spark: SparkSession, src: Sources, increment: DataFrame, table: str, grain: str = "day") -> None:
@@ -151,7 +154,7 @@ def refresh_partitions(spark: SparkSession, src: Sources, increment: DataFrame,
 def run_incremental_partitioned(spark: SparkSession, src: Sources, database: str,
                                 cutoff: dt.datetime | str, as_of: dt.date | str | None = None,
                                 stage_dir: str | None = None, enforce: bool = True,
-                                grain: str = "day") -> PipelineResult:
+                                grain: str = "day", more_checks: DataFrame | None = None) -> PipelineResult:
     """Apply the status rows at/after ``cutoff``, rewriting only the date
     partitions that hold or held affected orders (tables from
     ``run_pipeline_partitioned`` with the same ``grain``).  An increment that
@@ -180,7 +183,7 @@ def run_incremental_partitioned(spark: SparkSession, src: Sources, database: str
         staged[n] = os.path.join(stage_dir, n)
         frames[n] = stage_frame(df, staged[n])
     gated = gate_sources(src, scoped, incremental_status(src["order_details"], cutoff))
-    violations = _check(gated, frames, enforce, stage_dir)
+    violations = _check(gated, frames, enforce, stage_dir, more_checks)
     with _dynamic_overwrite(spark):
         for n in rebuilt:
             if touched[n]:

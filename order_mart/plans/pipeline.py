@@ -13,15 +13,18 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..config import scratch_path
 from ..functions import normalized_status
 from ..operators import quality, relational
-from ..sinks.writers import publish, repoint, stage_frame
+from ..sinks.manifest import WHOLE, Snapshot, open_store
+from ..sinks.writers import check_repoint, publish, repoint, stage_frame
 from . import dims, facts
 
 Sources = dict[str, DataFrame]
@@ -59,8 +62,11 @@ def build_sql_targets(src: Sources, as_of: dt.date | str | None = None) -> dict[
     return {**build_targets(src, as_of), "fact_daily_orders": facts.fact_daily_orders_sql(src, ordered=True)}
 
 
-def check_summary(src: Sources, targets: dict[str, DataFrame], stage_dir: str | None = None) -> DataFrame:
+def check_summary(src: Sources, targets: dict[str, DataFrame], stage_dir: str | None = None,
+                  more: DataFrame | None = None) -> DataFrame:
     """One row per check: (check, table_name, column_name, n_violations).
+    ``more`` adds rows of the same columns, such as the values that a text
+    source lost (``sources.files.lost_values``).
 
     The two large tables are read once each: a grouping-sets aggregate of all
     that their checks need (see ``status_history_summary``, ``item_summary``)
@@ -84,6 +90,8 @@ def check_summary(src: Sources, targets: dict[str, DataFrame], stage_dir: str |
     parts += _item_checks(items, src["product_master"])
     if targets:
         parts.append(target_checks(targets))
+    if more is not None:
+        parts.append(more.select("check", "table_name", "column_name", F.col("n_violations").cast("bigint")))
     return relational.union_all(*parts).filter(F.col("n_violations") > 0)
 
 
@@ -148,12 +156,14 @@ def _item_checks(summary: DataFrame, products: DataFrame) -> list[DataFrame]:
     ]
 
 
-def target_checks(targets: dict[str, DataFrame]) -> DataFrame:
-    """NOT NULL columns of every (staged) target, one row per column."""
+def target_checks(targets: dict[str, DataFrame], not_null: dict[str, list[str]] | None = None) -> DataFrame:
+    """NOT NULL columns of every (staged) target, one row per column; by
+    default those of the canonical targets."""
+    if not_null is None:
+        not_null = {t: schemas.not_null_columns(s) for t, s in schemas.TARGETS.items()}
     parts = []
     for table, df in targets.items():
-        target_schema = schemas.TARGETS.get(table)
-        cols = schemas.not_null_columns(target_schema) if target_schema else []
+        cols = not_null.get(table, [])
         if cols:
             parts.append(quality.check_not_null(df, table, cols).select(
                 F.lit("not_null").alias("check"), "table_name", "column_name",
@@ -165,6 +175,14 @@ def target_checks(targets: dict[str, DataFrame]) -> DataFrame:
     return relational.union_all(*parts).filter(F.col("n_violations") > 0)
 
 
+def declared(targets: dict[str, DataFrame], not_null: dict[str, list[str]] | None) -> dict[str, T.StructType]:
+    """Schemas that the targets are published under, NOT NULL columns marked."""
+    if not_null is None:
+        return schemas.TARGETS
+    return {n: T.StructType([T.StructField(f.name, f.dataType, f.name not in not_null.get(n, [])) for f in df.schema.fields])
+            for n, df in targets.items()}
+
+
 class QualityError(RuntimeError):
     def __init__(self, violations: list[dict]):
         self.violations = violations
@@ -181,43 +199,52 @@ class PipelineResult:
 def run_pipeline(spark: SparkSession, src: Sources, database: str, as_of: dt.date | str | None = None,
                  variant: str = "canonical", mode: str = "overwrite",
                  stage_dir: str | None = None, enforce: bool = True,
-                 concurrency: int = 3, publish_by: str = "copy") -> PipelineResult:
+                 concurrency: int = 3, publish_by: str = "copy", more_checks: DataFrame | None = None) -> PipelineResult:
     """Build, stage, check and publish the six targets into ``database``.
 
     The targets are independent jobs; ``concurrency`` of them are submitted
     at once from driver threads so one job's tail tasks overlap the next
     job's work (only job handles live on the driver, never data).
-
-    ``publish_by="swap"`` (overwrite only) skips the second write: the
-    targets are staged into ``stage_dir`` (a durable, versioned folder the
-    caller owns, e.g. ``<warehouse>/<db>/run=<id>``) and publishing re-points
-    each catalog table at its staged folder, a metadata-only step.  The
-    previous version's files stay in place until the caller removes them."""
+    ``more_checks`` adds rows to the gate (see ``check_summary``).
+
+    ``publish_by`` (the last two for overwrite only, both without a second write):
+
+    * ``"copy"`` writes each table again from its staged copy;
+    * ``"swap"`` re-points each catalog table at its folder in ``stage_dir``
+      (durable, versioned, the caller's, e.g. ``<warehouse>/<db>/run=<id>``).
+      Tables of other columns, partitioned ones and those that own their files
+      are refused before anything is staged.  The tables change one by one;
+    * ``"manifest"`` stages into the database's store and publishes all six
+      tables by one pointer (``sinks.manifest``): readers see the old version
+      or the new one, and a failed run leaves the old one."""
     builders = {"canonical": build_targets, "pipeline": build_pipeline_targets, "sql": build_sql_targets}
     targets = builders[variant](src, as_of)
     return stage_check_publish(spark, src, targets, database, mode=mode, stage_dir=stage_dir,
                                enforce=enforce, concurrency=concurrency, publish_by=publish_by,
-                               check_targets=variant == "canonical")
+                               not_null=schemas.NOT_NULL[variant], more_checks=more_checks)
 
 
 def run_incremental(spark: SparkSession, src: Sources, database: str, cutoff: dt.datetime | str,
                     as_of: dt.date | str | None = None, stage_dir: str | None = None,
-                    enforce: bool = True, concurrency: int = 3, publish_by: str = "copy") -> PipelineResult:
+                    enforce: bool = True, concurrency: int = 3, publish_by: str = "copy",
+                    more_checks: DataFrame | None = None) -> PipelineResult:
     """Apply the status rows at/after ``cutoff`` to the published targets.
 
     The affected orders' history and items are staged once for the targets;
     the quality gate reads ``gate_sources`` (the masters in full).  The
     refreshed targets read the published tables, so they are staged before
-    anything is overwritten."""
+    anything is overwritten.  ``plans.state.apply_batch`` does the same
+    without reading the history."""
     from .incremental import gate_sources, incremental_status, refresh_targets, stage_increment
     _needs_folder(publish_by, stage_dir)
     stage_dir = stage_dir or scratch_path(spark, "stage")
-    previous = {t: spark.table(f"{database}.{t}") for t in schemas.TARGETS}
+    base = open_store(spark, database, schemas.TARGETS).snapshot() if publish_by == "manifest" else None
+    previous = {t: base.table(t) if base else spark.table(f"{database}.{t}") for t in schemas.TARGETS}
     scoped, affected = stage_increment(spark, src, cutoff, stage_dir)
     targets = refresh_targets(previous, src, scoped, affected, as_of)
     gated = gate_sources(src, scoped, incremental_status(src["order_details"], cutoff))
     return stage_check_publish(spark, gated, targets, database, mode="overwrite", stage_dir=stage_dir,
-                               enforce=enforce, concurrency=concurrency, publish_by=publish_by)
+                               enforce=enforce, concurrency=concurrency, publish_by=publish_by, more_checks=more_checks, base=base)
 
 
 def _needs_folder(publish_by: str, stage_dir: str | None) -> None:
@@ -227,24 +254,41 @@ def _needs_folder(publish_by: str, stage_dir: str | None) -> None:
 
 def stage_check_publish(spark: SparkSession, src: Sources, targets: dict[str, DataFrame], database: str,
                         mode: str = "overwrite", stage_dir: str | None = None, enforce: bool = True,
-                        concurrency: int = 3, publish_by: str = "copy",
-                        check_targets: bool = True) -> PipelineResult:
+                        concurrency: int = 3, publish_by: str = "copy", not_null: dict[str, list[str]] | None = None,
+                        more_checks: DataFrame | None = None, base: Snapshot | None = None) -> PipelineResult:
     _needs_folder(publish_by, stage_dir)
+    if publish_by != "copy" and mode != "overwrite":
+        raise ValueError(f"publish_by={publish_by!r} replaces tables; it cannot append")
     stage_dir = stage_dir or scratch_path(spark, "stage")
     staged = {name: os.path.join(stage_dir, name) for name in targets}
+    if publish_by == "swap":
+        for n, df in targets.items():
+            check_repoint(spark, f"{database}.{n}", df.schema)
+    if publish_by == "manifest" and base is None:
+        base = open_store(spark, database, declared(targets, not_null)).snapshot()
+
+    def stage_one(n: str) -> None:
+        if publish_by == "manifest":
+            staged[n] = base.store.stage(n, targets[n])[WHOLE]
+        else:
+            stage_frame(targets[n], staged[n])
+
     source_violations: list[dict] = []
-    jobs = [lambda n=n: stage_frame(targets[n], staged[n]) for n in targets]
-    jobs.append(lambda: source_violations.extend(r.asDict() for r in check_summary(src, {}, stage_dir).collect()))
+    jobs = [lambda n=n: stage_one(n) for n in targets]
+    jobs.append(lambda: source_violations.extend(r.asDict() for r in check_summary(src, {}, stage_dir, more_checks).collect()))
     _run_all(jobs, concurrency)
     staged_frames = {n: spark.read.schema(targets[n].schema).parquet(p) for n, p in staged.items()}
-    violations = list(source_violations)
-    if check_targets:
-        violations += [r.asDict() for r in target_checks(staged_frames).collect()]
+    violations = source_violations + [r.asDict() for r in target_checks(staged_frames, not_null).collect()]
     if violations and enforce:
         raise QualityError(violations)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     published = [f"{database}.{name}" for name in staged_frames]
-    if publish_by == "swap" and mode == "overwrite":
+    if publish_by == "manifest":
+        base.store.commit(base, f"run-{uuid.uuid4().hex}", {n: {WHOLE: p} for n, p in staged.items()})
+        return PipelineResult(published, staged, violations)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    if publish_by == "swap":
+        for n, path in staged.items():
+            check_repoint(spark, f"{database}.{n}", targets[n].schema)
         for n, path in staged.items():
             repoint(spark, f"{database}.{n}", path)
         return PipelineResult(published, staged, violations)

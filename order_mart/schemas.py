@@ -110,3 +110,22 @@ TARGETS = {
 
 def not_null_columns(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields if not f.nullable]
+
+
+# NOT NULL columns of the published tables by variant.  The SQL variant keeps
+# undelivered orders, so its delivery columns may be NULL.
+_DELIVERY = ("order_delivery_timestamp", "order_delivery_time_seconds")
+_CANONICAL = {t: not_null_columns(s) for t, s in TARGETS.items()}
+NOT_NULL = {
+    "canonical": _CANONICAL,
+    "sql": {**_CANONICAL, "fact_daily_orders": [c for c in _CANONICAL["fact_daily_orders"] if c not in _DELIVERY]},
+    "pipeline": {
+        "dim_orders": ["order_id", "order_status_update_timestamp", "order_status"],
+        "dim_product": ["product_id", "product_code", "product_name", "sku", "rate", "isactive"],
+        "dim_address": ["addr", "city", "state", "pincode", "addr_id"],
+        "dim_cust": ["customer_id", "customer_name", "addr_id"],
+        "fact_daily_orders": ["cust_id", "pincode", "order_id", "order_received_timestamp", "order_delivery_timestamp",
+                              "item_count", "order_amount", "order_delivery_time_sec"],
+        "f_order_details": ["order_id", "product_id", "quantity", "order_delivery_timestamp"],
+    },
+}

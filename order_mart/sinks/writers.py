@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -35,10 +36,29 @@ def stage_frame(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def check_repoint(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Refuse to re-point ``table`` where that would publish something else
+    than the staged rows: other columns (the catalog keeps its schema, absent
+    ones would read as NULL), a partitioned table (partitions keep their old
+    locations), or a table that owns its files or is a view.  No table yet is
+    fine."""
+    from .manifest import StoreError, check_fits
+    if not spark.catalog.tableExists(table):
+        return
+    kind = spark.catalog.getTable(table).tableType
+    if kind != "EXTERNAL":
+        raise StoreError(f"{table} is {kind}; only an external table can change its location: drop it, or publish by 'copy' or 'manifest'")
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if parts:
+        raise StoreError(f"{table} is partitioned by {parts}; its partitions would keep their old files")
+    check_fits(table, spark.table(table).schema, schema)
+
+
 def repoint(spark: SparkSession, table: str, path: str) -> None:
-    """Publish a staged folder as ``table``: an existing table's location is
-    changed in one catalog step, so the table never goes missing and its old
-    files stay; otherwise an external table is created."""
+    """Publish a staged folder as ``table`` (see ``check_repoint``): an
+    existing table's location is changed in one catalog step, so the table
+    never goes missing and its old files stay; otherwise an external table is
+    created."""
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.catalog.refreshTable(table)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
@@ -32,6 +34,14 @@ def check_csv(spark: SparkSession, path: str, table: str, schema: T.StructType)
     return check_conform(read_csv(spark, path, text), table, schema)
 
 
+def lost_values(spark: SparkSession, base: str) -> DataFrame:
+    """Gate rows (check, table_name, column_name, n_violations) for the values
+    of ``read_sources_csv`` that do not parse, nullable columns included."""
+    counts = [check_csv(spark, f"{base}/{name}", name, schema) for name, schema in schemas.SOURCES.items()]
+    return reduce(DataFrame.unionByName, counts).filter("n_lost > 0").select(
+        F.lit("lost_value").alias("check"), "table_name", "column_name", F.col("n_lost").alias("n_violations"))
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
     """A small literal table (lookups, fixtures) with an explicit schema."""
     return spark.createDataFrame(rows, schema)
