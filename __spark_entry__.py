@@ -463,6 +463,14 @@ SELECT orderid, customerid, customerid_most, CAST(coalesce(n_status, 0) AS BIGIN
        CAST(coalesce(n_no_customer, 0) AS BIGINT) AS n_no_customer, order_received_timestamp, order_delivery_timestamp,
        CAST(order_amount AS BIGINT) AS order_amount, CAST(item_count AS BIGINT) AS item_count
 FROM s FULL JOIN i USING (orderid)
+""",
+    "sketch_profile": """
+SELECT column_name, n_rows, n_null, true AS within_bound FROM (
+  SELECT 'orderid' AS column_name, count(*) AS n_rows, count(*) - count(orderid) AS n_null FROM order_details
+  UNION ALL SELECT 'customerid', count(*), count(*) - count(customerid) FROM order_details
+  UNION ALL SELECT 'order_status_update_timestamp', count(*), count(*) - count(order_status_update_timestamp) FROM order_details
+  UNION ALL SELECT 'order_status', count(*), count(*) - count(order_status) FROM order_details
+)
 """,
     "address_key_map": """
 , one AS (
@@ -497,7 +505,7 @@ FROM batch
 
 # Queries whose oracle is another query's SQL (same result by definition).
 _SAME_AS = {"refresh_fact": "fact_daily_orders", "refresh_fact_by_state": "fact_daily_orders",
-            "apply_batches": "fact_daily_orders", "merge_order_state": "order_state",
+            "apply_batches": "fact_daily_orders", "fact_from_buckets": "fact_daily_orders", "merge_order_state": "order_state",
             "refresh_lines_by_state": "f_order_details"}
 
 

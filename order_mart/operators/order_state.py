@@ -100,6 +100,15 @@ def line_counts(order_items: DataFrame) -> DataFrame:
     return rows.groupBy("orderid", "productid", "quantity").agg(F.count(F.lit(1)).alias("n"))
 
 
+def key_rows_schema(key: str) -> T.StructType:
+    return T.StructType([T.StructField(key, _L, False), T.StructField("n", _L, False)])
+
+
+def key_rows(rows: DataFrame, key: str) -> DataFrame:
+    """Number of rows of every key (NULL keys are not checked)."""
+    return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+
+
 def merge_counts(*counted: DataFrame) -> DataFrame:
     keys = [c for c in counted[0].columns if c != "n"]
     return reduce(DataFrame.unionByName, counted).groupBy(*keys).agg(F.sum("n").alias("n"))

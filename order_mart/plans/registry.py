@@ -17,7 +17,7 @@ from .. import schemas
 from ..functions import (
     as_of_date, date_sequence, is_not_status_keep_null, is_status, is_status_exact, ntz_literal,
     seconds_between, whole_seconds_between)
-from ..operators import joins, key_map, keys, lifecycle, order_state, profile, quality, relational, totals
+from ..operators import joins, key_map, keys, lifecycle, order_state, profile, quality, relational, sketches, totals
 from ..sinks.conform import as_text, conform
 from ..sources.binding import bind_sources
 from . import dims, facts, incremental
@@ -35,7 +35,7 @@ FAULTY = ("check_not_null", "check_primary_key", "check_foreign_key", "check_var
           "customer_first_events", "order_lifecycle", "orders_with_items", "order_item_totals",
           "fact_daily_orders", "fact_daily_orders_pipeline", "fact_daily_orders_sql", "f_order_details_pipeline",
           "f_order_details", "dim_address_pipeline", "dim_customer_pipeline", "refresh_fact", "order_state",
-          "merge_order_state", "refresh_fact_by_state", "refresh_lines_by_state", "address_key_map")
+          "merge_order_state", "refresh_fact_by_state", "refresh_lines_by_state", "address_key_map", "sketch_profile")
 
 
 def query(name: str):
@@ -451,6 +451,26 @@ def _address_key_map(src):
     return keyed
 
 
+@query("fact_from_buckets")
+def _fact_from_buckets(src):
+    """The fact over sources staged in buckets of the order key."""
+    from .bucketed import stage_by_order
+    return facts.fact_daily_orders(stage_by_order(src["order_details"].sparkSession, src))
+
+
+@query("sketch_profile")
+def _sketch_profile(src):
+    """Profiles of two parts of the status history merged, and whether each
+    column's estimate is within the bound of its exact distinct count."""
+    od = src["order_details"]
+    late = F.col(TS) >= ntz_literal(CUTOFF)
+    merged = sketches.merge_profiles(sketches.sketch_profile(od.filter(late)), sketches.sketch_profile(od.filter(~F.coalesce(late, F.lit(False)))))
+    exact = profile.profile_table(od).select("column_name", F.col("n_distinct").alias("_exact"))
+    off = F.abs(F.col("n_distinct") - F.col("_exact"))
+    return sketches.estimates(merged).join(exact, "column_name").select(
+        "column_name", "n_rows", "n_null", (off <= F.col("_exact") * sketches.ERROR_BOUND).alias("within_bound"))
+
+
 # --- the same operators over sources with planted faults -------------------
 def _over_faulty(name: str):
     def run(spark, sf_dir):

@@ -1,13 +1,17 @@
 """Increments on stored state: a batch is merged, the history is not read.
 
 ``apply_batch`` takes the new status rows and item lines alone (and the
-masters), under a batch id.  Three state tables are kept beside the six
+masters), under a batch id.  State tables are kept beside the six
 targets, all order-keyed tables split into ranges of the order key:
 
 * ``order_state``   one merged state per order (see ``operators.order_state``);
 * ``order_events``  distinct status events with counts;
 * ``order_lines``   distinct item lines with counts.
 
+Two more hold the number of rows by foreign key, ``customer_rows`` and
+``product_rows``, so that the foreign keys of all batches are checked against
+the masters as they are now without reading those batches.
+
 A batch touches the ranges that its orders lie in.  New orders have the
 highest keys and late deliveries follow soon, so these are few; no file of
 another range is listed, read or written.  The touched ranges are merged,
@@ -38,8 +42,11 @@ from .pipeline import PipelineResult, QualityError, _run_all, check_summary, tar
 Sources = dict[str, DataFrame]
 
 STATE_TABLES = {"order_state": ops.ORDER_STATE, "order_events": ops.ORDER_EVENTS, "order_lines": ops.ORDER_LINES}
-#: Tables split by the order key; the others are the masters' and are replaced.
-BY_ORDER = (*STATE_TABLES, "dim_order", "fact_daily_orders", "f_order_details")
+#: Rows by foreign key: state table -> (source, key, master, master's key).
+KEY_ROWS = {"customer_rows": ("order_details", "customerid", "customer_master", "customerid"),
+            "product_rows": ("order_items", "productid", "product_master", "productid")}
+#: Tables split by the order key, or by their own; the masters' are replaced.
+BY_RANGE = (*STATE_TABLES, "dim_order", "fact_daily_orders", "f_order_details")
 #: Order keys in a range: some hundred megabytes of state, events or lines.
 RANGE_WIDTH = 1_000_000
 
@@ -51,7 +58,7 @@ def order_range(width: int, col: str = "orderid") -> Column:
 
 
 def open_state(spark: SparkSession, database: str) -> VersionedStore:
-    return open_store(spark, database, {**schemas.TARGETS, **STATE_TABLES})
+    return open_store(spark, database, {**schemas.TARGETS, **STATE_TABLES, **{n: ops.key_rows_schema(k[1]) for n, k in KEY_ROWS.items()}})
 
 
 def touched_ranges(orders: DataFrame, base: Snapshot) -> list[str]:
@@ -112,7 +119,7 @@ def apply_batch(spark: SparkSession, src: Sources, database: str, batch_id: str,
         return [lambda n=n, df=df: staged.update({n: store.stage(n, df, part, ("orderid",) if part else ())}) for n, df in tables.items()]
 
     masters = {"dim_customer": dims.dim_customer(src), "dim_address": dims.dim_address(src), "dim_product": dims.dim_product(src, as_of)}
-    _run_all(stage(merged(base, fresh, ranges, width), "_range") + stage(masters), concurrency)
+    _run_all(stage(merged(base, fresh, ranges, width), "_range") + stage(masters) + stage(merged_keys(base, src)), concurrency)
     state, events, lines = (_staged(store, base, staged).table(n) for n in STATE_TABLES)
     targets = {"dim_order": ops.dim_order_of(events),
                "fact_daily_orders": ops.fact_of_states(state, src["customer_master"]),
@@ -120,13 +127,33 @@ def apply_batch(spark: SparkSession, src: Sources, database: str, batch_id: str,
     _run_all(stage({n: df.withColumn("_range", order_range(width)) for n, df in targets.items()}, "_range"), concurrency)
 
     after = _staged(store, base, staged)
-    violations += _rows(_state_checks(src, state).unionByName(target_checks({t: after.table(t) for t in schemas.TARGETS})))
+    violations += _rows(_state_checks(src, state).unionByName(_key_checks(src, after)).unionByName(target_checks({t: after.table(t) for t in schemas.TARGETS})))
     if violations and enforce:
         raise QualityError(violations)
-    store.commit(base, batch_id, staged, {n: ranges for n in BY_ORDER})
+    store.commit(base, batch_id, staged, {n: ranges for n in BY_RANGE})
     return PipelineResult(published, {n: p for n, own in staged.items() for p in own.values()}, violations)
 
 
+def merged_keys(base: Snapshot, src: Sources) -> dict[str, DataFrame]:
+    """Rows by foreign key after the batch: as many rows as there are keys."""
+    out = {}
+    for name, (table, key, _, _) in KEY_ROWS.items():
+        out[name] = ops.merge_counts(base.table(name), ops.key_rows(src[table], key))
+    return out
+
+
+def _key_checks(src: Sources, after: Snapshot) -> DataFrame:
+    """Foreign keys of the rows of all batches without a master now.  The rows
+    of this batch among them are reported by ``check_summary`` too."""
+    parts = []
+    for name, (table, key, master, master_key) in KEY_ROWS.items():
+        masters = src[master].select(F.col(master_key).alias(key))
+        orphans = after.table(name).join(masters, key, "left_anti")
+        parts.append(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_violations")).select(
+            F.lit("foreign_key_all_batches").alias("check"), F.lit(table).alias("table_name"), F.lit(key).alias("column_name"), "n_violations"))
+    return relational.union_all(*parts).filter(F.col("n_violations") > 0)
+
+
 def _rows(df: DataFrame) -> list[dict]:
     return [r.asDict() for r in df.collect()]
 

@@ -46,6 +46,72 @@ def _bounds(spark, url, table, column, properties):
     return (row[0], row[1]) if row is not None else (None, None)
 
 
+def key_histogram(spark: SparkSession, url: str, table: str, column: str, low: int, high: int, bins: int,
+                  properties: dict[str, str] | None = None, where: str = "1 = 1") -> list[tuple[int, int, int]]:
+    """(first key, last key, rows) of equally wide bins of low..high that hold
+    rows, counted by the database; ``bins`` rows at most come back."""
+    width = -(-(high - low + 1) // bins)
+    q = (f"(SELECT ({column} - {low}) / {width} AS b, COUNT(*) AS n FROM {table} "
+         f"WHERE {column} BETWEEN {low} AND {high} AND {where} GROUP BY ({column} - {low}) / {width}) h")
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", q)
+    for k, v in (properties or {}).items():
+        reader = reader.option(k, v)
+    rows = [(int(r[0]), int(r[1])) for r in reader.load().collect()]
+    return [(low + b * width, min(high, low + (b + 1) * width - 1), n) for b, n in sorted(rows)]
+
+
+def balanced_ranges(spark: SparkSession, url: str, table: str, column: str, num_partitions: int,
+                    properties: dict[str, str] | None = None, quote: str = '"', where: str = "1 = 1",
+                    bins: int = 1000) -> list[tuple[int, int]]:
+    """Key ranges of about equal numbers of rows, whatever the keys' spread.
+
+    The database counts rows in equally wide bins; a bin with more rows than a
+    range should have is counted again in narrower ones, down to a single key.
+    A key that alone exceeds a share is a range of its own.  Queries and the
+    driver's rows are bounded by ``bins`` for every level of a crowded range.
+    """
+    col = f"{quote}{column}{quote}"
+    low, high = _bounds(spark, url, f"(SELECT {col} FROM {table} WHERE {where}) s", col, properties)
+    if low is None:
+        return []
+    found = key_histogram(spark, url, table, col, int(low), int(high), bins, properties, where)
+    share = -(-sum(n for _, _, n in found) // num_partitions)
+    while any(n > share and first < last for first, last, n in found):
+        finer = []
+        for first, last, n in found:
+            finer += (key_histogram(spark, url, table, col, first, last, bins, properties, where)
+                      if n > share and first < last else [(first, last, n)])
+        found = finer
+    ranges, start, held = [], found[0][0], 0
+    for (first, last, n), following in zip(found, [*found[1:], None], strict=True):
+        held += n
+        if following is None or held + following[2] > share:
+            ranges.append((start, last))
+            if following is not None:
+                start, held = following[0], 0
+    return ranges
+
+
+def read_jdbc_balanced(spark: SparkSession, url: str, table: str, column: str, num_partitions: int = 8,
+                       properties: dict[str, str] | None = None, quote: str = '"', where: str = "1 = 1",
+                       snapshot_sql: str | None = None, fetch_size: int = 10_000) -> DataFrame:
+    """Read a table over ``balanced_ranges`` of an integer key, one task each;
+    rows without a key are one more range.
+
+    Range queries run at different moments.  So that they see one state,
+    ``where`` is added to each (for tables that only grow: a bound on the key
+    or time, read before), or ``snapshot_sql`` is run by every connection
+    before its query, where the database can share a snapshot.
+    """
+    col = f"{quote}{column}{quote}"
+    ranges = balanced_ranges(spark, url, table, column, num_partitions, properties, quote, where)
+    predicates = [f"{col} BETWEEN {a} AND {b} AND {where}" for a, b in ranges] + [f"{col} IS NULL AND {where}"]
+    options = {"fetchsize": str(fetch_size), "preferTimestampNTZ": "true", **(properties or {})}
+    if snapshot_sql:
+        options["sessionInitStatement"] = snapshot_sql
+    return spark.read.jdbc(url, table, predicates=predicates, properties=options)
+
+
 def read_sources_jdbc(spark: SparkSession, url: str, properties: dict[str, str] | None = None,
                       num_partitions: int = 8) -> dict[str, DataFrame]:
     """The four order sources from a relational database, each split on its

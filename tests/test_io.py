@@ -122,3 +122,68 @@ def test_csv_sources_and_lost_values(spark):
     spark.createDataFrame([("1", "2", "many"), ("1", "x", "3")], "orderid string, productid string, quantity string").write.option("header", True).csv(bad)
     lost = {r.column_name: r.n_lost for r in check_csv(spark, bad, "order_items", schemas.ORDER_ITEMS).collect()}
     assert lost == {"orderid": 0, "productid": 1, "quantity": 1}
+
+
+def test_jdbc_ranges_follow_the_rows_not_the_keys(spark):
+    """In-process Derby: nine tenths of the rows on few keys, a key with a
+    third of all rows, and keys up to 10**9."""
+    from order_mart.sources.jdbc import balanced_ranges, read_jdbc_balanced
+    url = f"jdbc:derby:memory:bal{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    keys = [7] * 1000 + list(range(100, 1900)) + [10**9 - 3 * i for i in range(200)]
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)] + [(None, -1)], "k long, v long")
+    write_jdbc(rows, url, "t", mode="overwrite", properties=props, num_partitions=2)
+    ranges = balanced_ranges(spark, url, "t", "k", 6, props, bins=50)
+    assert all(a <= b for a, b in ranges) and all(b < c for (_, b), (c, _) in zip(ranges, ranges[1:], strict=False))
+    held = [sum(a <= k <= b for k in keys) for a, b in ranges]
+    assert sum(held) == len(keys) and len(ranges) <= 12
+    assert max(n for (a, _), n in zip(ranges, held, strict=True) if a > 7) <= 500       # a share, but for the hot key
+    back = read_jdbc_balanced(spark, url, "t", "k", 6, props)
+    assert back.rdd.getNumPartitions() == len(balanced_ranges(spark, url, "t", "k", 6, props)) + 1
+    assert same(back, rows)
+    write_jdbc(spark.createDataFrame([(3000, 5000)], "k long, v long"), url, "t", properties=props)     # arrives meanwhile
+    bounded = read_jdbc_balanced(spark, url, "t", "k", 6, props, where='"v" < 3000')
+    assert same(bounded, rows)
+    write_jdbc(rows.limit(0), url, "nothing", mode="overwrite", properties=props)
+    assert read_jdbc_balanced(spark, url, "nothing", "k", 4, props).count() == 0
+
+
+def test_bucketed_sources_need_no_exchange_on_the_order_key(spark):
+    from order_mart.plans.bucketed import stage_by_order
+    from order_mart.plans.facts import fact_daily_orders, fact_daily_orders_sql
+    src = bind_sources(spark, SF0001)
+    staged = stage_by_order(spark, src)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        def by_order(sources):
+            plan = fact_daily_orders(sources)._jdf.queryExecution().executedPlan().toString()
+            return sum("Exchange hashpartitioning(orderid" in line for line in plan.splitlines())
+        assert by_order(src) == 2 and by_order(staged) == 1          # the lines come from the product join, not from a scan
+        life = "Exchange hashpartitioning(orderid"
+        plan = __import__("order_mart.operators.lifecycle", fromlist=["x"]).order_lifecycle(
+            staged["order_details"], ("orderid",)).join(staged["order_items"], "orderid")._jdf.queryExecution().executedPlan().toString()
+        assert life not in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert same(fact_daily_orders(staged), fact_daily_orders(src))
+    assert same(fact_daily_orders_sql(staged), fact_daily_orders_sql(src))
+
+
+def test_sketches_merge_within_their_bound(spark):
+    from order_mart.operators.sketches import ERROR_BOUND, estimates, merge_profiles, sketch_profile
+    src = bind_sources(spark, "/root/testdata/sf0.01")
+    items = src["order_items"]
+    parts = [sketch_profile(items.filter(F.pmod("orderid", F.lit(3)) == n)) for n in range(3)]
+    got = {r.column_name: r for r in estimates(merge_profiles(parts[2], merge_profiles(parts[0], parts[1]))).collect()}
+    whole = {r.column_name: r for r in estimates(sketch_profile(items)).collect()}
+    for c in items.columns:
+        exact = items.select(c).distinct().count()
+        assert abs(got[c].n_distinct - exact) <= ERROR_BOUND * exact and got[c].n_rows == items.count()
+        assert abs(got[c].n_distinct - whole[c].n_distinct) <= ERROR_BOUND * exact
+    empty = {r.column_name: tuple(r)[1:] for r in estimates(sketch_profile(items.limit(0))).collect()}
+    assert set(empty.values()) == {(0, 0, 0)}
+    none = spark.createDataFrame([(None, 1), (None, 1)], "a string, b int")
+    assert {tuple(r) for r in estimates(sketch_profile(none)).collect()} == {("a", 2, 2, 0), ("b", 2, 0, 1)}
