@@ -1,11 +1,13 @@
 """Exact Jaccard join of word-shingle sets with set-relation skipping.
 
 Rows with equal sets form one class, which is joined once.  The rarest-first
-prefixes of the sets are an inverted index.  Its lists are cut into blocks by
-set size and position: for each set only the block whose sizes and positions
-still allow the overlap is looked at, and parity bitmaps (a lower bound of two
-sets' difference) thin it further.  What the lists cannot rule out connects
-sets into clusters, outside of which there is no link.
+prefixes of the sets are an inverted index.  Its lists are sorted by set size
+and position; a block is the entries of one size.  For each entry the blocks of
+sizes that allow no link are skipped, so are those that its own position rules
+out, and of every other block a bisect leaves the part whose positions still
+allow the overlap.  Parity bitmaps (a lower bound of two sets' difference, as
+wide as the smaller set) thin it further.  What the lists cannot rule out
+connects sets into clusters, outside of which there is no link.
 
 Within a cluster the answers follow the relations among sets.  A set's overlap
 with its leader is computed in full and the exact differences are kept; two
@@ -31,10 +33,12 @@ from .common import raw_bytes, read_table, slices, stage
 from .components import connected_components
 
 SHINGLE_WORDS, PERCENT = 4, 85
-#: Size of the table of shingle counts that orders the prefixes, and of the parity bitmaps.
-COUNT_BITS, PARITY_BITS = 16, 512
-#: List entries that one step of a list task holds, whole lists.
-LIST_ROWS = 100_000
+#: Size of the table of shingle counts that orders the prefixes.
+COUNT_BITS = 16
+#: Bits of a parity map, at least and at most; between, as many as the set has shingles.
+LEAST_BITS, MOST_BITS = 512, 8192
+#: List entries and bytes of parity maps that one step of a list task holds, whole lists.
+LIST_ROWS, LIST_BYTES, LIST_STEP = 100_000, 16 << 20, 4096
 #: Prefix places whose lists find the leaders; all places are searched after that.
 LEADER_PLACES = 6
 #: A cluster that one task joins has at most so many sets and compressed bytes of text.
@@ -83,9 +87,17 @@ def _sets_of(frames: list[bytes], width: int) -> list[np.ndarray]:
     return out
 
 
-def parity(own: np.ndarray, bits: int = PARITY_BITS) -> bytes:
+def map_bits(n: int) -> int:
+    """Bits of the parity map of a set of n shingles: as many at least, up to
+    ``MOST_BITS``, so that sets that differ by more than a link allows do not
+    fill the map."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << max(0, n - 1).bit_length()))
+
+
+def parity(own: np.ndarray, bits: int) -> bytes:
     """Bit map of the shingles' last bits, each shingle flipping its bit: two
-    sets differ in at least as many shingles as their maps in bits."""
+    sets differ in at least as many shingles as their maps in bits.  The two
+    halves of a map, one flipped by the other, are the map of half the bits."""
     odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -125,7 +137,7 @@ def _text_task(width: int):
             for k, own in enumerate(sets):
                 if len(own) and (sid := _class_of(own)) not in seen:
                     seen.add(sid)
-                    rows.append((sid, pack.compress(data[offsets[k]: offsets[k + 1]].tobytes()), parity(own)))
+                    rows.append((sid, pack.compress(data[offsets[k]: offsets[k + 1]].tobytes()), parity(own, map_bits(len(own)))))
             if rows:
                 yield _batch(["sid", "text", "parity"], rows, [pa.int64(), pa.binary(), pa.binary()])
     return run
@@ -231,70 +243,127 @@ class _Forest:
         return x != y
 
 
-def _may_link(sizes, places, parity, i, j, percent: int):
-    """Whether entries i and j (j not smaller in size) can be linked: by the
-    overlap their positions still allow and the difference their parities show."""
-    most = sizes[i] + sizes[j] - 2 * need(sizes[i], sizes[j], percent)
-    left = 1 + np.minimum(sizes[i] - places[i], sizes[j] - places[j]) - 1
-    apart = np.bitwise_count(parity[i] ^ parity[j]).sum(axis=-1)
-    return (apart <= most) & (left >= need(sizes[i], sizes[j], percent))
+def _shared_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries of tokens that more than one set has; rows come sorted by token."""
+    last, alone = None, True                                     # the row before, and whether its token was new
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch] if last is None else [last, batch])
+        batch = table.combine_chunks().to_batches()[0]
+        token = batch.column(0).to_numpy()
+        after = np.concatenate((token[1:] == token[:-1], [False]))
+        before = np.concatenate(([not alone], after[:-1]))
+        keep = (after | before)[:-1]                             # the last row waits for the next batch
+        yield batch.slice(0, len(keep)).filter(pa.array(keep))
+        last, alone = batch.slice(len(keep)), not bool(before[-1])
+    if last is not None and not alone:
+        yield last
+
+
+class _Maps:
+    """Parity maps of a run of entries, folded to any width that is asked."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.words = np.diff(offsets) // 8
+        self.rows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        wide, at = np.zeros((0, 0), np.uint64), np.zeros(0, np.int64)
+        for words in sorted(set(self.words.tolist()), reverse=True):
+            while wide.shape[1] > words:
+                wide = wide[:, : wide.shape[1] // 2] ^ wide[:, wide.shape[1] // 2:]
+            own = np.flatnonzero(self.words == words)
+            raw = data[(offsets[own][:, None] + np.arange(8 * words)).ravel()].view(np.uint64).reshape(-1, words)
+            wide, at = (np.concatenate((wide, raw)), np.concatenate((at, own))) if len(at) else (raw, own)
+            place = np.full(len(self.words), -1)
+            place[at] = np.arange(len(at))
+            self.rows[words] = wide, place
+
+    def apart(self, i: int, j: np.ndarray) -> np.ndarray:
+        """Bits in which entry i differs from entries j, which are as wide or wider."""
+        maps, place = self.rows[int(self.words[i])]
+        return np.bitwise_count(maps[place[j]] ^ maps[place[i]]).sum(axis=1)
+
+
+class _Blocks:
+    """One list, sorted by set size and position: a block is the entries of
+    one size, in which positions ascend."""
+
+    def __init__(self, place: np.ndarray, percent: int):
+        self.place, self.percent = place, percent
+        sizes = place >> 24
+        self.first = np.flatnonzero(np.concatenate(([True], sizes[1:] != sizes[:-1])))
+        self.sizes = sizes[self.first]
+        self.block = np.cumsum(np.concatenate(([0], (sizes[1:] != sizes[:-1]).astype(np.int64))))
+
+    def after(self, i: int) -> np.ndarray:
+        """Later entries whose sizes and positions still allow a link with
+        entry i.  Blocks of too large sets, and those that i's own position
+        rules out, are skipped; of the others the part of early positions."""
+        size, position = int(self.place[i]) >> 24, int(self.place[i]) & ((1 << 24) - 1)
+        low = int(self.block[i])
+        high = int(np.searchsorted(self.sizes, size * 100 // self.percent, side="right"))
+        sizes = self.sizes[low:high]
+        least = need(size, sizes, self.percent)
+        sizes, least, first = (x[size - position >= least] for x in (sizes, least, self.first[low:high]))
+        stop = np.searchsorted(self.place, (sizes << 24) + (sizes - least), side="right")
+        start = np.maximum(first, i + 1)
+        n = np.maximum(stop - start, 0)
+        return np.repeat(start - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()) if len(n) else n
 
 
 def _list_task(percent: int, every_pair: bool):
     """Candidate pairs of whole lists.
 
-    Without ``every_pair``: pairs of a leader, the least set, with those close
-    to it, which join the components (column ``component``) that this task
-    meets; a list costs one pair for each component at most.  With it: every
-    pair between different components."""
+    Without ``every_pair``: pairs of a set with those close to it, which join
+    the components (column ``component``) that this task meets; a list costs
+    one pair for each component at most.  With it: every pair between
+    different components."""
     def emit(rows, forest):
-        token, sid, place, parity, component = (np.concatenate(c) for c in zip(*rows, strict=True))
-        sizes, places = place >> 24, place & ((1 << 24) - 1)
+        token, sid, place, component = (np.concatenate(c) for c in list(zip(*rows, strict=True))[:4])
+        maps = _Maps(np.concatenate([r[4] for r in rows]), np.concatenate(([0], np.cumsum(np.concatenate([r[5] for r in rows])))))
+        sizes = place >> 24
         first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
         last = np.concatenate((first[1:], [len(token)]))
         pairs = []
         for a, b in zip(first.tolist(), last.tolist(), strict=True):
             mine = component[a:b] if every_pair else np.array([forest.find(x) for x in component[a:b].tolist()])
-            for i in range(a, b - 1):
-                if not every_pair and (mine == mine[0]).all():
-                    break
-                if every_pair:                                   # sorted by size: the block that may match
-                    j = np.arange(i + 1, a + int(np.searchsorted(sizes[a:b], sizes[i] * 100 // percent, side="right")))
-                else:
-                    j = np.arange(i + 1, b)
-                    j = j[(sizes[j] * percent <= sizes[i] * 100) & (sizes[i] * percent <= sizes[j] * 100)]
-                j = j[mine[j - a] != mine[i - a]]
-                if len(j):
-                    j = j[_may_link(sizes, places, parity, i, j, percent)]
+            if (mine == mine[0]).all():
+                continue
+            blocks = _Blocks(place[a:b], percent)
+            for i in range(b - a - 1):
+                j = blocks.after(i)
+                j = j[mine[j] != mine[i]]
+                if not len(j):
+                    continue
+                most = sizes[a + i] + sizes[a + j] - 2 * need(sizes[a + i], sizes[a + j], percent)
+                j = j[maps.apart(a + i, a + j) <= most]
+                x = int(sid[a + i])
                 for k in j.tolist():
-                    x, y = int(sid[i]), int(sid[k])
-                    if every_pair:
-                        pairs.append((x, y))
-                    elif forest.join(int(component[i]), int(component[k])):
-                        pairs.append((x, y))
+                    if every_pair or forest.join(int(component[a + i]), int(component[a + k])):
+                        pairs.append((x, int(sid[a + k])))
                 if not every_pair and len(j):
-                    mine = np.where(np.isin(mine, mine[np.concatenate(([i - a], j - a))]), mine[i - a], mine)
+                    mine = np.where(np.isin(mine, mine[np.concatenate(([i], j))]), mine[i], mine)
+                    if (mine == mine[0]).all():
+                        break
         return _batch(["a", "b"], sorted({(min(p), max(p)) for p in pairs}), [pa.int64(), pa.int64()])
 
     def run(batches):
-        rows, held, forest = [], 0, _Forest()
+        rows, held, total, forest = [], 0, 0, _Forest()
         for batch in batches:
-            if not batch.num_rows:
-                continue
             token, sid, place = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-            data, _, _ = raw_bytes(batch.column(3))
-            part = (token, sid, place, data.view(np.uint64).reshape(-1, PARITY_BITS // 64) if len(data) else np.zeros((0, PARITY_BITS // 64), np.uint64),
-                    batch.column(4).to_numpy(zero_copy_only=False))
-            if held >= LIST_ROWS:                                # close at the end of a list
-                cut = int(np.argmax(token != rows[-1][0][-1])) if (token != rows[-1][0][-1]).any() else len(token)
-                rows.append(tuple(c[:cut] for c in part))
-                if cut < len(token):
-                    yield emit(rows, forest)
-                    rows, held, part = [], 0, tuple(c[cut:] for c in part)
-                else:
-                    continue
-            rows.append(part)
-            held += len(part[0])
+            component, start = batch.column(4).to_numpy(zero_copy_only=False), 0
+            while start < len(token):
+                stop = min(len(token), start + LIST_STEP)
+                if held >= LIST_ROWS or total >= LIST_BYTES:      # close at the end of a list
+                    other = token[start:] != rows[-1][0][-1]
+                    stop = start + int(np.argmax(other)) if other.any() else len(token)
+                    if stop == start:
+                        yield emit(rows, forest)
+                        rows, held, total = [], 0, 0
+                        continue
+                data, offsets, _ = raw_bytes(batch.column(3).slice(start, stop - start))
+                rows.append((token[start:stop], sid[start:stop], place[start:stop], component[start:stop], data, np.diff(offsets)))
+                held, total, start = held + stop - start, total + len(data), stop
         if rows:
             yield emit(rows, forest)
     return run
@@ -302,8 +371,7 @@ def _list_task(percent: int, every_pair: bool):
 
 def _candidates(entries: DataFrame, sets: DataFrame, percent: int, parts: int, every_pair: bool) -> DataFrame:
     lists = entries.join(sets.select("sid", "parity"), "sid").select("token", "sid", "place", "parity", "component")
-    order = ("token", "place", "sid") if every_pair else ("token", "sid")
-    return (lists.repartition(parts, "token").sortWithinPartitions(*order)
+    return (lists.repartition(parts, "token").sortWithinPartitions("token", "place", "sid")
             .mapInArrow(_list_task(percent, every_pair), "a long, b long").distinct())
 
 
@@ -417,8 +485,8 @@ def _components(sets: DataFrame, counts: np.ndarray, width: int, percent: int) -
     """(node, component) of the classes that may be linked with another."""
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     index = sets.select("sid", "text").mapInArrow(_prefix_task(width, percent, counts), "token long, sid long, place long")
-    lists = index.repartition(parts, "token").selectExpr("*", "count(*) OVER (PARTITION BY token) AS listed")
-    entries = stage(lists.filter("listed > 1").drop("listed"), "join-lists")
+    lists = index.repartition(parts, "token").sortWithinPartitions("token")
+    entries = stage(lists.mapInArrow(_shared_task, "token long, sid long, place long"), "join-lists")
 
     leading = entries.filter(F.col("place") % (1 << 24) < LEADER_PLACES).withColumn("component", F.col("sid"))
     near = stage(_candidates(leading, sets, percent, parts, every_pair=False), "join-near")

@@ -88,6 +88,45 @@ def near_copies(n, seed=1):
     return out
 
 
+def test_blocks_keep_what_sizes_and_positions_allow():
+    rng = np.random.default_rng(11)
+    for percent in (50, 80, 85):
+        sizes = rng.integers(1, 60, 200)
+        place = np.sort((sizes << 24) + (rng.random(200) * sizes).astype(np.int64))
+        size, position = place >> 24, place & ((1 << 24) - 1)
+        blocks = ngram_join._Blocks(place, percent)
+        for i in range(200):
+            least = ngram_join.need(size[i], size, percent)
+            want = [j for j in range(i + 1, 200) if min(size[i] - position[i], size[j] - position[j]) >= least[j]]
+            assert blocks.after(i).tolist() == want
+
+
+def test_maps_never_show_more_than_the_difference():
+    rng = np.random.default_rng(12)
+    base = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((base[:n], rng.integers(0, 1 << 63, m, dtype=np.uint64))))
+            for n, m in ((3, 1), (400, 30), (500, 9), (600, 0), (1000, 100), (2900, 300), (3000, 9000))]
+    sets.sort(key=len)
+    made = [ngram_join.parity(x, ngram_join.map_bits(len(x))) for x in sets]
+    maps = ngram_join._Maps(np.frombuffer(b"".join(made), np.uint8), np.concatenate(([0], np.cumsum([len(m) for m in made]))))
+    for i in range(len(sets)):
+        later = np.arange(i + 1, len(sets))
+        for j, apart in zip(later.tolist(), maps.apart(i, later).tolist(), strict=True):
+            assert apart <= len(np.setxor1d(sets[i], sets[j]))
+            folded = ngram_join.parity(sets[j], ngram_join.map_bits(len(sets[i])))
+            assert apart == int(np.bitwise_count(np.frombuffer(folded, np.uint8) ^ np.frombuffer(made[i], np.uint8)).sum())
+
+
+@pytest.mark.parametrize("cuts", [[7], [1, 2, 3, 4], [3, 5]])
+def test_shared_tokens_over_batches(cuts):
+    import pyarrow as pa
+    token = np.array([1, 2, 2, 3, 4, 4, 4, 5])
+    batch = pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.arange(8)), pa.array(np.arange(8))], names=["token", "sid", "place"])
+    parts = [batch.slice(a, b - a) for a, b in zip([0, *cuts], [*cuts, 8], strict=True)]
+    got = [x for b in ngram_join._shared_task(iter([batch.slice(0, 0), *parts])) for x in b.column(1).to_pylist()]
+    assert got == [1, 2, 4, 5, 6]
+
+
 @pytest.mark.parametrize("cluster", [ngram_join.CLUSTER_SETS, 2])
 def test_join_of_near_copies(spark, monkeypatch, cluster):
     """Also with clusters that count as too large for one task."""
@@ -104,6 +143,7 @@ def test_join_hard_texts(hard, none):
 
 def test_lists_are_cut_between_tokens(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "LIST_ROWS", 5)
+    monkeypatch.setattr(ngram_join, "LIST_STEP", 3)
     docs = near_copies(150, seed=3)
     got = ngram_join.jaccard_classes(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), width=5, percent=80)
     assert rows(got) == brute_classes(docs, 5, 80)
