@@ -24,9 +24,12 @@ from .common import read_table, stage
 COPIES_PER_REPLICA = 1000
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-#: RocksDB for the state; no preallocated files, which would outweigh small state partitions.
+#: RocksDB for the state, all partitions of an executor within one bound of native
+#: memory; no preallocated files, which would outweigh small state partitions.
 _STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
-               "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
+               "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+               "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+               "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200"}
 _ADDED = ("keep_id", "group_size", "kept", "text_sha256")
 
 
