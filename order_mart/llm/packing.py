@@ -31,7 +31,7 @@ ROUNDS = 6
 
 
 # ------------------------------------------------------------- tokenised pieces
-def _cut(path: str, capacity: int):
+def _cut(path: str, capacity: int, remember: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
@@ -52,15 +52,19 @@ def _cut(path: str, capacity: int):
                 [part.column(0).take(pa.array(of)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                  pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        if not remember:
+            words.forget()
     return run
 
 
-def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, remember: bool = True) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: a text's ids and the end id,
-    cut after every ``capacity`` ids.  A null text is empty (the end id alone)."""
+    cut after every ``capacity`` ids.  A null text is empty (the end id alone).
+    Words are remembered for a worker's next tasks (some 200 MB) unless
+    ``remember`` is false, which spares that memory for the stages to come."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        _cut(path or default_path(), capacity), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+        _cut(path or default_path(), capacity, remember), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 # ------------------------------------------------------------- one partition
@@ -165,12 +169,13 @@ def pack(items: DataFrame, capacity: int = CAPACITY, partition_pieces: int = PAR
     return out
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, partition_pieces: int = PARTITION_PIECES) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, partition_pieces: int = PARTITION_PIECES,
+                   remember: bool = True) -> DataFrame:
     """Pieces of every document with their sequence and place in it: doc_id,
     piece, start, length, ids_crc32, sequence_id, offset.  Repeated rows are
     packed each; an empty table gives an empty result; further columns of
     ``docs`` are ignored."""
-    return pack(stage(token_pieces(docs, path, capacity), "packing-pieces"), capacity, partition_pieces)
+    return pack(stage(token_pieces(docs, path, capacity, remember), "packing-pieces"), capacity, partition_pieces)
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,6 +81,10 @@ class WordEncoder:
         self.words.update(zip(new, self.encode(new), strict=True))
         return self.words
 
+    def forget(self) -> None:
+        """Give the remembered words and pieces back."""
+        self.words, self.known = {}, {}
+
     def encode(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word.  Words hold no ASCII white space."""
         if len(self.known) > self.limit:
