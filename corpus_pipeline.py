@@ -49,7 +49,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces and their places in sequences of 4096 tokens."""
-    return pack_documents(docs.select("doc_id", "text"))
+    return pack_documents(docs.select("doc_id", "text"), remember=False)
 
 
 STAGES = [
