@@ -1,6 +1,6 @@
 """Best-fit packing of tokenised documents with certified bin counts.
 
-Pieces are dealt into partitions by hash and each partition is packed by
+Pieces are dealt into partitions by a hash of their row number and each partition is packed by
 best-fit decreasing.  Dual-feasible functions give each partition a lower
 bound on its number of sequences, so a partition whose count equals the bound
 is certified.  Partitions with a gap exchange what lies in their unfilled
@@ -24,6 +24,8 @@ from .tokens import default_path, encoder
 
 CAPACITY = 4096
 END_ID = 1
+#: Of the hash that deals pieces.
+DEAL_SEED = 1
 #: Pieces of a partition, which one task packs.
 PARTITION_PIECES = 20_000
 #: Rounds of exchange at most; each has to save a sequence to be followed by another.
@@ -119,6 +121,9 @@ _PLACE = [StructField("_bin", LongType()), StructField("offset", LongType()), St
           StructField("_open", BooleanType())]
 
 
+_WORKING = ("_row", "_part", "_bin", "offset", "_gap", "_open", "sequence_id")
+
+
 def _pack_partition(capacity: int, schema: pa.Schema):
     def run(table: pa.Table) -> pa.Table:
         lengths = table.column("length").to_numpy().astype(np.int64)
@@ -134,7 +139,7 @@ def _pack_partition(capacity: int, schema: pa.Schema):
 
 def _round(items: DataFrame, number: int, capacity: int, partition_pieces: int) -> tuple[DataFrame, dict]:
     parts = max(1, -(-items.count() // partition_pieces))
-    dealt = items.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(number)), F.lit(parts)))
+    dealt = items.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(DEAL_SEED + number), "_row"), F.lit(parts)))
     schema = StructType(dealt.schema.fields + _PLACE)
     packed = stage(dealt.groupBy("_part").applyInArrow(_pack_partition(capacity, to_arrow_schema(schema)), schema),
                    f"packing-round-{number}")
@@ -146,8 +151,14 @@ def _round(items: DataFrame, number: int, capacity: int, partition_pieces: int)
 def pack(items: DataFrame, capacity: int = CAPACITY, partition_pieces: int = PARTITION_PIECES, rounds: int = ROUNDS) -> DataFrame:
     """``items`` (length, at most ``capacity``, and further columns) plus
     sequence_id and offset.  Every item is placed once; sequences are gapless
-    from offset 0.  An empty table gives an empty result."""
+    from offset 0.  Columns of ``items`` that bear a result's or a working
+    name (``_row``, ``_part``, ``_bin``, ``_gap``, ``_open``) are replaced.
+    Equal rows are dealt apart, by the number that staging gives each.  After
+    ``rounds`` exchanges a partition may stay above its lower bound.  An empty
+    table gives an empty result."""
+    items = items.drop(*_WORKING)
     columns = items.columns
+    items = stage(items.withColumn("_row", F.monotonically_increasing_id()), "packing-items")
     sequence = [F.col(c) for c in columns] + [F.col("sequence_id"), F.col("offset")]
     numbered = lambda df, n: df.withColumn("sequence_id", F.lit(n << 56) + F.shiftleft("_part", 28) + F.col("_bin"))
     full = items.filter(F.col("length") == capacity)
@@ -157,7 +168,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, partition_pieces: int = PAR
         if at < 2:
             break
         pool = current.filter("_open")
-        again, figures = _round(pool.select(*columns), number, capacity, partition_pieces)
+        again, figures = _round(pool.select(*columns, "_row"), number, capacity, partition_pieces)
         if figures["bins"] >= at:
             break
         settled.append(current.filter("NOT _open").select(*sequence))
@@ -175,7 +186,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAP
     piece, start, length, ids_crc32, sequence_id, offset.  Repeated rows are
     packed each; an empty table gives an empty result; further columns of
     ``docs`` are ignored."""
-    return pack(stage(token_pieces(docs, path, capacity, remember), "packing-pieces"), capacity, partition_pieces)
+    return pack(token_pieces(docs, path, capacity, remember), capacity, partition_pieces)
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from llm_helpers import HARD, SF0001, hard, none, rows  # noqa: F401
 
+from order_mart.llm import packing
 from order_mart.llm.bpe_words import decode_ids, encode_documents, op1_bpe_words
 from order_mart.llm.common import read_table
 from order_mart.llm.packing import best_fit_decreasing, lower_bound, op7_best_fit_packing, pack, pack_documents
@@ -97,3 +98,17 @@ def test_exchange_saves_sequences(spark):
     apart = check_sequences(pack(items, 100, partition_pieces=2, rounds=0).collect(), 100)
     together = check_sequences(pack(items, 100, partition_pieces=2).collect(), 100)
     assert together < apart
+
+
+def test_equal_rows_are_dealt_apart(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(6000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(10).cast("long").alias("length"),
+                                    F.lit(5).cast("long").alias("ids_crc32"), F.lit("x").alias("_part"), F.lit(1).alias("offset"))
+    placed = packing.pack(rows, 4096, 500)
+    assert placed.columns == ["doc_id", "piece", "length", "ids_crc32", "sequence_id", "offset"]
+    assert placed.count() == 6000 and placed.select("sequence_id", "offset").distinct().count() == 6000
+    numbered = rows.drop("_part", "offset").withColumn("_row", F.monotonically_increasing_id())
+    made, _ = packing._round(numbered, 1, 4096, 500)
+    sizes = [r["count"] for r in made.groupBy("_part").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 1000
