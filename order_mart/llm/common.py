@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import scratch_path
@@ -34,6 +34,15 @@ def in_remainder(column: str, modulus: int, remainder: int):
     return F.pmod(F.crc32(text.cast("binary")), F.lit(modulus)) == F.lit(remainder)
 
 
+def at_most(rows: DataFrame, kind: str, sample: int) -> DataFrame:
+    """(``kind``, text): of each kind at most ``sample`` distinct texts, those
+    with the smallest hashes.  Copies are one text, aggregated before they
+    move, and a task hands on no more than ``sample`` texts of a kind."""
+    one = rows.groupBy(kind, F.xxhash64("text").alias("_hash")).agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy(kind).orderBy("_hash"))
+    return one.withColumn("_place", place).filter(F.col("_place") <= sample).select(kind, "text")
+
+
 def record_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)],

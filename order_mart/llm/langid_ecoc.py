@@ -19,17 +19,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ngrams
-from .common import in_remainder, raw_bytes, read_table, slices
+from .common import at_most, in_remainder, raw_bytes, read_table, slices
 
 UNDETERMINED = "und"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` bounds the training texts of a language (picked by hash);
+    """``sample`` bounds the training texts of a language (distinct, picked by
+    hash), ``languages`` the number of languages (the most frequent ones);
     ``lead`` is the least difference of two languages' scores."""
 
     sample: int = 500
+    languages: int = 64
     widths: tuple[int, ...] = (1, 2, 3)
     bits: int = 12
     steps: int = 80
@@ -128,15 +130,20 @@ def _fit_task(settings: Settings):
 
 
 def train(labelled: DataFrame, settings: Settings = Settings()) -> dict[str, np.ndarray]:
-    """Fit on at most about ``settings.sample`` texts of each language in
-    ``labelled`` (lang, text, and doc_id to pick by); null languages and null
-    texts teach nothing."""
-    rows = labelled.select("doc_id", "lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    """Fit on at most ``settings.sample`` distinct texts of each language in
+    ``labelled`` (lang, text), those with the smallest hashes, of the
+    ``settings.languages`` most frequent languages; null languages and null
+    texts teach nothing.  So what one task fits is bounded by the settings,
+    whatever ids, copies and languages the table has."""
+    rows = labelled.select("lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL")
+    often = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.languages)
+    sizes = {r["lang"]: r["count"] for r in often.collect()}
     if not sizes:
         return fit([], [], settings)
-    share = F.coalesce(F.element_at(F.create_map(*[F.lit(v) for lang, n in sizes.items() for v in (lang, min(1.0, settings.sample / n))]), F.col("lang")), F.lit(0.0))
-    picked = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)).select("lang", "text")
+    # about twice the sample by hash first, so that few texts move
+    share = F.element_at(F.create_map(*[F.lit(v) for lang, n in sizes.items() for v in (lang, min(1.0, 2 * settings.sample / n))]), F.col("lang"))
+    some = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.coalesce(share, F.lit(0.0)) * (1 << 20))
+    picked = at_most(some, "lang", settings.sample)
     model = picked.repartition(1).mapInArrow(_fit_task(settings), "model binary").first()
     return dict(np.load(io.BytesIO(model[0]))) if model else fit([], [], settings)
 
@@ -166,9 +173,10 @@ def identify_languages(docs: DataFrame, model: dict[str, np.ndarray], held_out:
     """doc_id, held_out, lang_pred, score, ambiguous for every row of ``docs``.
 
     Only the text decides.  A null text, a text without letters, or a model
-    that learned no language gives ``und`` with score 0, ambiguous.  Repeated
-    rows give repeated results, an empty table an empty one; further columns
-    are ignored.
+    that learned no language gives ``und`` with score 0, ambiguous.  Of tied
+    languages the first by name wins, ambiguous.  Very long texts are scored
+    whole, one at a time.  Repeated rows give repeated results, an empty table
+    an empty one; further columns are ignored.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ngrams
-from .common import in_remainder, raw_bytes, read_table, slices
+from .common import at_most, in_remainder, raw_bytes, read_table, slices
 
 
 @dataclass(frozen=True)
@@ -106,10 +106,10 @@ def _fit_task(settings: Settings):
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> dict[str, np.ndarray]:
-    """Fit on at most about ``settings.sample`` texts of each class: ``labels``
+    """Fit on at most ``settings.sample`` distinct texts of each class: ``labels``
     (doc_id, toxic) joined to ``docs`` (doc_id, text).  A document labelled
     more than once counts as toxic if any label says so; null labels and null
-    texts teach nothing."""
+    texts teach nothing, and copies of a text or of a document teach once."""
     marks = (labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id")
              .agg((F.max("toxic") > 0).cast("int").alias("toxic")))
     sizes = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
@@ -117,7 +117,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     picked = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
     texts = docs.select("doc_id", "text").filter("text IS NOT NULL")
     few = F.broadcast(picked)                                    # at most about two samples of ids
-    model = texts.join(few, "doc_id").select("toxic", "text").repartition(1).mapInArrow(_fit_task(settings), "model binary").first()
+    picked = at_most(texts.join(few, "doc_id"), "toxic", settings.sample)
+    model = picked.repartition(1).mapInArrow(_fit_task(settings), "model binary").first()
     return dict(np.load(io.BytesIO(model[0]))) if model else fit([], [], settings)
 
 
@@ -136,7 +137,7 @@ def score_toxicity(docs: DataFrame, model: dict[str, np.ndarray], held_out: Colu
     """doc_id, held_out, score, predicted for every row of ``docs``.
 
     Only the text decides; a null or empty text gets the score of the bias
-    alone.  Repeated rows give repeated results, an empty table an empty one;
+    alone.  Very long texts are scored whole.  Repeated rows give repeated results, an empty table an empty one;
     further columns are ignored.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -271,3 +271,63 @@ def test_remainders_are_crc32(spark):
 
     got = spark.range(50).select("id", in_remainder("id", 4, 2).alias("is")).collect()
     assert all(r["is"] == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in got)
+
+
+def test_samples_are_bounds_whatever_ids_and_copies(spark):
+    from order_mart.llm.common import at_most
+
+    texts = spark.range(5000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 400).alias("text"),
+                                     F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("l"), F.col("id") % 7)).alias("lang"))
+    picked = at_most(texts, "lang", 50).groupBy("lang").agg(F.count("*").alias("n"), F.count_distinct("text").alias("d")).collect()
+    assert {r.lang: (r.n, r.d) for r in picked} == {lang: (50, 50) for lang in ("hot", *(f"l{k}" for k in range(7)))}
+    model = langid_ecoc.train(texts, langid_ecoc.Settings(sample=20, languages=3, steps=2))
+    assert len(model["names"]) == 3 and "hot" in model["names"]
+    labels = spark.range(5000).select(F.lit(1).cast("long").alias("doc_id"), (F.col("id") % 2).alias("toxic"))
+    docs = texts.withColumn("doc_id", F.lit(1).cast("long"))
+    assert toxicity_nbsvm.train(docs, labels, toxicity_nbsvm.Settings(sample=30))["weights"].shape
+
+
+URL_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS u FROM pages),
+r AS (SELECT page_id, CASE WHEN strpos(u, '://') > 0 THEN substr(u, strpos(u, '://') + 3) ELSE '' END AS rest FROM p),
+s AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+rules(rule, domain, start, verdict) AS (VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+  ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
+f AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+      FROM s JOIN rules ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, start) GROUP BY page_id)
+SELECT page_id, host, path, rule, f.verdict FROM s LEFT JOIN f USING (page_id)
+"""
+
+
+def test_url_rules_equal_sql(spark):
+    con = duckdb.connect()
+    view(con, "pages")
+    want = {r[0]: r[1:] for r in con.execute(URL_SQL).fetchall()}
+    got = QUERIES["op9_url_filter"](spark, SF0001).collect()
+    assert len(got) == len(want)
+    for r in got:
+        host, path, rule, verdict = want[r.page_id]
+        assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict in ((verdict,) if rule else ("allow", "block"))
+
+
+QUALITY_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+g AS (SELECT doc_id, k, [ws[k], ws[k + 1], ws[k + 2]] AS g FROM w, range(1, len(ws) - 1) AS x(k)),
+t AS (SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g),
+c AS (SELECT doc_id, count(DISTINCT k + j) AS n FROM t, range(0, 3) AS y(j) WHERE n > 1 GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+m AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id)
+SELECT doc_id, len(ws), length(array_to_string(ws, '')), length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')), coalesce(m.n, 0), coalesce(c.n, 0),
+       len(ws) < 50 OR 100 * coalesce(c.n, 0) > 50 * len(ws)
+FROM w LEFT JOIN m USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+
+def test_quality_base_columns_equal_sql(spark):
+    con = duckdb.connect()
+    view(con, "documents")
+    want = con.execute(QUALITY_SQL).fetchall()
+    got = QUERIES["op8_quality_bands"](spark, SF0001).select("doc_id", *BASE, "base_failed").collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter(want)
