@@ -188,7 +188,8 @@ def encode_documents(docs: DataFrame, emit=Tokens, path: str | None = None, bloc
 
     A null or empty text has no ids and decodes to the empty string.  Repeated
     rows give repeated results, an empty table an empty result, and further
-    columns are ignored.
+    columns are ignored.  A block holds one text at least, so a very long text
+    is a block of its own.
     """
     path = path or default_path()
     rows = docs.select("doc_id", "text")

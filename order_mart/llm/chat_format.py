@@ -79,7 +79,9 @@ def format_chats(turns: DataFrame, template: Template = Template()) -> DataFrame
     first.  A null text or role counts as empty, a null conv_id is a
     conversation of its own.  Conversations whose order the state machine
     rejects are formatted too, with ``valid`` false.  An empty table gives an
-    empty result.  Further columns of ``turns`` are ignored.
+    empty result.  Further columns of ``turns`` are ignored.  A conversation
+    is one row, so very long ones, and all turns without a conv_id together,
+    have to fit into a task.
     """
     text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
     lone = turns.select("conv_id", F.struct("turn", role.alias("role"), text.alias("text")).alias("_t"))

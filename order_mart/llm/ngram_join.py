@@ -543,8 +543,9 @@ def jaccard_classes(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int =
     component_id is the least doc_id that links reach (null ids do not count
     unless a component has no other).  A row without words has no shingles
     and is linked with nothing, not even its like: its component is itself.
-    Repeated rows belong to one class.  An empty table gives an empty result;
-    further columns are ignored.
+    Repeated rows belong to one class.  A very long text is one set, in one
+    task.  An empty table gives an empty result; further columns are ignored.
+    A shingle's list of entries is held by one task.
     """
     rows, sets, counts = _classes(docs, width)
     component = _components(sets, counts, width, percent)

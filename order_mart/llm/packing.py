@@ -184,8 +184,8 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAP
                    remember: bool = True) -> DataFrame:
     """Pieces of every document with their sequence and place in it: doc_id,
     piece, start, length, ids_crc32, sequence_id, offset.  Repeated rows are
-    packed each; an empty table gives an empty result; further columns of
-    ``docs`` are ignored."""
+    packed each; a very long text is cut into many pieces by one task; an empty
+    table gives an empty result; further columns of ``docs`` are ignored."""
     return pack(token_pieces(docs, path, capacity, remember), capacity, partition_pieces)
 
 

@@ -151,7 +151,8 @@ def quality_bands(docs: DataFrame, bands: Bands = Bands(), with_text: bool = Tru
     A null text has no words and fails the base rules; the order and number of
     rows stay as they are, repeated rows included.  Columns of ``docs`` that
     bear a result's name are replaced.  ``with_text=False`` leaves out the
-    text.
+    text.  Very long texts are judged whole, one at a time.  An empty table
+    gives an empty result.
     """
     columns = [c for c in docs.columns if c not in FIGURES.names]
     out = [c for c in columns if with_text or c != "text"]

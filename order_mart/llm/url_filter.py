@@ -133,8 +133,9 @@ def filter_urls(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None
     ``labelled`` (url, block 0/1) trains the trees; without it the URLs that
     ``rules`` decide do.  With fewer than two classes to learn from, the score
     is the overall block rate.  A null URL has empty host and path and is
-    judged by the method.  An empty table gives an empty result; repeated rows
-    stay; further columns are ignored.
+    judged by the method.  Rules of equal length: the last one listed wins.
+    An empty table gives an empty result; repeated rows stay; very long URLs
+    are judged whole; further columns are ignored.
     """
     host, path = split_url(F.col("url"))
     base = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
