@@ -39,6 +39,8 @@ COUNT_BITS = 16
 LEAST_BITS, MOST_BITS = 512, 8192
 #: List entries and bytes of parity maps that one step of a list task holds, whole lists.
 LIST_ROWS, LIST_BYTES, LIST_STEP = 100_000, 16 << 20, 4096
+#: Lists up to so many entries are searched for entries without a partner before maps are attached.
+SMALL_LIST = 256
 #: Prefix places whose lists find the leaders; all places are searched after that.
 LEADER_PLACES = 6
 #: A cluster that one task joins has at most so many sets and compressed bytes of text.
@@ -243,22 +245,50 @@ class _Forest:
         return x != y
 
 
-def _shared_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries of tokens that more than one set has; rows come sorted by token."""
-    last, alone = None, True                                     # the row before, and whether its token was new
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch] if last is None else [last, batch])
-        batch = table.combine_chunks().to_batches()[0]
-        token = batch.column(0).to_numpy()
-        after = np.concatenate((token[1:] == token[:-1], [False]))
-        before = np.concatenate(([not alone], after[:-1]))
-        keep = (after | before)[:-1]                             # the last row waits for the next batch
-        yield batch.slice(0, len(keep)).filter(pa.array(keep))
-        last, alone = batch.slice(len(keep)), not bool(before[-1])
-    if last is not None and not alone:
-        yield last
+def _partnered(place: np.ndarray, first: np.ndarray, last: np.ndarray, percent: int) -> np.ndarray:
+    """Whether an entry's list holds another that sizes and positions allow.
+    Lists of more than ``SMALL_LIST`` entries are kept whole."""
+    size, rest = place >> 24, (place >> 24) - (place & ((1 << 24) - 1))
+    keep = np.zeros(len(place), bool)
+    two = first[last - first == 2]
+    fits = np.minimum(rest[two], rest[two + 1]) >= need(size[two], size[two + 1], percent)
+    keep[two[fits]] = keep[two[fits] + 1] = True
+    some = last - first > 2
+    for a, b in zip(first[some].tolist(), last[some].tolist(), strict=True):
+        if b - a > SMALL_LIST:
+            keep[a:b] = True
+        else:
+            may = np.minimum.outer(rest[a:b], rest[a:b]) >= need(size[a:b, None], size[None, a:b], percent)
+            np.fill_diagonal(may, False)
+            keep[a:b] = may.any(axis=1)
+    return keep
+
+
+def _shared_task(percent: int):
+    """Entries that may meet a partner in their list; rows come sorted by
+    token.  A list that spans batches is held until it ends."""
+    def emit(held: list[pa.RecordBatch], end: bool):
+        table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        token, place = table.column(0).to_numpy(), table.column(2).to_numpy()
+        first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+        last = np.concatenate((first[1:], [len(token)]))
+        if not end:                                               # the last list may go on
+            rest = int(first[-1])
+            first, last = first[:-1], last[:-1]
+            return table.slice(0, rest).filter(pa.array(_partnered(place[:rest], first, last, percent))), [table.slice(rest)]
+        return table.filter(pa.array(_partnered(place, first, last, percent))), []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                if batch.column(0)[batch.num_rows - 1] != held[0].column(0)[0]:
+                    out, held = emit(held, False)
+                    yield out
+        if held:
+            yield emit(held, True)[0]
+    return run
 
 
 class _Maps:
@@ -486,7 +516,7 @@ def _components(sets: DataFrame, counts: np.ndarray, width: int, percent: int) -
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     index = sets.select("sid", "text").mapInArrow(_prefix_task(width, percent, counts), "token long, sid long, place long")
     lists = index.repartition(parts, "token").sortWithinPartitions("token")
-    entries = stage(lists.mapInArrow(_shared_task, "token long, sid long, place long"), "join-lists")
+    entries = stage(lists.mapInArrow(_shared_task(percent), "token long, sid long, place long"), "join-lists")
 
     leading = entries.filter(F.col("place") % (1 << 24) < LEADER_PLACES).withColumn("component", F.col("sid"))
     near = stage(_candidates(leading, sets, percent, parts, every_pair=False), "join-near")

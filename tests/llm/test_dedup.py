@@ -117,14 +117,22 @@ def test_maps_never_show_more_than_the_difference():
             assert apart == int(np.bitwise_count(np.frombuffer(folded, np.uint8) ^ np.frombuffer(made[i], np.uint8)).sum())
 
 
-@pytest.mark.parametrize("cuts", [[7], [1, 2, 3, 4], [3, 5]])
-def test_shared_tokens_over_batches(cuts):
+@pytest.mark.parametrize("small", [256, 5])
+@pytest.mark.parametrize("cuts", [[7], [1, 2, 3, 4], [3, 5], list(range(10, 300, 10))])
+def test_entries_without_a_partner_go(monkeypatch, cuts, small):
     import pyarrow as pa
-    token = np.array([1, 2, 2, 3, 4, 4, 4, 5])
-    batch = pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.arange(8)), pa.array(np.arange(8))], names=["token", "sid", "place"])
-    parts = [batch.slice(a, b - a) for a, b in zip([0, *cuts], [*cuts, 8], strict=True)]
-    got = [x for b in ngram_join._shared_task(iter([batch.slice(0, 0), *parts])) for x in b.column(1).to_pylist()]
-    assert got == [1, 2, 4, 5, 6]
+    monkeypatch.setattr(ngram_join, "SMALL_LIST", small)
+    rng = np.random.default_rng(13)
+    token = np.sort(np.concatenate((rng.integers(0, 100, 270), np.full(30, 50))))
+    size = rng.integers(1, 40, 300)
+    place = (size << 24) + (rng.random(300) * size).astype(np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.arange(300)), pa.array(place)], names=["token", "sid", "place"])
+    parts = [batch.slice(a, b - a) for a, b in zip([0, *cuts], [*cuts, 300], strict=True)]
+    got = [x for b in ngram_join._shared_task(85)(iter([batch.slice(0, 0), *parts])) for x in b.column(1).to_pylist()]
+    rest = size - (place & ((1 << 24) - 1))
+    meets = lambda i, j: token[i] == token[j] and i != j and min(rest[i], rest[j]) >= ngram_join.need(size[i], size[j], 85)
+    want = [i for i in range(300) if (token == token[i]).sum() > small or any(meets(i, j) for j in range(300))]
+    assert got == want
 
 
 @pytest.mark.parametrize("cluster", [ngram_join.CLUSTER_SETS, 2])
