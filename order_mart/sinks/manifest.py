@@ -22,6 +22,7 @@ from __future__ import annotations
 import os
 import uuid
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -113,8 +114,8 @@ class VersionedStore:
 
     def stage(self, table: str, df: DataFrame, part: str | None = None, sort: tuple[str, ...] = ()) -> dict[str, str]:
         """Write ``df`` into new segments, one for each value of the column
-        ``part``; (part -> path).  The rows of a part are split over tasks
-        where they are many.  ``sort`` orders the rows within files, for
+        ``part`` (rows without one: ``__HIVE_DEFAULT_PARTITION__``); (part ->
+        path).  The rows of a part are split over tasks where they are many.  ``sort`` orders the rows within files, for
         row-group statistics.  Nothing is visible before the commit."""
         columns = [f.name for f in self.tables[table].fields]
         check_fits(table, df.select(*[c for c in df.columns if c != part or part in columns]).schema, self.tables[table])
@@ -125,12 +126,17 @@ class VersionedStore:
             return {WHOLE: folder}
         out = df.select(*columns, F.col(part).alias("_part")).hint("rebalance", F.col("_part"))
         out.sortWithinPartitions("_part", *sort).write.partitionBy("_part").parquet(folder)
-        kind = df.schema[part].dataType
-        with_part = T.StructType([*_nullable(self.tables[table]).fields, T.StructField("_part", kind)])
-        values = self.spark.read.schema(with_part).parquet(folder).select("_part").distinct().limit(MAX_PARTS + 1).collect()
-        if len(values) > MAX_PARTS:
+        found = self._folders(folder)
+        if len(found) > MAX_PARTS:
             raise StoreError(f"{table}: more than {MAX_PARTS} parts; choose wider ones")
-        return {str(v): os.path.join(folder, f"_part={v}") for (v,) in values}
+        return {unquote(name.removeprefix("_part=")): os.path.join(folder, name) for name in found}
+
+    def _folders(self, path: str) -> list[str]:
+        """Names of the part folders in ``path``, by one listing."""
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return [s.getPath().getName() for s in files.listStatus(folder) if s.getPath().getName().startswith("_part=")]
 
     def commit(self, base: Snapshot, batch: str, staged: dict[str, dict[str, str]],
                touched: dict[str, list[str]] | None = None) -> Snapshot:
