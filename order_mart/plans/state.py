@@ -61,13 +61,14 @@ def open_state(spark: SparkSession, database: str) -> VersionedStore:
     return open_store(spark, database, {**schemas.TARGETS, **STATE_TABLES, **{n: ops.key_rows_schema(k[1]) for n, k in KEY_ROWS.items()}})
 
 
-def touched_ranges(orders: DataFrame, base: Snapshot) -> list[str]:
-    """Ranges of the batch's orders; their number is checked."""
+def touched_ranges(orders: DataFrame, base: Snapshot, table: str = "order_state") -> list[str]:
+    """Ranges of the batch's orders; their number is checked, and that
+    ``table`` is split into ranges of the same width."""
     found = [r[0] for r in orders.select("_range").distinct().limit(MAX_PARTS + 1).collect()]
     if len(found) > MAX_PARTS:
         raise StoreError(f"the batch touches more than {MAX_PARTS} ranges; choose wider ones")
     width = found[0].split("x")[0] if found else None
-    if any(p.split("x")[0] != width for p in base.parts("order_state")) and width:
+    if any(p.split("x")[0] != width for p in base.parts(table)) and width:
         raise StoreError(f"the store's ranges are not {width} keys wide")
     return found
 

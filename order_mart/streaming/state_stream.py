@@ -62,7 +62,7 @@ def publish_states(store: VersionedStore, changed: DataFrame, customer_master: D
     base = store.snapshot()
     if batch_id in base.batches:
         return False
-    ranges = touched_ranges(changed.withColumn("_range", order_range(width)), _as_state(base))
+    ranges = touched_ranges(changed.withColumn("_range", order_range(width)), base, FACT)
     kept = base.table(FACT, ranges).join(changed.select("orderid"), "orderid", "left_anti").select(*schemas.FACT_DAILY_ORDERS.names)
     fact = kept.unionByName(ops.fact_of_states(changed, customer_master))
     staged = store.stage(FACT, fact.withColumn("_range", order_range(width)), "_range", ("orderid",))
@@ -70,12 +70,6 @@ def publish_states(store: VersionedStore, changed: DataFrame, customer_master: D
     return True
 
 
-def _as_state(base):
-    """The fact's parts stand for the state's in the check of their width."""
-    from dataclasses import replace
-    return replace(base, segments=[replace(s, table="order_state") for s in base.segments])
-
-
 def start_state_stream(spark: SparkSession, status_path: str, items_path: str, load_masters: Callable[[], dict[str, DataFrame]],
                        database: str, checkpoint_location: str, name: str = "fact", available_now: bool = True,
                        width: int = RANGE_WIDTH, max_files: int | None = None,
