@@ -2,10 +2,10 @@
 
 Documents are cut into blocks; every block lists its distinct words, dealt
 into buckets by word hash.  The bucket tasks form the distinct-word table and
-encode each distinct word once, however many blocks hold it, and answer each
-block with its words' ids.  Blocks then join the ids back by the words'
-positions.  Decoding is a join of ids with the id-to-piece table, which the
-vocabulary file bounds.
+encode each distinct word once, however many blocks hold it.  Its ids are
+decoded there, once a distinct word, through a join with the id-to-piece table,
+which the vocabulary file bounds.  The buckets answer each block with its
+words' ids and pieces, and blocks join both back by the words' positions.
 
 Word lists and texts travel as zstandard frames, so the shuffles carry a
 fraction of the text.  The plan of ``docs`` has to be deterministic (a table
@@ -17,11 +17,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import raw_bytes, read_table, slices
@@ -90,24 +90,53 @@ def _word_lists(buckets: int, block_bytes: int):
     return run
 
 
-def _encode_lists(path: str):
-    """Answer word lists with ids; a word is encoded the first time its bucket's task meets it."""
+def _distinct_words(path: str):
+    """Rows (bucket, key, _pos, id, word) of a partition sorted by bucket: the
+    ids of each distinct word, encoded when first met, the word itself at the
+    first of them.  ``key`` is the word's 128-bit digest; rows do not repeat a
+    word, so that a very long one is held once.  The words met are forgotten
+    after a bucket."""
     def run(batches):
-        encode, table = encoder(path).encode, {}
+        import xxhash
+
+        encode, met, current = encoder(path).encode, set(), None
         for batch in batches:
-            answers = []
-            for frame in batch.column(2).to_pylist():
-                words = _unpack(frame).split(b"\n")
-                new = [w for w in words if w not in table]
-                table.update(zip(new, encode(new), strict=True))
-                ids = [table[w] for w in words]
-                counts = np.fromiter(map(len, ids), np.uint32, len(ids)).tobytes()
-                answers.append(_pack(counts + b"".join(ids)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(answers, pa.binary())],
-                                             names=["block", "bucket", "ids"])
+            for bucket, frame in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if bucket != current:
+                    met, current = set(), bucket
+                new = [w for w in _unpack(frame).split(b"\n") if w not in met]
+                if not new:
+                    continue
+                met.update(new)
+                ids = encode(new)
+                # a word without an id has one row without an id
+                sizes = np.fromiter((max(1, len(i) // 4) for i in ids), np.int64, len(ids))
+                firsts = np.cumsum(sizes) - sizes
+                at = np.repeat(np.arange(len(new)), sizes)
+                id_column = pa.array(np.frombuffer(b"".join([i or b"\xff\xff\xff\xff" for i in ids]), np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), bucket, np.int32)), pa.array([xxhash.xxh3_128_digest(w) for w in new], pa.binary()).take(pa.array(at)),
+                     pa.array((np.arange(len(at)) - firsts[at]).astype(np.int32)), pc.if_else(pc.less(id_column, 0), None, id_column),
+                     pa.array(new, pa.binary()).take(pa.array(np.where(np.arange(len(at)) == firsts[at], at, -1), mask=np.arange(len(at)) != firsts[at]))],
+                    names=["bucket", "key", "_pos", "id", "word"])
     return run
 
 
+def _answer(lists: pa.Table, known: pa.Table) -> pa.Table:
+    """Answer a bucket's word lists, each with its words' ids and decoded texts."""
+    at = {w: k for k, w in enumerate(known.column("word").to_pylist())}
+    ids = [np.asarray(i, np.uint32).tobytes() for i in known.column("ids").to_pylist()]
+    said = [s.encode() for s in known.column("decoded").to_pylist()]
+    answers = []
+    for frame in lists.column("words").to_pylist():
+        rows = [at[w] for w in _unpack(frame).split(b"\n")]
+        counts = np.fromiter((len(ids[k]) for k in rows), np.uint32, len(rows)).tobytes()
+        sizes = np.fromiter((len(said[k]) for k in rows), np.uint32, len(rows)).tobytes()
+        answers.append(_pack(counts + sizes + b"".join([ids[k] for k in rows]) + b"".join([said[k] for k in rows])))
+    return pa.table([lists.column("block").combine_chunks(), lists.column("bucket").combine_chunks(), pa.array(answers, pa.binary())],
+                    names=["block", "bucket", "ids"])
+
+
 def _texts(block_bytes: int):
     def run(batches):
         for block, part, data, offsets in _blocks(batches, block_bytes):
@@ -121,16 +150,11 @@ def _texts(block_bytes: int):
     return run
 
 
-@lru_cache(maxsize=2)
-def _pieces(path: str) -> list[bytes]:
-    return encoder(path).pieces()
-
-
-def _join_back(path: str, emit, buckets: int):
-    """Join a block's texts with its words' ids by position."""
+def _join_back(emit, buckets: int):
+    """Join a block's texts with its words' ids and decoded texts by position."""
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        pieces, out = _pieces(path), []
-        ids_by_bucket = dict(zip(answers.column("bucket").to_pylist(), answers.column("ids").to_pylist(), strict=True))
+        out = []
+        by_bucket = dict(zip(answers.column("bucket").to_pylist(), answers.column("ids").to_pylist(), strict=True))
         for doc_ids, sizes, frame in zip(*(texts.column(c).to_pylist() for c in ("doc_ids", "sizes", "texts")), strict=True):
             doc_ids = pa.ipc.open_stream(doc_ids).read_all().column(0)
             blob, ends = _unpack(frame), np.cumsum(np.frombuffer(sizes, np.int64)).tolist()
@@ -139,12 +163,11 @@ def _join_back(path: str, emit, buckets: int):
             for bucket, words in enumerate(_deal(split, buckets)):
                 if not words:
                     continue
-                ids = _unpack(ids_by_bucket[bucket])
-                start = 4 * len(words)
-                for word, size in zip(words, np.frombuffer(ids, np.uint32, len(words)).tolist(), strict=True):
-                    ids_of[word] = own = ids[start: start + size]
-                    said_of[word] = b" ".join([pieces[i] for i in memoryview(own).cast("I")])
-                    start += size
+                n, answer = len(words), _unpack(by_bucket[bucket])
+                id_ends = (8 * n + np.cumsum(np.frombuffer(answer, np.uint32, n), dtype=np.int64)).tolist()
+                said_ends = (id_ends[-1] + np.cumsum(np.frombuffer(answer, np.uint32, n, 4 * n), dtype=np.int64)).tolist()
+                ids_of.update(zip(words, [answer[a:b] for a, b in zip([8 * n, *id_ends], id_ends, strict=False)], strict=True))
+                said_of.update(zip(words, [answer[a:b] for a, b in zip([id_ends[-1], *said_ends], said_ends, strict=False)], strict=True))
             out.append(emit.table(doc_ids, [emit.row(b"".join([ids_of[w] for w in words]), b" ".join([s for w in words if (s := said_of[w])]))
                                             for words in split]))
         return pa.concat_tables(out) if out else emit.table(pa.array([], pa.int64()), [])
@@ -195,11 +218,14 @@ def encode_documents(docs: DataFrame, emit=Tokens, path: str | None = None, bloc
     rows = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lists = rows.mapInArrow(_word_lists(buckets, block_bytes), _LISTS)
-    answers = lists.repartition(F.col("bucket")).mapInArrow(_encode_lists(path), _IDS)
+    lists = rows.mapInArrow(_word_lists(buckets, block_bytes), _LISTS).repartition(F.col("bucket"))
+    distinct = (lists.select("bucket", "words").sortWithinPartitions("bucket")
+                .mapInArrow(_distinct_words(path), "bucket int, key binary, _pos int, id int, word binary"))
+    known = _said(distinct, ["bucket", "key"], path, F.first("word", ignorenulls=True).alias("word"))
+    answers = lists.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_answer, _IDS)
     texts = rows.mapInArrow(_texts(block_bytes), _TEXTS)
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _join_back(path, emit, buckets), f"doc_id {kind}, {emit.fields}")
+        _join_back(emit, buckets), f"doc_id {kind}, {emit.fields}")
 
 
 def piece_table(spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -208,15 +234,21 @@ def piece_table(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.createDataFrame([(i, p.decode()) for i, p in enumerate(pieces)], "id int, piece string")
 
 
+def _said(long: DataFrame, keys: list[str], path: str | None, *more: Column) -> DataFrame:
+    """(keys, ids, decoded, more) of rows (keys, _pos, id), through a join with the id-to-piece table."""
+    said = long.join(F.broadcast(piece_table(long.sparkSession, path)), "id", "left")
+    grouped = said.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("_pos", "id", "piece")))).alias("_said"), *more)
+    return grouped.select(*[c for c in grouped.columns if c != "_said"], F.col("_said.id").alias("ids"),
+                          F.array_join("_said.piece", " ").alias("decoded"))
+
+
 def decode_ids(rows: DataFrame, key: str, ids: str, path: str | None = None) -> DataFrame:
     """(key, decoded) of an array column of ids, through a join with the
     id-to-piece table; ``key`` identifies a row.  The table is as large as the
     vocabulary, whatever the data; null or empty arrays decode to the empty
     string and unknown ids to nothing."""
-    long = rows.select(F.col(key), F.posexplode_outer(ids).alias("_pos", "id"))
-    said = long.join(F.broadcast(piece_table(rows.sparkSession, path)), "id", "left")
-    return said.groupBy(key).agg(F.array_join(F.transform(
-        F.sort_array(F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("_pos", "piece")))), lambda p: p["piece"]), " ").alias("decoded"))
+    return _said(rows.select(key, F.posexplode_outer(ids).alias("_pos", "id")), [key], path).select(key, "decoded")
 
 
 def op1_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
