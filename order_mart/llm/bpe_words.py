@@ -16,12 +16,12 @@ missing fails.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import raw_bytes, read_table, slices
@@ -90,51 +90,71 @@ def _word_lists(buckets: int, block_bytes: int):
     return run
 
 
-def _distinct_words(path: str):
-    """Rows (bucket, key, _pos, id, word) of a partition sorted by bucket: the
-    ids of each distinct word, encoded when first met, the word itself at the
-    first of them.  ``key`` is the word's 128-bit digest; rows do not repeat a
-    word, so that a very long one is held once.  The words met are forgotten
-    after a bucket."""
-    def run(batches):
-        import xxhash
+#: Rows between encoding and answering, in their partition's order (``_at``):
+#: the ids of each new word, the word itself at the first of them, then the
+#: list that it was met in.
+_STEPS = "_at long, block long, bucket int, words binary, word binary, id int"
+
 
-        encode, met, current = encoder(path).encode, set(), None
+def _encode_words(path: str):
+    """A partition of word lists sorted by bucket, each list behind the ids of
+    its new words.  A distinct word is encoded once, when its bucket first
+    holds it; the words met are forgotten after a bucket."""
+    def run(batches):
+        encode, met, current, at = encoder(path).encode, set(), None, 0
         for batch in batches:
-            for bucket, frame in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for block, bucket, frame in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != current:
                     met, current = set(), bucket
                 new = [w for w in _unpack(frame).split(b"\n") if w not in met]
-                if not new:
-                    continue
                 met.update(new)
-                ids = encode(new)
-                # a word without an id has one row without an id
-                sizes = np.fromiter((max(1, len(i) // 4) for i in ids), np.int64, len(ids))
-                firsts = np.cumsum(sizes) - sizes
-                at = np.repeat(np.arange(len(new)), sizes)
-                id_column = pa.array(np.frombuffer(b"".join([i or b"\xff\xff\xff\xff" for i in ids]), np.int32))
+                ids = [np.frombuffer(i, np.int32) for i in encode(new)] if new else []
+                sizes = np.fromiter((max(1, len(i)) for i in ids), np.int64, len(ids))
+                n = int(sizes.sum())
+                firsts = np.zeros(n + 1, bool)
+                firsts[np.cumsum(sizes) - sizes] = True
+                firsts[n] = False
+                words = np.full(n + 1, None, object)
+                words[firsts] = new
+                flat = np.concatenate([i if len(i) else [-1] for i in ids] + [[-1]]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), bucket, np.int32)), pa.array([xxhash.xxh3_128_digest(w) for w in new], pa.binary()).take(pa.array(at)),
-                     pa.array((np.arange(len(at)) - firsts[at]).astype(np.int32)), pc.if_else(pc.less(id_column, 0), None, id_column),
-                     pa.array(new, pa.binary()).take(pa.array(np.where(np.arange(len(at)) == firsts[at], at, -1), mask=np.arange(len(at)) != firsts[at]))],
-                    names=["bucket", "key", "_pos", "id", "word"])
+                    [pa.array(np.arange(at, at + n + 1)), pa.array(np.full(n + 1, block)), pa.array(np.full(n + 1, bucket, np.int32)),
+                     pa.array([None] * n + [frame], pa.binary()), pa.array(words, pa.binary()), pa.array(flat, mask=flat < 0)],
+                    names=["_at", "block", "bucket", "words", "word", "id"])
+                at += n + 1
     return run
 
 
-def _answer(lists: pa.Table, known: pa.Table) -> pa.Table:
-    """Answer a bucket's word lists, each with its words' ids and decoded texts."""
-    at = {w: k for k, w in enumerate(known.column("word").to_pylist())}
-    ids = [np.asarray(i, np.uint32).tobytes() for i in known.column("ids").to_pylist()]
-    said = [s.encode() for s in known.column("decoded").to_pylist()]
-    answers = []
-    for frame in lists.column("words").to_pylist():
-        rows = [at[w] for w in _unpack(frame).split(b"\n")]
-        counts = np.fromiter((len(ids[k]) for k in rows), np.uint32, len(rows)).tobytes()
-        sizes = np.fromiter((len(said[k]) for k in rows), np.uint32, len(rows)).tobytes()
-        answers.append(_pack(counts + sizes + b"".join([ids[k] for k in rows]) + b"".join([said[k] for k in rows])))
-    return pa.table([lists.column("block").combine_chunks(), lists.column("bucket").combine_chunks(), pa.array(answers, pa.binary())],
-                    names=["block", "bucket", "ids"])
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Answer each word list with its words' ids and decoded texts."""
+    ids_of, said_of, current, after = {}, {}, None, 0
+    word, ids, said = None, [], []
+    for batch in batches:
+        columns = {name: batch.column(name) for name in ("block", "bucket", "words", "word", "id", "piece")}
+        order = batch.column("_at").to_numpy()
+        if len(order) and not (order[0] == after and (np.diff(order) == 1).all()):
+            raise ValueError("the join with the pieces changed the order of rows")
+        after += len(order)
+        out = []
+        for block, bucket, frame, first, i, piece in zip(*(c.to_pylist() for c in columns.values()), strict=True):
+            if first is not None or frame is not None:
+                if word is not None:
+                    ids_of[word], said_of[word] = array("I", ids).tobytes(), " ".join(said).encode()
+                word, ids, said = first, [], []
+            if bucket != current:
+                ids_of, said_of, current = {}, {}, bucket
+            if i is not None:
+                ids.append(i)
+                if piece is not None:
+                    said.append(piece)
+            if frame is not None:
+                words = _unpack(frame).split(b"\n")
+                own, texts = [ids_of[w] for w in words], [said_of[w] for w in words]
+                sizes = [np.fromiter(map(len, cells), np.uint32, len(cells)).tobytes() for cells in (own, texts)]
+                out.append((block, bucket, _pack(b"".join([*sizes, *own, *texts]))))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)],
+                                             names=["block", "bucket", "ids"])
 
 
 def _texts(block_bytes: int):
@@ -218,11 +238,9 @@ def encode_documents(docs: DataFrame, emit=Tokens, path: str | None = None, bloc
     rows = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lists = rows.mapInArrow(_word_lists(buckets, block_bytes), _LISTS).repartition(F.col("bucket"))
-    distinct = (lists.select("bucket", "words").sortWithinPartitions("bucket")
-                .mapInArrow(_distinct_words(path), "bucket int, key binary, _pos int, id int, word binary"))
-    known = _said(distinct, ["bucket", "key"], path, F.first("word", ignorenulls=True).alias("word"))
-    answers = lists.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_answer, _IDS)
+    lists = rows.mapInArrow(_word_lists(buckets, block_bytes), _LISTS)
+    steps = lists.repartition(F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(_encode_words(path), _STEPS)
+    answers = with_pieces(steps, path).mapInArrow(_answer, _IDS)
     texts = rows.mapInArrow(_texts(block_bytes), _TEXTS)
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _join_back(emit, buckets), f"doc_id {kind}, {emit.fields}")
@@ -234,21 +252,20 @@ def piece_table(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.createDataFrame([(i, p.decode()) for i, p in enumerate(pieces)], "id int, piece string")
 
 
-def _said(long: DataFrame, keys: list[str], path: str | None, *more: Column) -> DataFrame:
-    """(keys, ids, decoded, more) of rows (keys, _pos, id), through a join with the id-to-piece table."""
-    said = long.join(F.broadcast(piece_table(long.sparkSession, path)), "id", "left")
-    grouped = said.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("_pos", "id", "piece")))).alias("_said"), *more)
-    return grouped.select(*[c for c in grouped.columns if c != "_said"], F.col("_said.id").alias("ids"),
-                          F.array_join("_said.piece", " ").alias("decoded"))
+def with_pieces(rows: DataFrame, path: str | None = None) -> DataFrame:
+    """``rows`` and the piece of their ``id``, null for unknown and null ids:
+    the id-to-piece join.  The table is as large as the vocabulary, whatever
+    the data, and broadcast, so that rows stay in their place and order."""
+    return rows.join(F.broadcast(piece_table(rows.sparkSession, path)), "id", "left")
 
 
 def decode_ids(rows: DataFrame, key: str, ids: str, path: str | None = None) -> DataFrame:
     """(key, decoded) of an array column of ids, through a join with the
-    id-to-piece table; ``key`` identifies a row.  The table is as large as the
-    vocabulary, whatever the data; null or empty arrays decode to the empty
-    string and unknown ids to nothing."""
-    return _said(rows.select(key, F.posexplode_outer(ids).alias("_pos", "id")), [key], path).select(key, "decoded")
+    id-to-piece table; ``key`` identifies a row.  Null or empty arrays decode
+    to the empty string and unknown ids to nothing."""
+    said = with_pieces(rows.select(key, F.posexplode_outer(ids).alias("_pos", "id")), path)
+    return said.groupBy(key).agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("_pos", "piece")))), lambda p: p["piece"]), " ").alias("decoded"))
 
 
 def op1_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
