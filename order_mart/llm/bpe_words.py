@@ -2,10 +2,10 @@
 
 Documents are cut into blocks; every block lists its distinct words, dealt
 into buckets by word hash.  The bucket tasks form the distinct-word table and
-encode each distinct word once, however many blocks hold it.  Its ids are
-decoded there, once a distinct word, through a join with the id-to-piece table,
-which the vocabulary file bounds.  The buckets answer each block with its
-words' ids and pieces, and blocks join both back by the words' positions.
+encode each distinct word once, however many blocks hold it.  The distinct ids
+of a bucket are joined with the id-to-piece table, which the vocabulary file
+bounds.  Each block is answered with its words' ids and those ids' pieces; it
+joins the ids back by the words' positions and decodes each distinct word once.
 
 Word lists and texts travel as zstandard frames, so the shuffles carry a
 fraction of the text.  The plan of ``docs`` has to be deterministic (a table
@@ -16,7 +16,6 @@ missing fails.
 from __future__ import annotations
 
 import hashlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,72 +90,68 @@ def _word_lists(buckets: int, block_bytes: int):
 
 
 #: Rows between encoding and answering, in their partition's order (``_at``):
-#: the ids of each new word, the word itself at the first of them, then the
-#: list that it was met in.
-_STEPS = "_at long, block long, bucket int, words binary, word binary, id int"
+#: the ids that a list's bucket meets for the first time, then the list's
+#: answer (ids of each word) without pieces.
+_STEPS = "_at long, block long, bucket int, ids binary, id int"
 
 
-def _encode_words(path: str):
-    """A partition of word lists sorted by bucket, each list behind the ids of
-    its new words.  A distinct word is encoded once, when its bucket first
-    holds it; the words met are forgotten after a bucket."""
+def _encode_lists(path: str):
+    """Answer word lists of a partition sorted by bucket.  A distinct word is
+    encoded once, when its bucket first holds it; a bucket's words are
+    forgotten after it."""
     def run(batches):
-        encode, met, current, at = encoder(path).encode, set(), None, 0
+        encode, table, seen, current, at = encoder(path).encode, {}, set(), None, 0
         for batch in batches:
             for block, bucket, frame in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != current:
-                    met, current = set(), bucket
-                new = [w for w in _unpack(frame).split(b"\n") if w not in met]
-                met.update(new)
-                ids = [np.frombuffer(i, np.int32) for i in encode(new)] if new else []
-                sizes = np.fromiter((max(1, len(i)) for i in ids), np.int64, len(ids))
-                n = int(sizes.sum())
-                firsts = np.zeros(n + 1, bool)
-                firsts[np.cumsum(sizes) - sizes] = True
-                firsts[n] = False
-                words = np.full(n + 1, None, object)
-                words[firsts] = new
-                flat = np.concatenate([i if len(i) else [-1] for i in ids] + [[-1]]).astype(np.int32)
+                    table, seen, current = {}, set(), bucket
+                words = _unpack(frame).split(b"\n")
+                new = [w for w in words if w not in table]
+                table.update(zip(new, encode(new), strict=True))
+                own = [table[w] for w in words]
+                counts, ids = np.fromiter(map(len, own), np.uint32, len(own)), b"".join(own)
+                fresh = [i for i in np.unique(np.frombuffer(ids, np.int32)).tolist() if i not in seen]
+                seen.update(fresh)
+                n = len(fresh) + 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(at, at + n + 1)), pa.array(np.full(n + 1, block)), pa.array(np.full(n + 1, bucket, np.int32)),
-                     pa.array([None] * n + [frame], pa.binary()), pa.array(words, pa.binary()), pa.array(flat, mask=flat < 0)],
-                    names=["_at", "block", "bucket", "words", "word", "id"])
-                at += n + 1
+                    [pa.array(np.arange(at, at + n)), pa.array(np.full(n, block)), pa.array(np.full(n, bucket, np.int32)),
+                     pa.array([None] * len(fresh) + [len(own).to_bytes(4, "little") + counts.tobytes() + ids], pa.binary()),
+                     pa.array([*fresh, None], pa.int32())], names=["_at", "block", "bucket", "ids", "id"])
+                at += n
     return run
 
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Answer each word list with its words' ids and decoded texts."""
-    ids_of, said_of, current, after = {}, {}, None, 0
-    word, ids, said = None, [], []
+def _add_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Give each answer the pieces of its distinct ids."""
+    piece_of, current, after = {}, None, 0
     for batch in batches:
-        columns = {name: batch.column(name) for name in ("block", "bucket", "words", "word", "id", "piece")}
         order = batch.column("_at").to_numpy()
         if len(order) and not (order[0] == after and (np.diff(order) == 1).all()):
             raise ValueError("the join with the pieces changed the order of rows")
         after += len(order)
         out = []
-        for block, bucket, frame, first, i, piece in zip(*(c.to_pylist() for c in columns.values()), strict=True):
-            if first is not None or frame is not None:
-                if word is not None:
-                    ids_of[word], said_of[word] = array("I", ids).tobytes(), " ".join(said).encode()
-                word, ids, said = first, [], []
+        for block, bucket, answer, i, piece in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "ids", "id", "piece")), strict=True):
             if bucket != current:
-                ids_of, said_of, current = {}, {}, bucket
+                piece_of, current = {}, bucket
             if i is not None:
-                ids.append(i)
-                if piece is not None:
-                    said.append(piece)
-            if frame is not None:
-                words = _unpack(frame).split(b"\n")
-                own, texts = [ids_of[w] for w in words], [said_of[w] for w in words]
-                sizes = [np.fromiter(map(len, cells), np.uint32, len(cells)).tobytes() for cells in (own, texts)]
-                out.append((block, bucket, _pack(b"".join([*sizes, *own, *texts]))))
+                piece_of[i] = (piece or "").encode()
+            if answer is None:
+                continue
+            words = int.from_bytes(answer[:4], "little")
+            own = np.unique(np.frombuffer(answer, np.uint32, offset=4 + 4 * words))
+            pieces = [piece_of[k] for k in own.tolist()]
+            sizes = np.fromiter(map(len, pieces), np.uint32, len(pieces))
+            out.append((block, bucket, _pack(b"".join([len(own).to_bytes(4, "little"), own.tobytes(), sizes.tobytes(), *pieces, answer[4:]]))))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)],
                                              names=["block", "bucket", "ids"])
 
 
+def _slices(data: bytes, start: int, sizes: np.ndarray) -> list[bytes]:
+    ends = (start + np.cumsum(sizes, dtype=np.int64)).tolist()
+    return [data[a:b] for a, b in zip([start, *ends], ends, strict=False)]
+
+
 def _texts(block_bytes: int):
     def run(batches):
         for block, part, data, offsets in _blocks(batches, block_bytes):
@@ -171,7 +166,7 @@ def _texts(block_bytes: int):
 
 
 def _join_back(emit, buckets: int):
-    """Join a block's texts with its words' ids and decoded texts by position."""
+    """Join a block's texts with its words' ids by position."""
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
         by_bucket = dict(zip(answers.column("bucket").to_pylist(), answers.column("ids").to_pylist(), strict=True))
@@ -183,11 +178,15 @@ def _join_back(emit, buckets: int):
             for bucket, words in enumerate(_deal(split, buckets)):
                 if not words:
                     continue
-                n, answer = len(words), _unpack(by_bucket[bucket])
-                id_ends = (8 * n + np.cumsum(np.frombuffer(answer, np.uint32, n), dtype=np.int64)).tolist()
-                said_ends = (id_ends[-1] + np.cumsum(np.frombuffer(answer, np.uint32, n, 4 * n), dtype=np.int64)).tolist()
-                ids_of.update(zip(words, [answer[a:b] for a, b in zip([8 * n, *id_ends], id_ends, strict=False)], strict=True))
-                said_of.update(zip(words, [answer[a:b] for a, b in zip([id_ends[-1], *said_ends], said_ends, strict=False)], strict=True))
+                answer = _unpack(by_bucket[bucket])
+                n = int.from_bytes(answer[:4], "little")
+                lengths = np.frombuffer(answer, np.uint32, n, 4 + 4 * n)
+                pieces = dict(zip(np.frombuffer(answer, np.uint32, n, 4).tolist(), _slices(answer, 4 + 8 * n, lengths), strict=True))
+                start = 4 + 8 * n + int(lengths.sum())
+                counts = np.frombuffer(answer, np.uint32, len(words), start)
+                for word, own in zip(words, _slices(answer, start + 4 * len(words), counts), strict=True):
+                    ids_of[word] = own
+                    said_of[word] = b" ".join([pieces[i] for i in memoryview(own).cast("I")])
             out.append(emit.table(doc_ids, [emit.row(b"".join([ids_of[w] for w in words]), b" ".join([s for w in words if (s := said_of[w])]))
                                             for words in split]))
         return pa.concat_tables(out) if out else emit.table(pa.array([], pa.int64()), [])
@@ -239,8 +238,8 @@ def encode_documents(docs: DataFrame, emit=Tokens, path: str | None = None, bloc
     kind = docs.schema["doc_id"].dataType.simpleString()
     buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lists = rows.mapInArrow(_word_lists(buckets, block_bytes), _LISTS)
-    steps = lists.repartition(F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(_encode_words(path), _STEPS)
-    answers = with_pieces(steps, path).mapInArrow(_answer, _IDS)
+    steps = lists.repartition(F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(_encode_lists(path), _STEPS)
+    answers = with_pieces(steps, path).mapInArrow(_add_pieces, _IDS)
     texts = rows.mapInArrow(_texts(block_bytes), _TEXTS)
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _join_back(emit, buckets), f"doc_id {kind}, {emit.fields}")
