@@ -3,7 +3,7 @@
 Documents are cut into blocks; every block lists its distinct words, dealt
 into buckets by word hash.  The bucket tasks form the distinct-word table and
 encode each distinct word once, however many blocks hold it.  The distinct ids
-of a bucket are joined with the id-to-piece table, which the vocabulary file
+of a task are joined with the id-to-piece table, which the vocabulary file
 bounds.  Each block is answered with its words' ids and those ids' pieces; it
 joins the ids back by the words' positions and decodes each distinct word once.
 
@@ -90,8 +90,8 @@ def _word_lists(buckets: int, block_bytes: int):
 
 
 #: Rows between encoding and answering, in their partition's order (``_at``):
-#: the ids that a list's bucket meets for the first time, then the list's
-#: answer (ids of each word) without pieces.
+#: the ids that the partition meets for the first time (at most the
+#: vocabulary), then the list's answer (ids of each word) without pieces.
 _STEPS = "_at long, block long, bucket int, ids binary, id int"
 
 
@@ -104,7 +104,7 @@ def _encode_lists(path: str):
         for batch in batches:
             for block, bucket, frame in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != current:
-                    table, seen, current = {}, set(), bucket
+                    table, current = {}, bucket
                 words = _unpack(frame).split(b"\n")
                 new = [w for w in words if w not in table]
                 table.update(zip(new, encode(new), strict=True))
@@ -123,7 +123,7 @@ def _encode_lists(path: str):
 
 def _add_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Give each answer the pieces of its distinct ids."""
-    piece_of, current, after = {}, None, 0
+    piece_of, after = {}, 0
     for batch in batches:
         order = batch.column("_at").to_numpy()
         if len(order) and not (order[0] == after and (np.diff(order) == 1).all()):
@@ -131,8 +131,6 @@ def _add_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         after += len(order)
         out = []
         for block, bucket, answer, i, piece in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "ids", "id", "piece")), strict=True):
-            if bucket != current:
-                piece_of, current = {}, bucket
             if i is not None:
                 piece_of[i] = (piece or "").encode()
             if answer is None:
