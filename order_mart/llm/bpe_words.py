@@ -98,9 +98,10 @@ _STEPS = "_at long, block long, bucket int, ids binary, id int"
 def _encode_lists(path: str):
     """Answer word lists of a partition sorted by bucket.  A distinct word is
     encoded once, when its bucket first holds it; a bucket's words are
-    forgotten after it."""
+    forgotten after it, the encoder's memory after the task."""
     def run(batches):
-        encode, table, seen, current, at = encoder(path).encode, {}, set(), None, 0
+        words_of = encoder(path)
+        encode, table, seen, current, at = words_of.encode, {}, set(), None, 0
         for batch in batches:
             for block, bucket, frame in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != current:
@@ -118,6 +119,7 @@ def _encode_lists(path: str):
                      pa.array([None] * len(fresh) + [len(own).to_bytes(4, "little") + counts.tobytes() + ids], pa.binary()),
                      pa.array([*fresh, None], pa.int32())], names=["_at", "block", "bucket", "ids", "id"])
                 at += n
+        words_of.forget()
     return run
 
 
