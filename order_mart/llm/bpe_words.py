@@ -28,8 +28,9 @@ from .tokens import default_path, encoder
 
 #: Text bytes of a block: bounds the memory of a task.
 BLOCK_BYTES = 8 << 20
-#: Buckets for each shuffle partition, so that partitions get even shares.
-BUCKETS_PER_PARTITION = 4
+#: Buckets for each shuffle partition.  A block sends a frame for each bucket
+#: that it has words in, so more of them would mean more and smaller frames.
+BUCKETS_PER_PARTITION = 1
 
 _LISTS = "block long, bucket int, words binary"
 _IDS = "block long, bucket int, ids binary"
