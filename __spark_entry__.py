@@ -506,7 +506,8 @@ FROM batch
 # Queries whose oracle is another query's SQL (same result by definition).
 _SAME_AS = {"refresh_fact": "fact_daily_orders", "refresh_fact_by_state": "fact_daily_orders",
             "apply_batches": "fact_daily_orders", "fact_from_buckets": "fact_daily_orders", "merge_order_state": "order_state",
-            "refresh_lines_by_state": "f_order_details"}
+            "refresh_lines_by_state": "f_order_details", "incremental_items_clustered": "incremental_items",
+            "refresh_fact_clustered": "fact_daily_orders"}
 
 
 # The sources with planted faults (order_mart.sources.binding.faulty_sources):

@@ -383,6 +383,29 @@ def _refresh_fact(src):
     return incremental.refresh_fact(previous, src, inc)
 
 
+@query("incremental_items_clustered")
+def _incremental_items_clustered(src):
+    """The increment's item lines, read through the zone map of item lines
+    that are clustered by order."""
+    from ..config import scratch_path
+    from ..sinks.clustered import read_keys, write_clustered
+    spark, path = src["order_items"].sparkSession, scratch_path(src["order_items"].sparkSession, "clustered-items")
+    write_clustered(src["order_items"], path, "orderid", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    inc = incremental.incremental_status(src["order_details"], CUTOFF)
+    return read_keys(spark, path, "orderid", incremental.affected_orders(inc))
+
+
+@query("refresh_fact_clustered")
+def _refresh_fact_clustered(src):
+    """Fact of the history before the cutoff, refreshed with the increment's
+    orders as read through zone maps; equals the full rebuild."""
+    from .clustered import cluster_sources, refresh_fact_clustered
+    spark, od = src["order_details"].sparkSession, src["order_details"]
+    previous = facts.fact_daily_orders(dict(src, order_details=od.filter(F.col(TS) < ntz_literal(CUTOFF))))
+    inc = incremental.incremental_status(od, CUTOFF)
+    return refresh_fact_clustered(spark, previous, src, cluster_sources(spark, src), inc)
+
+
 # --- increments on state ---------------------------------------------------
 def _two_batches(src):
     """All rows of the two large sources, dealt into two batches: status rows
