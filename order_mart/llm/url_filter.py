@@ -24,6 +24,10 @@ RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "
          ("com/fr/", "allow"), ("com/de/", "block"))
 
 
+#: Folds of URLs, by hash: block rates to learn from leave the row's fold out.
+FOLDS = 5
+
+
 @dataclass(frozen=True)
 class Settings:
     """``sample`` bounds the distinct labelled URLs of each class that the
@@ -96,25 +100,39 @@ def lexical_features(url: Column, host: Column, path: Column) -> dict[str, Colum
     }
 
 
-def _rates(marked: DataFrame, settings: Settings) -> tuple[float | None, DataFrame]:
+def _fold(url: Column) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(FOLDS))
+
+
+def _rates(marked: DataFrame, settings: Settings) -> tuple[float | None, DataFrame, DataFrame]:
     """Overall block rate (null without labels), and a row (domain, suffix_rate,
-    domain_rate) for every two-label host suffix of ``marked`` (host, _block;
-    null without a label): the smoothed rates of its last label and of itself.
-    A suffix without labels has the overall rate."""
-    counts = stage(marked.groupBy(_suffix(F.col("host"), 2).alias("domain"))
-                   .agg(F.sum("_block").alias("blocked"), F.count("_block").alias("n")), "url-filter-counts")
-    blocked, n = counts.agg(F.sum("blocked"), F.sum("n")).first()
+    domain_rate) for every two-label host suffix of ``marked`` (host, _fold,
+    _block; null without a label): the smoothed rates of its last label and of
+    itself.  A suffix without labels has the overall rate.  The second frame
+    has the same by (domain, _fold) from the labels of all other folds, so that
+    a row to learn from does not see its own label, nor those of its copies."""
+    by_fold = stage(marked.groupBy(_suffix(F.col("host"), 2).alias("domain"), "_fold")
+                    .agg(F.coalesce(F.sum("_block"), F.lit(0)).alias("blocked"), F.count("_block").alias("n"))
+                    .withColumn("_top", _suffix(F.col("domain"), 1)), "url-filter-counts")
+    blocked, n = by_fold.agg(F.sum("blocked"), F.sum("n")).first()
     overall = blocked / n if n else None
 
-    def smoothed(blocked: str, n: str) -> Column:
+    def smoothed(blocked: Column, n: Column) -> Column:
         base = F.lit(0.5 if overall is None else overall)
-        return F.when(F.col(n) > 0, (F.col(blocked) + settings.prior * base) / (F.col(n) + settings.prior)).otherwise(base)
+        return F.when(n > 0, (blocked + settings.prior * base) / (n + settings.prior)).otherwise(base)
+
+    def sums(of: str, *by: str) -> DataFrame:
+        return by_fold.groupBy(*by).agg(F.sum("blocked").alias(f"_{of}_blocked"), F.sum("n").alias(f"_{of}_n"))
 
-    last = _suffix(F.col("domain"), 1)
-    tops = counts.groupBy(last.alias("_top")).agg(F.sum("blocked").alias("_blocked"), F.sum("n").alias("_n"))
-    rates = counts.withColumn("_top", last).join(tops, "_top").select(
-        "domain", smoothed("_blocked", "_n").alias("suffix_rate"), smoothed("blocked", "n").alias("domain_rate"))
-    return overall, stage(rates, "url-filter-rates")
+    tops = sums("top", "_top")
+    rates = sums("all", "domain", "_top").join(tops, "_top").select(
+        "domain", smoothed(F.col("_top_blocked"), F.col("_top_n")).alias("suffix_rate"),
+        smoothed(F.col("_all_blocked"), F.col("_all_n")).alias("domain_rate"))
+    others = (by_fold.filter("n > 0").join(sums("all", "domain"), "domain").join(tops, "_top").join(sums("own", "_top", "_fold"), ["_top", "_fold"])
+              .select("domain", "_fold",
+                      smoothed(F.col("_top_blocked") - F.col("_own_blocked"), F.col("_top_n") - F.col("_own_n")).alias("suffix_rate"),
+                      smoothed(F.col("_all_blocked") - F.col("blocked"), F.col("_all_n") - F.col("n")).alias("domain_rate")))
+    return overall, stage(rates, "url-filter-rates"), others
 
 
 def _sample(known: DataFrame, size: int) -> DataFrame:
@@ -142,13 +160,14 @@ def filter_urls(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None
     rule, says = rule_for(F.col("host"), F.col("path"), rules)
     base = base.withColumn("rule", rule).withColumn("_says", says)
     if labelled is None:
-        marked = base.withColumn("_block", F.when(F.col("rule").isNotNull(), (F.col("_says") == "block").cast("int")))
+        marked = base.withColumn("_fold", _fold(F.col("url"))).withColumn("_block", F.when(F.col("rule").isNotNull(), (F.col("_says") == "block").cast("int")))
         known = marked.filter("_block IS NOT NULL")
     else:
         known = labelled.select("url", host.alias("host"), path.alias("path"), F.col("block").cast("int").alias("_block")).filter("_block IS NOT NULL")
-        marked = base.select("host", F.lit(None).cast("int").alias("_block")).unionByName(known.select("host", "_block"))
+        marked = (base.select("host", _fold(F.col("url")).alias("_fold"), F.lit(None).cast("int").alias("_block"))
+                  .unionByName(known.select("host", _fold(F.col("url")).alias("_fold"), "_block")))
     known = known.select("url", "host", "path", "_block")
-    known_rate, rates = _rates(marked, settings)
+    known_rate, rates, others = _rates(marked, settings)
     overall = 0.5 if known_rate is None else known_rate
     domain = _suffix(F.col("host"), 2)
     made = {n: c.cast("double") for n, c in lexical_features(F.col("url"), F.col("host"), F.col("path")).items()}
@@ -157,8 +176,8 @@ def filter_urls(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None
     score = F.lit(overall)
     scored = base
     if 0.0 < overall < 1.0 and known_rate is not None:
-        picked = _sample(known, settings.sample).withColumn("domain", domain)
-        picked = rates.join(F.broadcast(picked), "domain")
+        picked = _sample(known, settings.sample).withColumn("domain", domain).withColumn("_fold", _fold(F.col("url")))
+        picked = others.join(F.broadcast(picked), ["domain", "_fold"])
         train = stage(picked.select("url", "_block", "_weight", *[made[n].alias(f"_{n}") for n in FEATURES]).coalesce(1)
                       .sortWithinPartitions(F.xxhash64("url"), "url", "_block"), "url-filter-train")
         model = GBTClassifier(featuresCol="_x", labelCol="_block", weightCol="_weight", maxIter=settings.trees, maxDepth=settings.depth,

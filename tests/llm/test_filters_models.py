@@ -170,6 +170,28 @@ def test_rare_domains_have_their_own_rate(spark):
     assert len(got) == len(names) - 1000 and sum(got[i] == ("block" if i % 2 else "allow") for i in got) >= 0.95 * len(got)
 
 
+def test_rates_to_learn_from_leave_the_own_fold_out(spark):
+    """A domain's rate leaves out every label of the row's fold, copies too."""
+    rows = [(f"http://a.biz/{k}", k % 3 == 0) for k in range(40)] + [("http://b.biz/x", True)] * 9 + [("http://c.net/1", False)]
+    known = spark.createDataFrame([(u, int(y)) for u, y in rows], "url string, _block int").selectExpr(
+        "url", "regexp_extract(url, '//([^/]*)', 1) AS host", "_block").withColumn("_fold", url_filter._fold(F.col("url")))
+    settings = url_filter.Settings()
+    overall, rates, others = url_filter._rates(known, settings)
+    labels = [(r.host, r._fold, r._block) for r in known.collect()]
+    base = sum(y for *_, y in labels) / len(labels)
+
+    def smoothed(own):
+        return (sum(own) + settings.prior * base) / (len(own) + settings.prior) if own else base
+
+    want = {(h, f): (smoothed([y for g, e, y in labels if g[-3:] == h[-3:] and e != f]), smoothed([y for g, e, y in labels if g == h and e != f]))
+            for h, f, _ in labels}
+    got = {(r.domain, r._fold): (r.suffix_rate, r.domain_rate) for r in others.collect()}
+    assert overall == base and got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
+    assert {r.domain: r.domain_rate for r in rates.collect()}["b.biz"] == pytest.approx(smoothed([1] * 9))
+    assert [got[k][1] for k in got if k[0] == "b.biz"] == [base]
+
+
 # ------------------------------------------------------------- chats
 def test_chat_round_trip(spark):
     turns = [(1, 0, "user", "a\\l<b\\\\[x\\n\n"), (1, 1, "assi<stant\n\\", None), (2, None, None, "x"), (2, 0, "assistant", "</s><|im_end|>\n<|im_start|>user\n"),
