@@ -507,7 +507,8 @@ FROM batch
 _SAME_AS = {"refresh_fact": "fact_daily_orders", "refresh_fact_by_state": "fact_daily_orders",
             "apply_batches": "fact_daily_orders", "fact_from_buckets": "fact_daily_orders", "merge_order_state": "order_state",
             "refresh_lines_by_state": "f_order_details", "incremental_items_clustered": "incremental_items",
-            "refresh_fact_clustered": "fact_daily_orders"}
+            "refresh_fact_clustered": "fact_daily_orders", "check_primary_key_by_counts": "check_primary_key",
+            "check_foreign_key_by_counts": "check_foreign_key"}
 
 
 # The sources with planted faults (order_mart.sources.binding.faulty_sources):

@@ -17,7 +17,8 @@ from .. import schemas
 from ..functions import (
     as_of_date, date_sequence, is_not_status_keep_null, is_status, is_status_exact, ntz_literal,
     seconds_between, whole_seconds_between)
-from ..operators import joins, key_map, keys, lifecycle, order_state, profile, quality, relational, sketches, totals
+from ..operators import joins, key_counts, key_map, keys, lifecycle, order_state, profile, quality, relational, sketches, totals
+from ..config import scratch_path
 from ..sinks.conform import as_text, conform
 from ..sources.binding import bind_sources
 from . import dims, facts, incremental
@@ -35,7 +36,8 @@ FAULTY = ("check_not_null", "check_primary_key", "check_foreign_key", "check_var
           "customer_first_events", "order_lifecycle", "orders_with_items", "order_item_totals",
           "fact_daily_orders", "fact_daily_orders_pipeline", "fact_daily_orders_sql", "f_order_details_pipeline",
           "f_order_details", "dim_address_pipeline", "dim_customer_pipeline", "refresh_fact", "order_state",
-          "merge_order_state", "refresh_fact_by_state", "refresh_lines_by_state", "address_key_map", "sketch_profile")
+          "merge_order_state", "refresh_fact_by_state", "refresh_lines_by_state", "address_key_map", "sketch_profile",
+          "check_primary_key_by_counts", "check_foreign_key_by_counts")
 
 
 def query(name: str):
@@ -336,6 +338,36 @@ def _check_fk(src):
                                                    src["product_master"], "productid")))
 
 
+def _by_counts(first, second, key, verdicts):
+    """Verdicts of a first batch, brought up to date by a second one."""
+    spark = first.sparkSession
+    paths = [scratch_path(spark, "key-segment") for _ in range(2)]
+    earlier = verdicts(key_counts.write_segment(first, paths[0], key))
+    changed = key_counts.write_segment(second, paths[1], key).select(key)
+    return key_counts.standing(earlier, verdicts(key_counts.counts_of(spark, paths, key, changed)), changed, key)
+
+
+@query("check_primary_key_by_counts")
+def _check_pk_by_counts(src):
+    """Both masters in two batches; the second is checked from stored counts."""
+    parts = []
+    for table, key in (("customer_master", "customerid"), ("product_master", "productid")):
+        second = F.xxhash64(*src[table].columns) % 2 == 0
+        parts.append(_by_counts(src[table].filter(~second), src[table].filter(second), key,
+                                lambda counts, table=table, key=key: key_counts.primary_key_violations(counts, table, key)))
+    return relational.union_all(*parts)
+
+
+@query("check_foreign_key_by_counts")
+def _check_fk_by_counts(src):
+    """Both order-keyed sources in two batches, as above."""
+    first, second = _two_batches(src)
+    return relational.union_all(*[
+        _by_counts(first[table], second[table], key, lambda counts, table=table, key=key, parent=parent:
+                   key_counts.foreign_key_violations(counts, table, key, src[parent], key))
+        for table, key, parent in (("order_details", "customerid", "customer_master"), ("order_items", "productid", "product_master"))])
+
+
 @query("check_varchar_length")
 def _check_len(src):
     parts = [quality.check_varchar_length(src[t], t, quality.source_varchar_limits(t))
@@ -387,7 +419,6 @@ def _refresh_fact(src):
 def _incremental_items_clustered(src):
     """The increment's item lines, read through the zone map of item lines
     that are clustered by order."""
-    from ..config import scratch_path
     from ..sinks.clustered import read_keys, write_clustered
     spark, path = src["order_items"].sparkSession, scratch_path(src["order_items"].sparkSession, "clustered-items")
     write_clustered(src["order_items"], path, "orderid", int(spark.conf.get("spark.sql.shuffle.partitions")))
