@@ -88,16 +88,35 @@ def states_of_several_customers(state: DataFrame) -> DataFrame:
 
 
 # --- events and lines as counted rows ---------------------------------------
-def event_counts(order_details: DataFrame) -> DataFrame:
+#: Rows of a source that one task should count.
+TASK_ROWS = 500_000
+
+
+def count_partitions(rows: DataFrame) -> int:
+    """Partitions for the counts of ``rows`` (which are counted when this is
+    called): the session's number, or more if a task had over ``TASK_ROWS``."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // TASK_ROWS))
+
+
+def event_counts(order_details: DataFrame, partitions: int | None = None) -> DataFrame:
     """Distinct (order, time, status) with the number of status rows."""
-    rows = order_details.filter(F.col("orderid").isNotNull())
-    return rows.groupBy("orderid", TS, "order_status").agg(F.count(F.lit(1)).alias("n"))
+    return _counts(order_details, ["orderid", TS, "order_status"], partitions)
 
 
-def line_counts(order_items: DataFrame) -> DataFrame:
+def line_counts(order_items: DataFrame, partitions: int | None = None) -> DataFrame:
     """Distinct (order, product, quantity) with the number of item lines."""
-    rows = order_items.filter(F.col("orderid").isNotNull())
-    return rows.groupBy("orderid", "productid", "quantity").agg(F.count(F.lit(1)).alias("n"))
+    return _counts(order_items, ["orderid", "productid", "quantity"], partitions)
+
+
+def _counts(source: DataFrame, keys: list[str], partitions: int | None) -> DataFrame:
+    """With ``partitions``, rows are dealt by the keys into as many tasks, which
+    are not joined at run time, however well the rows compress: counts of
+    several batches dealt alike are merged in place, by tasks that hold
+    several aggregates.  All keys deal them, so a hot order is spread."""
+    rows = source.filter(F.col("orderid").isNotNull())
+    if partitions:
+        rows = rows.select(*keys).repartition(partitions, *keys)
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 def key_rows_schema(key: str) -> T.StructType:

@@ -472,8 +472,9 @@ def _refresh_fact_by_state(src):
 def _refresh_lines_by_state(src):
     """``f_order_details`` from the merged counts of two batches."""
     batches = _two_batches(src)
-    events = order_state.merge_counts(*[order_state.event_counts(b["order_details"]) for b in batches])
-    lines = order_state.merge_counts(*[order_state.line_counts(b["order_items"]) for b in batches])
+    n_events, n_lines = (order_state.count_partitions(src[t]) for t in ("order_details", "order_items"))
+    events = order_state.merge_counts(*[order_state.event_counts(b["order_details"], n_events) for b in batches])
+    lines = order_state.merge_counts(*[order_state.line_counts(b["order_items"], n_lines) for b in batches])
     return order_state.f_order_details_of(events, lines)
 
 

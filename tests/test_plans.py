@@ -115,3 +115,22 @@ def test_touched_partitions_are_pruned(spark):
     import re
     assert re.search(r"PartitionFilters: \[isnotnull\(d#\d+\), \(?d#\d+ (= 3|IN \(3\)|INSET 3)", p), p
     assert out.count() == 1000 // 50
+
+
+def test_line_and_event_counts_are_dealt_by_their_number(spark, make_sources, monkeypatch):
+    """The counts of both batches stay in as many tasks as their rows need: the
+    shuffle that deals them is not coalesced, however small its bytes are."""
+    from conftest import cust, lifecycle_rows, prod
+    from order_mart.operators import order_state
+    from order_mart.plans.registry import OPERATORS
+    rows = [r for o in range(1, 41) for r in lifecycle_rows(o, 1, "1999-12-31 23:59:00" if o % 2 else "2023-05-01 00:00:00")]
+    items = [(o, p, o) for o in range(1, 41) for p in (1, 2, 2)]
+    src = make_sources([cust(1)], [prod(1), prod(2)], rows, items)
+    monkeypatch.setattr(order_state, "TASK_ROWS", 10)
+    out = OPERATORS["refresh_lines_by_state"](src)
+    p = plan(out)
+    assert p.count("REPARTITION_BY_NUM") >= 4
+    assert "quantity" in p and ", 12), REPARTITION_BY_NUM" in p          # 120 rows or lines, 10 for each task
+    found = sorted(tuple(r) for r in out.select("orderid", "productid", "quantity", "order_delivery_timestamp").collect())
+    delivered = {r[0]: r[2] for r in rows if r[3] == "Delivered"}
+    assert found == sorted((o, pr, q, delivered[o]) for o, pr, q in items)
