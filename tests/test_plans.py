@@ -134,3 +134,16 @@ def test_line_and_event_counts_are_dealt_by_their_number(spark, make_sources, mo
     found = sorted(tuple(r) for r in out.select("orderid", "productid", "quantity", "order_delivery_timestamp").collect())
     delivered = {r[0]: r[2] for r in rows if r[3] == "Delivered"}
     assert found == sorted((o, pr, q, delivered[o]) for o, pr, q in items)
+
+
+def test_profile_counts_each_column_on_its_own(spark):
+    """No aggregate holds the values of all columns (an Expand would), and
+    nulls, copies and an empty table are counted as before."""
+    from order_mart.operators.profile import profile_table
+    schema = "k bigint, name string, x double"
+    df = spark.createDataFrame([(1, "a", 0.0), (1, None, -0.0), (2, "a", float("nan")), (None, None, float("nan")), (2, "b", None)], schema)
+    out = profile_table(df)
+    assert "Expand" not in plan(out)
+    assert [tuple(r) for r in out.collect()] == [("k", 2, 1), ("name", 2, 2), ("x", 2, 1)]
+    assert [tuple(r) for r in profile_table(df.limit(0)).collect()] == [("k", 0, 0), ("name", 0, 0), ("x", 0, 0)]
+    assert profile_table(df).schema.simpleString() == "struct<column_name:string,n_distinct:bigint,n_null:bigint>"
