@@ -26,7 +26,6 @@ those of the masters when an order's range was last touched.
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -34,8 +33,7 @@ from .. import schemas
 from ..config import scratch_path
 from ..operators import order_state as ops
 from ..operators import quality, relational
-from ..sinks.manifest import MAX_PARTS, Segment, Snapshot, StoreError, VersionedStore, open_store
-from ..sinks.writers import stage_frame
+from ..sinks.manifest import MAX_PARTS, Segment, Snapshot, StoreError, VersionedStore, open_parts, open_store
 from . import dims
 from .pipeline import PipelineResult, QualityError, _run_all, check_summary, target_checks
 
@@ -80,10 +78,20 @@ def batch_states(src: Sources, width: int) -> dict[str, DataFrame]:
     return {name: df.withColumn("_range", order_range(width)) for name, df in made.items()}
 
 
+def batch_ranges(src: Sources, width: int) -> DataFrame:
+    """(_range): the ranges of the batch's rows, read from their keys alone."""
+    keys = relational.union_all(*[src[t].select("orderid") for t in ("order_details", "order_items")])
+    return keys.filter(F.col("orderid").isNotNull()).select(order_range(width).alias("_range")).distinct()
+
+
 def merged(base: Snapshot, fresh: dict[str, DataFrame], ranges: list[str], width: int) -> dict[str, DataFrame]:
-    """The touched ranges of the state tables after the batch."""
+    """The touched ranges of the state tables after the batch.  Where none of
+    them holds rows yet, the batch's own states are all there is."""
     out = {}
     for name, df in fresh.items():
+        if not any(r in base.parts(name) for r in ranges):
+            out[name] = df
+            continue
         merge = ops.merge_states if name == "order_state" else ops.merge_counts
         out[name] = merge(base.table(name, ranges), df.drop("_range")).withColumn("_range", order_range(width))
     return out
@@ -109,10 +117,7 @@ def apply_batch(spark: SparkSession, src: Sources, database: str, batch_id: str,
     folder = scratch_path(spark, "batch")
     violations: list[dict] = []
     own = batch_states(src, width)
-    jobs = [lambda n=n: stage_frame(own[n], os.path.join(folder, n)) for n in own]
-    _run_all([*jobs, lambda: violations.extend(_rows(check_summary(src, {}, folder, more_checks)))], concurrency)
-    fresh = {n: spark.read.schema(df.schema).parquet(os.path.join(folder, n)) for n, df in own.items()}
-    ranges = touched_ranges(relational.union_all(*[df.select("_range") for df in fresh.values()]), base)
+    ranges = touched_ranges(batch_ranges(src, width), base)
 
     staged: dict[str, dict[str, str]] = {}
 
@@ -120,12 +125,15 @@ def apply_batch(spark: SparkSession, src: Sources, database: str, batch_id: str,
         return [lambda n=n, df=df: staged.update({n: store.stage(n, df, part, ("orderid",) if part else ())}) for n, df in tables.items()]
 
     masters = {"dim_customer": dims.dim_customer(src), "dim_address": dims.dim_address(src), "dim_product": dims.dim_product(src, as_of)}
-    _run_all(stage(merged(base, fresh, ranges, width), "_range") + stage(masters) + stage(merged_keys(base, src)), concurrency)
+    with open_parts(spark):
+        _run_all([*stage(merged(base, own, ranges, width), "_range"), lambda: violations.extend(_rows(check_summary(src, {}, folder, more_checks))),
+                  *stage(masters), *stage(merged_keys(base, src))], concurrency)
     state, events, lines = (_staged(store, base, staged).table(n) for n in STATE_TABLES)
     targets = {"dim_order": ops.dim_order_of(events),
                "fact_daily_orders": ops.fact_of_states(state, src["customer_master"]),
                "f_order_details": ops.f_order_details_of(events, lines)}
-    _run_all(stage({n: df.withColumn("_range", order_range(width)) for n, df in targets.items()}, "_range"), concurrency)
+    with open_parts(spark):
+        _run_all(stage({n: df.withColumn("_range", order_range(width)) for n, df in targets.items()}, "_range"), concurrency)
 
     after = _staged(store, base, staged)
     violations += _rows(_state_checks(src, state).unionByName(_key_checks(src, after)).unionByName(target_checks({t: after.table(t) for t in schemas.TARGETS})))

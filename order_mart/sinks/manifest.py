@@ -19,8 +19,10 @@ the current version is refused.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
@@ -39,6 +41,23 @@ WHOLE = "all"
 MAX_PARTS = 10_000
 
 
+#: Setting: files that a task of a partitioned write keeps open.
+OPEN_PARTS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextlib.contextmanager
+def open_parts(spark: SparkSession, files: int = 8) -> Iterator[None]:
+    """Let tasks that write parts keep a file open for each of their parts (the
+    rows of further ones are sorted by part), so that rows are sorted by their
+    order key alone, a number, and not by the parts' names first."""
+    old = spark.conf.get(OPEN_PARTS)
+    spark.conf.set(OPEN_PARTS, max(int(old), files))
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_PARTS, old)
+
+
 class StoreError(ValueError):
     """A publish that does not fit its target; nothing was changed."""
 
@@ -125,7 +144,9 @@ class VersionedStore:
             (out.sortWithinPartitions(*sort) if sort else out).write.parquet(folder)
             return {WHOLE: folder}
         out = df.select(*columns, F.col(part).alias("_part")).hint("rebalance", F.col("_part"))
-        out.sortWithinPartitions("_part", *sort).write.partitionBy("_part").parquet(folder)
+        # a file stays open for each part under ``open_parts``; else the writer needs the rows of a part together
+        order = sort if int(self.spark.conf.get(OPEN_PARTS)) > 0 else ("_part", *sort)
+        (out.sortWithinPartitions(*order) if order else out).write.partitionBy("_part").parquet(folder)
         found = self._folders(folder)
         if len(found) > MAX_PARTS:
             raise StoreError(f"{table}: more than {MAX_PARTS} parts; choose wider ones")

@@ -359,3 +359,31 @@ def test_foreign_keys_of_all_batches_are_checked_from_counts(spark, make_sources
     assert full == {("foreign_key", "customerid"): 3, ("foreign_key", "productid"): 2}
     state = open_state(spark, db).snapshot()
     assert {tuple(r) for r in state.table("customer_rows").collect()} == {(1, 3), (2, 3)} and state.version == 1
+
+
+def test_a_first_batch_is_not_merged_and_parts_stay_sorted(spark, tmp_path):
+    """States of ranges that hold nothing yet are the batch's own, with no
+    further aggregate; a touched range is merged.  Part files are sorted by the
+    order key although no rows are sorted by the name of their part."""
+    from order_mart.operators import order_state as ops
+    from order_mart.plans import state
+    from order_mart.sinks import manifest
+    store = manifest.VersionedStore(spark, str(tmp_path / "store"), {"order_lines": ops.ORDER_LINES})
+    items = spark.createDataFrame([(o, 1, 1) for o in range(40, 0, -1)] + [(7, 1, 1), (None, 1, 1)], "orderid bigint, productid bigint, quantity int")
+    details = spark.createDataFrame([(95, 1), (None, 1)], "orderid bigint, customerid bigint")
+    src = {"order_items": items, "order_details": details}
+    ranges = state.touched_ranges(state.batch_ranges(src, 10), store.snapshot(), "order_lines")
+    assert sorted(ranges) == ["10x0", "10x1", "10x2", "10x3", "10x4", "10x9"]
+    own = {"order_lines": ops.line_counts(items).withColumn("_range", state.order_range(10))}
+    assert state.merged(store.snapshot(), own, ranges, 10)["order_lines"] is own["order_lines"]
+    before = spark.conf.get(manifest.OPEN_PARTS)
+    with manifest.open_parts(spark):
+        staged = store.stage("order_lines", own["order_lines"], "_range", ("orderid",))
+    assert spark.conf.get(manifest.OPEN_PARTS) == before
+    base = store.commit(store.snapshot(), "one", {"order_lines": staged}, {"order_lines": ranges})
+    for part, path in staged.items():
+        found = [r.orderid for r in spark.read.parquet(path).coalesce(1).collect()]
+        assert found == sorted(found) and {f"10x{o // 10}" for o in found} == {part}
+    again = state.merged(base, own, ranges, 10)["order_lines"]
+    assert again is not own["order_lines"]
+    assert {r.orderid: r.n for r in again.collect()} == {o: 4 if o == 7 else 2 for o in range(1, 41)}
