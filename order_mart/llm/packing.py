@@ -42,10 +42,10 @@ def _cut(path: str, capacity: int, remember: bool):
             data, offsets, _ = raw_bytes(part.column(1))
             blob = data.tobytes()
             texts = [blob[a:b].split() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            ids_of = words.table({w for t in texts for w in t})
+            ids_of = words.table(set().union(*texts)).__getitem__
             rows = []
             for n, text in enumerate(texts):
-                ids = b"".join([ids_of[w] for w in text]) + tail
+                ids = b"".join(map(ids_of, text)) + tail
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at: at + 4 * capacity]
                     rows.append((n, piece, at // 4, len(own) // 4, zlib.crc32(own)))

@@ -14,6 +14,9 @@ import os
 import re
 from array import array
 from functools import lru_cache
+from itertools import islice
+
+import numpy as np
 
 #: Words that need no Unicode normalisation; the character class of the pattern below.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+\Z")
@@ -77,7 +80,7 @@ class WordEncoder:
         """A table that holds the ids of all ``words``, remembered between calls."""
         if len(self.words) > self.limit:
             self.words = {}
-        new = [w for w in words if w not in self.words]
+        new = list(words.difference(self.words))
         self.words.update(zip(new, self.encode(new), strict=True))
         return self.words
 
@@ -89,22 +92,25 @@ class WordEncoder:
         """Ids of each word.  Words hold no ASCII white space."""
         if len(self.known) > self.limit:
             self.known = {}
-        known, parts, other = self.known, [], []
-        fresh: dict[str, None] = {}
+        if not words:
+            return []
+        known, flat, counts, other = self.known, [], [], []         # of each word its pieces, in one list
         plain, pieces, sign = _PLAIN.match, _PIECE.findall, self.sign
-        for n, word in enumerate(words):
-            text = word.decode("utf-8", "replace")
-            if self.simple and plain(text) and not (sign in text and any(a in text for a in self.added)):
-                own = pieces(text.lower())
-                for p in own:
-                    if p not in known:
-                        fresh[p] = None
-                parts.append(own)
+        joined = b" ".join(words).decode("utf-8", "replace")
+        for n, (text, low) in enumerate(zip(joined.split(" "), joined.lower().split(" "), strict=True)):
+            if self.simple and (text.isascii() and text.isprintable() or plain(text)) and not (sign in text and any(a in text for a in self.added)):
+                before = len(flat)
+                if low.isalpha():
+                    flat.append(low)
+                else:
+                    flat.extend(pieces(low))
+                counts.append(len(flat) - before)
             else:
-                parts.append(None)
+                counts.append(0)
                 other.append((n, text))
-        self._learn(list(fresh))
-        out = [b"" if own is None else known[own[0]] if len(own) == 1 else b"".join([known[p] for p in own]) for own in parts]
+        self._learn([p for p in dict.fromkeys(flat) if p not in known])
+        ids = map(known.__getitem__, flat)
+        out = [next(ids) if n == 1 else b"".join(islice(ids, n)) for n in counts]
         for at in range(0, len(other), 1000):
             some = other[at: at + 1000]
             for (n, _), e in zip(some, self.full.encode_batch([t for _, t in some], add_special_tokens=False), strict=True):
@@ -114,14 +120,10 @@ class WordEncoder:
     def _learn(self, fresh: list[str]) -> None:
         for at in range(0, len(fresh), 5000):
             some = fresh[at: at + 5000]
-            e = self.model.encode(" ".join(some).translate(self.letters), add_special_tokens=False)
-            ids, start = array("I", e.ids).tobytes(), 0
-            counts = [0] * len(some)
-            for w in e.word_ids:
-                counts[w] += 1
-            for piece, n in zip(some, counts, strict=True):
-                self.known[piece] = ids[4 * start: 4 * (start + n)]
-                start += n
+            text = " ".join([p if p.isascii() else p.translate(self.letters) for p in some])
+            e = self.model.encode(text, add_special_tokens=False)
+            ids, ends = array("I", e.ids).tobytes(), (4 * np.cumsum(np.bincount(e.word_ids, minlength=len(some)))).tolist()
+            self.known.update(zip(some, [ids[a:b] for a, b in zip([0, *ends], ends)], strict=True))
 
 
 @lru_cache(maxsize=2)

@@ -112,3 +112,19 @@ def test_equal_rows_are_dealt_apart(spark):
     made, _ = packing._round(numbered, 1, 4096, 500)
     sizes = [r["count"] for r in made.groupBy("_part").count().collect()]
     assert len(sizes) == 12 and max(sizes) < 1000
+
+
+def test_pieces_of_many_words_are_learned_once(monkeypatch):
+    """Words of one batch that share pieces send each piece to the model once,
+    and no piece that is known; letters outside ASCII and words that need the
+    whole tokenizer keep their places between plain ones."""
+    from order_mart.llm.tokens import WordEncoder, default_path
+    made, sent = WordEncoder(default_path()), []
+    learn = made._learn
+    monkeypatch.setattr(made, "_learn", lambda fresh: (sent.append(list(fresh)), learn(fresh))[1])
+    words = ["Haus", "haus,", "HAUS.", "Ünö", "日本", "don't", "x1y2", "ünö"]
+    assert made.encode([]) == [] and made.table(set()) == {}
+    table = made.table({w.encode() for w in words})
+    assert all(table[w.encode()] == array("I", ids_of(w)).tobytes() for w in words)
+    made.encode([w.encode() for w in words])
+    assert sorted(p for batch in sent for p in batch) == sorted({"haus", ",", ".", "ünö", "don", "'t", "x", "1", "y", "2"})
