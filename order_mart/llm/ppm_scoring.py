@@ -24,11 +24,12 @@ block whose answers are missing fails.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,8 @@ ORDER = 4
 SYMBOLS = 256 - 6 + 2
 #: Text bytes of a block, and grams that are handled at once within it.
 BLOCK_BYTES, SEGMENT = 8 << 20, 4 << 20
+#: Entries of a table that numbers grams by their place; above, they are sorted.
+TABLE = 1 << 25
 #: Buckets for each shuffle partition, and at most.
 BUCKETS_PER_PARTITION, MOST_BUCKETS = 4, 4096
 
@@ -48,24 +51,71 @@ _COUNTS, _GRAMS, _WORDS = 0, 1, 2
 
 
 # ------------------------------------------------------------- grams
-def spelled(text: bytes) -> list[bytes]:
-    """Words of a text, lower-cased."""
-    return text.lower().split()
+_SPELLED = bytes(range(256)).lower().translate(bytes.maketrans(b"\t\n\v\f\r", b"     "))
+_SPACE, _END, _PAD = b" "[0], b"\n"[0], b"\t"[0]
+
+
+def symbols_of(texts: list[bytes]) -> bytes:
+    """Words of every text, lower-cased, with one space between and the end
+    sign after each text."""
+    data = np.frombuffer(b"\n".join([t.translate(_SPELLED) for t in texts]) + b"\n", np.uint8)
+    space = data == _SPACE
+    ends = space | (data == _END)
+    space[1:] &= ends[:-1]                                       # leading and repeated spaces
+    data = data[~space]
+    space = data == _SPACE
+    space[:-1] &= data[1:] == _END                               # trailing spaces
+    return data[~space].tobytes()
+
+
+def _sizes(symbols: bytes) -> np.ndarray:
+    """Symbols of every text."""
+    return np.diff(np.flatnonzero(np.frombuffer(symbols, np.uint8) == _END), prepend=-1)
+
+
+def _numbered(data: np.ndarray, order: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct grams, and the place among them of the gram that ends at
+    each byte marked ``own`` after the first ``order``: grams one byte longer
+    are numbered by the place of the shorter gram and the byte."""
+    values = np.flatnonzero(np.bincount(data, minlength=256))
+    rank = np.zeros(256, np.int64)
+    rank[values] = np.arange(len(values))
+    place = symbol = rank[data]
+    byte, width = values, len(values)
+    for k in range(1, order + 1):
+        key = place[:-1] * width
+        key += symbol[k:]
+        if k == order:
+            key = key[own]
+        if len(values) * width <= TABLE:
+            there = np.zeros(len(values) * width, bool)
+            there[key] = True
+            found = np.flatnonzero(there)
+            to = np.empty(len(there), np.int32)
+            to[found] = np.arange(len(found), dtype=np.int32)
+            place = to[key].astype(np.int64)
+        else:
+            found, place = np.unique(key, return_inverse=True)
+        values = (values[found // width] << 8) | byte[found % width]
+    return values, place
+
+
+def _segments(symbols: bytes, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(sorted distinct grams, each symbol's place among them), ``SEGMENT``
+    bytes at a time.  A gram is a symbol with the ``order`` bytes before it as
+    one number; the spaces that no text holds stand before its first symbol."""
+    pad = bytes([_PAD]) * order
+    data = np.frombuffer(pad + symbols.replace(b"\n", b"\n" + pad), np.uint8)
+    for at in range(order, len(data) - order, SEGMENT):
+        window = data[at - order: min(at + SEGMENT, len(data) - order)]
+        padding = window == _PAD
+        yield _numbered(np.where(padding, np.uint8(_SPACE), window), order, ~padding[order:])
 
 
 def grams_of(texts: list[list[bytes]], order: int) -> np.ndarray:
-    """Every symbol with the ``order`` bytes before it, as one number each:
-    the spaces that no text holds stand before its first symbol."""
-    pad = b" " * order
-    data = np.frombuffer(b"".join([pad + b" ".join(words) + b"\n" for words in texts]), np.uint8)
-    sizes = np.array([sum(map(len, words)) + max(0, len(words) - 1) + 1 for words in texts], np.int64)
-    out = np.zeros(max(0, len(data) - order), np.int64)
-    for k in range(order + 1):
-        out = (out << 8) | data[k: len(data) - order + k]
-    first = np.concatenate(([0], np.cumsum(sizes + order)))[:-1]
-    is_symbol = np.ones(len(out) + order, bool)
-    is_symbol[(first[:, None] + np.arange(order)).ravel()] = False   # windows that end in padding
-    return out[is_symbol[order:]]
+    """Every symbol's gram, of texts given as words."""
+    symbols = b"".join([b" ".join(words) + b"\n" for words in texts])
+    return np.concatenate([np.zeros(0, np.int64), *(u[place] for u, place in _segments(symbols, order))])
 
 
 def _bucket_of(gram: np.ndarray, buckets: int) -> np.ndarray:
@@ -74,14 +124,14 @@ def _bucket_of(gram: np.ndarray, buckets: int) -> np.ndarray:
     return ((ending * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % buckets
 
 
-def _distinct(grams: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct grams with the sums of their weights."""
-    own, parts = [], []
-    for at in range(0, len(grams), SEGMENT):
-        u, inverse = np.unique(grams[at: at + SEGMENT], return_inverse=True)
+def _distinct(symbols: bytes, order: int, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct grams with their numbers of symbols marked ``train``."""
+    own, parts, at = [], [], 0
+    for u, place in _segments(symbols, order):
         own.append(u)
-        parts.append(np.bincount(inverse, weights[at: at + SEGMENT], len(u)).astype(np.int64))
-    return _summed(np.concatenate(own), np.concatenate(parts)) if own else (grams, np.zeros(0, np.int64))
+        parts.append(np.bincount(place[train[at: at + len(place)]], minlength=len(u)))
+        at += len(place)
+    return (own[0], parts[0]) if len(own) == 1 else _summed(np.concatenate(own), np.concatenate(parts))
 
 
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,16 +216,19 @@ def prices(asked: np.ndarray, keys: np.ndarray, counts: np.ndarray, pairs: np.nd
 
 
 # ------------------------------------------------------------- blocks
-def _pack(data: bytes) -> bytes:
+@cache
+def _zstd():
     import zstandard
 
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
 
 
-def _unpack(frame: bytes) -> bytes:
-    import zstandard
+def _pack(data: bytes) -> bytes:
+    return _zstd()[0].compress(data)
 
-    return zstandard.ZstdDecompressor().decompress(frame)
+
+def _unpack(frame: bytes) -> bytes:
+    return _zstd()[1].decompress(frame)
 
 
 def _deltas(values: np.ndarray) -> bytes:
@@ -187,7 +240,7 @@ def _from_deltas(frame: bytes) -> np.ndarray:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int):
-    """(block id, rows, words of each text): the id is a hash of the content."""
+    """(block id, rows, symbols of the texts): the id is a hash of the content."""
     import xxhash
 
     for part in slices(batches, "text", block_bytes):
@@ -196,54 +249,69 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int):
         h.update(np.ascontiguousarray(offsets))
         h.update(repr(part.column(0)[0].as_py()).encode())
         blob = data.tobytes()
-        texts = [spelled(blob[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-        yield h.intdigest() - (1 << 63), part, texts
+        texts = [blob[i:j] for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        yield h.intdigest() - (1 << 63), part, symbols_of(texts)
+
+
+def _words_of(symbols: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words, each token's place among them, tokens of each text);
+    the empty word is the end sign, the last token of every text."""
+    data = np.frombuffer(symbols, np.uint8)
+    end = data == _END
+    apart = end | (data == _SPACE)
+    at = np.flatnonzero(apart)
+    length, last = np.diff(at, prepend=-1) - 1, end[at]
+    whole = np.insert(length, np.flatnonzero(last & (length > 0)) + 1, 0)
+    offsets = np.concatenate(([0], np.cumsum(whole)))
+    words = pa.Array.from_buffers(pa.large_binary(), len(whole), [None, pa.py_buffer(offsets), pa.py_buffer(data[~apart])]).dictionary_encode()
+    return words.dictionary, words.indices.to_numpy(), np.diff(np.flatnonzero(whole == 0), prepend=-1)
+
+
+def _dealt(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order by bucket, bounds of the buckets); ties keep their order."""
+    order = np.argsort(bucket.astype(np.uint16), kind="stable")   # by radix
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
 
-def _dealt_words(texts: list[list[bytes]], buckets: int) -> list[list[bytes]]:
-    """Distinct words by bucket, sorted; the empty word is the end sign."""
-    dealt: list[list[bytes]] = [[] for _ in range(buckets)]
-    for word in {w for words in texts for w in words} | {b""}:
-        dealt[zlib.crc32(word) % buckets].append(word)
-    for own in dealt:
-        own.sort()
-    return dealt
+def _dealt_words(words: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """A word's bucket is a weighted sum of its bytes; weights return after 1,024 bytes."""
+    data, offsets, _ = raw_bytes(words)
+    weight = np.cumprod(np.full(1024, 0x9E3779B97F4A7C15, np.uint64))
+    terms = weight[(np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))) & 1023]
+    terms *= data
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms)))
+    mixed = (total[offsets[1:]] - total[offsets[:-1]]) * np.uint64(0xD6E8FEB86659FD93)
+    return _dealt(((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), buckets)
 
 
 def _dealt_grams(distinct: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order by bucket, bounds of the buckets); within a bucket grams ascend."""
-    bucket = _bucket_of(distinct, buckets)
-    order = np.argsort(bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+    """Within a bucket grams ascend."""
+    return _dealt(_bucket_of(distinct, buckets), buckets)
 
 
 def _list_task(order: int, buckets: int, block_bytes: int):
     """A block's rows: its distinct grams and words by bucket with their
     counts in training texts, and one row with its counts of byte pairs."""
     def run(batches):
-        from collections import Counter
-
-        for block, part, texts in _blocks(batches, block_bytes):
+        for block, part, symbols in _blocks(batches, block_bytes):
             train = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            grams = grams_of(texts, order)
-            lengths = np.array([sum(map(len, words)) + max(0, len(words) - 1) + 1 for words in texts], np.int64)
-            distinct, counts = _distinct(grams, np.repeat(train.astype(np.float64), lengths))
+            distinct, counts = _distinct(symbols, order, np.repeat(train, _sizes(symbols)))
+            words, places, n_tokens = _words_of(symbols)
             pairs, n = _summed(distinct & 0xFFFF, counts)
-            learned = [words for words, t in zip(texts, train.tolist(), strict=True) if t]
-            rows = [(_COUNTS, 0, _deltas(pairs), _pack(n.tobytes()), sum(map(len, learned)) + len(learned))]
+            rows = [(_COUNTS, 0, _deltas(pairs), _pack(n.tobytes()), int(n_tokens[train].sum()))]
             at, bound = _dealt_grams(distinct, buckets)
             distinct, counts = distinct[at], counts[at]
             for k, (i, j) in enumerate(zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True)):
                 if i < j:
                     rows.append((_GRAMS, k, _deltas(distinct[i:j]), _pack(counts[i:j].tobytes()), 0))
-            times = Counter()
-            for words in learned:
-                times.update(words)
-            times[b""] = len(learned)
-            for k, words in enumerate(_dealt_words(texts, buckets)):
-                if words:
-                    seen = np.fromiter((times[w] for w in words), np.int64, len(words))
-                    rows.append((_WORDS, k, _pack(b"\n".join(words)), _pack(seen.tobytes()), 0))
+            times = np.bincount(places[np.repeat(train, n_tokens)], minlength=len(words))
+            at, bound = _dealt_words(words, buckets)
+            lines = pc.binary_join_element_wise(words.take(at), pa.scalar(b"", words.type), pa.scalar(b"\n", words.type))
+            lines, ends, _ = raw_bytes(lines)
+            times = times[at]
+            for k, (i, j) in enumerate(zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True)):
+                if i < j:
+                    rows.append((_WORDS, k, _pack(lines[ends[i]: ends[j] - 1].tobytes()), _pack(times[i:j].tobytes()), 0))
             kind, bucket, items, seen, tokens = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block] * len(rows), pa.int64()), pa.array(kind, pa.int32()), pa.array(bucket, pa.int32()),
@@ -348,14 +416,14 @@ def _answers(rows: list[tuple]) -> pa.RecordBatch:
 def _text_task(block_bytes: int):
     """A block's document ids and texts, packed."""
     def run(batches):
-        for block, part, texts in _blocks(batches, block_bytes):
+        for block, part, symbols in _blocks(batches, block_bytes):
             sink = pa.BufferOutputStream()
             ids = pa.RecordBatch.from_arrays([part.column(0), part.column(2)], names=["doc_id", "train"])
             with pa.ipc.new_stream(sink, ids.schema) as w:
                 w.write_batch(ids)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
-                 pa.array([_pack(b"\n".join([b" ".join(words) for words in texts]))], pa.binary())], names=["own", "docs", "texts"])
+                 pa.array([_pack(symbols)], pa.binary())], names=["own", "docs", "texts"])
     return run
 
 
@@ -366,37 +434,35 @@ def _score_task(order: int, buckets: int):
         out = []
         for docs, frame in zip(texts.column("docs").to_pylist(), texts.column("texts").to_pylist(), strict=True):
             docs = pa.ipc.open_stream(docs).read_all()
-            own = [t.split() for t in _unpack(frame).split(b"\n")]
-            times: dict[bytes, int] = {}
-            for k, words in enumerate(_dealt_words(own, buckets)):
-                if words:
-                    times.update(zip(words, np.frombuffer(_unpack(found[_WORDS, k]), np.int64).tolist(), strict=True))
-            counts = [np.fromiter((times[w] for w in [*words, b""]), np.int64, len(words) + 1) for words in own]
-            costs = _text_costs(own, found, order, buckets)
+            symbols = _unpack(frame)
+            words, places, n_tokens = _words_of(symbols)
+            times = _answered(found, _WORDS, *_dealt_words(words, buckets), np.int64)[places]
+            first = np.cumsum(n_tokens) - n_tokens
             out.append(pa.table({
                 "doc_id": docs.column("doc_id"), "train": docs.column("train"),
-                "n_tokens": pa.array([len(c) for c in counts], pa.int64()), "n_known": pa.array([int((c > 0).sum()) for c in counts], pa.int64()),
-                "logs": pa.array([float(np.log10(c + 0.5).sum()) for c in counts], pa.float64()), "score": pa.array(costs, pa.float64())}))
+                "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(np.add.reduceat(times > 0, first, dtype=np.int64)),
+                "logs": pa.array(np.add.reduceat(np.log10(times + 0.5), first)), "score": pa.array(_text_costs(symbols, found, order, buckets))}))
         return pa.concat_tables(out)
     return run
 
 
-def _text_costs(own: list[list[bytes]], found: dict, order: int, buckets: int) -> list[float]:
-    """log10 probability of each text: its grams' prices added up."""
-    grams = grams_of(own, order)
-    lengths = np.array([sum(map(len, words)) + max(0, len(words) - 1) + 1 for words in own], np.int64)
-    price, parts = np.empty(len(grams)), []
-    for at in range(0, len(grams), SEGMENT):
-        parts.append((at, *np.unique(grams[at: at + SEGMENT], return_inverse=True)))
-    distinct = np.unique(np.concatenate([p[1] for p in parts]))
-    place, bound = _dealt_grams(distinct, buckets)
-    priced = np.empty(len(distinct))
+def _answered(found: dict, kind: int, place: np.ndarray, bound: np.ndarray, dtype) -> np.ndarray:
+    """The answers of all buckets, in the order of what was asked."""
+    out = np.empty(len(place), dtype)
     for k, (i, j) in enumerate(zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True)):
         if i < j:
-            priced[place[i:j]] = np.frombuffer(_unpack(found[_GRAMS, k]), np.float64)
-    for at, u, inverse in parts:
-        price[at: at + len(inverse)] = priced[np.searchsorted(distinct, u)][inverse]
-    return np.add.reduceat(price, np.concatenate(([0], np.cumsum(lengths)[:-1]))).tolist()
+            out[place[i:j]] = np.frombuffer(_unpack(found[kind, k]), dtype)
+    return out
+
+
+def _text_costs(symbols: bytes, found: dict, order: int, buckets: int) -> np.ndarray:
+    """log10 probability of each text: its grams' prices added up."""
+    parts = list(_segments(symbols, order))
+    distinct = parts[0][0] if len(parts) == 1 else np.unique(np.concatenate([u for u, _ in parts]))
+    priced = _answered(found, _GRAMS, *_dealt_grams(distinct, buckets), np.float64)
+    price = np.concatenate([priced[np.searchsorted(distinct, u)][place] for u, place in parts])
+    sizes = _sizes(symbols)
+    return np.add.reduceat(price, np.cumsum(sizes) - sizes)
 
 
 # ------------------------------------------------------------- the operator

@@ -139,3 +139,51 @@ def test_prices_of_a_context_add_up_to_one():
     for context in [*np.unique(distinct >> 8)[:30], int.from_bytes(b"zzab"), int.from_bytes(b"zzzz")]:
         got = ppm.prices((int(context) << 8) | symbols, distinct, n, pairs, 4)
         assert math.isclose((10.0 ** got).sum(), 1.0, rel_tol=1e-9)
+
+
+def test_symbols_are_lowered_words_with_single_spaces():
+    texts = [b"", b"  ", b"A  b\tC\n", b"\x0b\x0c x\r\n\r y \xc3\x89Z", b"\x1c\x00 \x85 end", b"one"]
+    assert ppm.symbols_of(texts) == b"".join(b" ".join(t.lower().split()) + b"\n" for t in texts)
+    words, places, n_tokens = ppm._words_of(ppm.symbols_of(texts))
+    got = [words[i].as_py() for i in places.tolist()]
+    assert got == [w for t in texts for w in [*t.lower().split(), b""]]
+    assert n_tokens.tolist() == [len(t.split()) + 1 for t in texts]
+
+
+@pytest.mark.parametrize("table", [0, 3000, 1 << 25])
+@pytest.mark.parametrize("order", [1, 2, 4, 5])
+def test_grams_equal_plain_windows(monkeypatch, table, order):
+    monkeypatch.setattr(ppm, "TABLE", table)
+    monkeypatch.setattr(ppm, "SEGMENT", 37)
+    rng = np.random.default_rng(5)
+    texts = [b"", *(bytes(rng.choice(list(b"ab \x00\xff"), int(n)).tolist()) for n in rng.integers(0, 90, 12))]
+    want = []
+    for words in (t.split() for t in texts):
+        data = b" " * order + b" ".join(words) + b"\n"
+        want += [int.from_bytes(data[i - order: i + 1]) for i in range(order, len(data))]
+    assert ppm.grams_of([t.split() for t in texts], order).tolist() == want
+    symbols = ppm.symbols_of(texts)
+    train = np.repeat(np.arange(len(texts)) % 3 > 0, ppm._sizes(symbols))
+    distinct, n = ppm._distinct(symbols, order, train)
+    times = Counter(g for g, t in zip(want, train.tolist(), strict=True) if t)
+    assert distinct.tolist() == sorted(set(want)) and n.tolist() == [times[g] for g in sorted(set(want))]
+
+
+def test_listing_and_scoring_sort_distinct_grams_only(monkeypatch):
+    """Sorting every symbol's gram, twice, took most of the CPU time."""
+    import pyarrow as pa
+
+    text = "the quick brown fox jumps over the lazy dog " * 500
+    block = pa.record_batch({"doc_id": pa.array([1, 2]), "text": [text, text], "train": [True, False]})
+    sizes = []
+    for name in ("unique", "argsort", "sort"):
+        monkeypatch.setattr(np, name, lambda a, *args, _plain=getattr(np, name), **kw: (sizes.append(len(a)), _plain(a, *args, **kw))[1])
+    lists = pa.Table.from_batches(list(ppm._list_task(4, 8, ppm.BLOCK_BYTES)(iter([block])))).to_pylist()
+    texts = pa.Table.from_batches(list(ppm._text_task(ppm.BLOCK_BYTES)(iter([block]))))
+    tables = {(r["kind"], r["bucket"]): r["items"] for r in lists if r["kind"]}
+    answers = pa.table({"kind": [k for k, _ in tables], "bucket": [b for _, b in tables],
+                        "answer": [ppm._pack(np.zeros(len(ppm._from_deltas(v)) if k == ppm._GRAMS else len(ppm._unpack(v).split(b"\n")), np.int64).tobytes())
+                                   for (k, _), v in tables.items()]})
+    scored = ppm._score_task(4, 8)(texts, answers).to_pylist()
+    assert [r["n_tokens"] for r in scored] == [4501, 4501]
+    assert sizes and max(sizes) < 1000
