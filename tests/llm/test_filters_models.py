@@ -21,7 +21,7 @@ def view(con, name):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "conversations", "pages", "labels"):
+    for table in ("documents", "conversations", "pages", "labels", "embeddings"):
         view(con, table)
     found = con.execute(ORACLES[name])
     columns = [d[0] for d in found.description]
